@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op01_packing": "op1_packing",
     "op03_setsketch": "op3_setsketch",
+    "op08_fmindex": "op8_fmindex",
     "op10_sharding": "op10_sharding",
 }
 
