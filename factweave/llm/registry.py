@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op01_packing": "op1_packing",
     "op03_setsketch": "op3_setsketch",
+    "op04_language": "op4_language",
     "op05_html": "op5_html",
     "op08_fmindex": "op8_fmindex",
     "op10_sharding": "op10_sharding",
