@@ -13,6 +13,7 @@ MODULES = {
     "op03_setsketch": "op3_setsketch",
     "op04_language": "op4_language",
     "op05_html": "op5_html",
+    "op06_quality": "op6_quality",
     "op07_lines": "op7_lines",
     "op08_fmindex": "op8_fmindex",
     "op10_sharding": "op10_sharding",
