@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Modules and the queries they hold.
 MODULES = {
     "op01_packing": "op1_packing",
+    "op02_toxicity": "op2_toxicity",
     "op03_setsketch": "op3_setsketch",
     "op04_language": "op4_language",
     "op05_html": "op5_html",
