@@ -27,13 +27,15 @@ from factweave.llm._graph import components
 from factweave.llm._store import forget, written
 
 BASE, RATE, MOST = 1.001, 20.0, 65_534
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
 #: A pair is confirmed when its estimate comes within this of the threshold: over five
 #: standard deviations of the estimate at a similarity of 0.8.
 SLACK = 0.17
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Pairs whose registers are compared at once.
+PAIRS = 40_000
 #: Ids that are broadcast at most (8 bytes each), else the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -193,59 +195,57 @@ def _cross(members: DataFrame, threshold: float, best: bool) -> DataFrame:
     dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     kind = members.schema["key"].dataType.simpleString()
 
-    def compare(rows: pa.RecordBatch) -> pa.RecordBatch | None:
+    def compare(rows: pa.RecordBatch, edges: np.ndarray) -> pa.RecordBatch | None:
+        """Pairs inside each block pair, whose rows ``edges`` delimits."""
         regs = np.frombuffer(_bytes(rows.column("registers")), "<u2").reshape(-1, REGISTERS)
         n = rows.column("n").to_numpy()
         comp = rows.column("component").to_numpy(zero_copy_only=False)
         block = rows.column("block").to_numpy()
-        split = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+        split = rows.column("i").to_numpy() != rows.column("j").to_numpy()
+        # Row x meets the rows after it in its group.
+        after = np.repeat(edges[1:], np.diff(edges)) - np.arange(len(n)) - 1
+        total = np.concatenate([[0], np.cumsum(after)])
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for x in range(len(n)):
-            other = np.arange(x + 1, len(n))
-            ok = (comp[other] != comp[x]) & (np.minimum(n[other], n[x]) >= threshold * np.maximum(n[other], n[x]))
-            if split:
-                ok &= block[other] != block[x]
-            other = other[ok]
-            if len(other):
-                more, less = _counts(regs[x], regs[other])
-                near = more + less <= REGISTERS * (1 - threshold + 0.26)
-                other, more, less = other[near], more[near], less[near]
-            if len(other):
-                value = estimate(more, less, np.full(len(other), n[x]), n[other])
-                near = value >= threshold - SLACK
-                found.append((np.full(near.sum(), x), other[near], value[near]))
+        first = 0
+        while first < len(n):
+            last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, side="right")) - 1)
+            times = after[first:last]
+            a = np.repeat(np.arange(first, last), times)
+            b = a + 1 + np.arange(len(a)) - np.repeat(total[first:last] - total[first], times)
+            first = last
+            ok = (comp[a] != comp[b]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b])) & ~(split[a] & (block[a] == block[b]))
+            a, b = a[ok], b[ok]
+            ok = (regs[a] == regs[b]).sum(1) >= REGISTERS * (threshold - 0.26)
+            a, b = a[ok], b[ok]
+            if len(a):
+                value = estimate(*_counts(regs[a], regs[b]), n[a], n[b])
+                ok = value >= threshold - SLACK
+                found.append((a[ok], b[ok], value[ok]))
         if not found:
             return None
         a, b, value = (np.concatenate(c) for c in zip(*found, strict=True))
         if best:
-            top: dict[int, tuple[float, int]] = {}
-            for x, y, w in zip(a.tolist(), b.tolist(), value.tolist(), strict=True):
-                for one, two in ((x, y), (y, x)):
-                    if one not in top or w > top[one][0]:
-                        top[one] = (w, two)
-            a, b = np.asarray(list(top)), np.asarray([t[1] for t in top.values()])
+            one, two, worth = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(value, 2)
+            order = np.lexsort((-worth, one))
+            order = order[np.concatenate([[True], one[order][1:] != one[order][:-1]])] if len(order) else order
+            a, b = one[order], two[order]
         keys = rows.column("key")
         return pa.RecordBatch.from_arrays([keys.take(pa.array(a, pa.int64())), keys.take(pa.array(b, pa.int64()))], ["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        name = None
+        held: pa.RecordBatch | None = None  # the last group so far, which may go on
         for batch in batches:
-            if not batch.num_rows:
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if not rows.num_rows:
                 continue
-            marks = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
-            edges = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-            for first, last in zip(edges, edges[1:], strict=False):
-                this = tuple(marks[:, first])
-                if held and this != name:
-                    out = compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                    held = []
-                    if out is not None:
-                        yield out
-                name = this
-                held.append(batch.slice(first, last - first))
-        if held:
-            out = compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            marks = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
+            edges = np.concatenate([[0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1])
+            held = rows.slice(int(edges[-1]))
+            out = compare(rows.slice(0, int(edges[-1])), edges) if len(edges) > 1 else None
+            if out is not None:
+                yield out
+        if held is not None:
+            out = compare(held, np.asarray([0, held.num_rows]))
             if out is not None:
                 yield out
 
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     linked with nothing, nor is a row with a null key (its component is null, kept
     false). Rows that share a key are one document if their texts agree; else the links
     of either count for the key. Further columns are not read; an empty table gives no
-    rows. A pair of similarity 0.8 escapes all bands with probability 3e-6.
+    rows. A pair of similarity 0.8 escapes all bands with probability 5e-6.
     """
     threshold = percent / 100
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
