@@ -17,6 +17,7 @@ MODULES = {
     "op06_quality": "op6_quality",
     "op07_lines": "op7_lines",
     "op08_fmindex": "op8_fmindex",
+    "op09_subspace": "op9_subspace",
     "op10_sharding": "op10_sharding",
 }
 
