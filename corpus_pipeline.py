@@ -1,10 +1,51 @@
-"""Corpus preparation: language ID, line dedup, near-dedup, decontamination, packing."""
+"""Corpus preparation: language ID, line dedup, near-dedup, decontamination, packing.
+
+Each stage takes the documents its predecessor kept and, but for the last, returns them
+with the same columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factweave.llm import op01_packing, op03_setsketch, op04_language, op07_lines, op08_fmindex
+from factweave.llm._store import written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter go."""
+    prototypes = op04_language.learn(docs)
+    found = op04_language.predict(docs, prototypes)
+    return found.where("lang_pred != 'und'").select(*docs.columns)
+
 
-from factweave.llm import op01_packing
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of runs of lines. One whose lines all were later
+    copies goes."""
+    found = op07_lines.remove_repeats(docs)
+    kept = found.where(~((F.col("n_removed") > 0) & (F.btrim("text", F.lit(op07_lines.BLANK + "\n")) == "")))
+    text = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", text.cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one of the least id."""
+    found = op03_setsketch.near_duplicates(docs, shingle=5, percent=80)
+    lost = written(found.where("not kept and component_id is not null").select("doc_id").distinct())
+    if lost.count() <= op03_setsketch.BROADCAST_IDS:
+        lost = F.broadcast(lost)
+    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the words of benchmark windows cut out. One of which no word is
+    left goes."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = op08_fmindex.remove_spans(docs, benchmark)
+    kept = found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") == F.col("n_words"))))
+    text = F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", text.cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,7 +53,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op01_packing.with_crc32(op01_packing.pack(docs, op01_packing.default_tokenizer()))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language ID", language),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: Language prototypes, suffix ranks and tokens are beyond SQL.
 ORACLE_SQL = None
@@ -20,8 +67,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over the documents."""
-    from factweave.llm._store import written
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

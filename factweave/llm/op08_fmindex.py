@@ -10,11 +10,12 @@ suffixes are located by walking to the next sampled one, and the spans are merge
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
@@ -246,7 +247,8 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 10, keep: list[str] | None = None) -> DataFrame:
-    """(key, n_words, spans, items) of each document, with the columns of ``keep``.
+    """(key, n_words, spans, items) of each document; with ``keep``, those columns as
+    k_0, k_1, .. in place of the key.
 
     ``spans`` are merged word ranges [start, end) of the document that some benchmark
     window covers, ``items`` the ids (as text, in order of the benchmark) of the items
@@ -272,14 +274,59 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     out = rows.withColumn("spans", F.array().cast(SPANS)).withColumn("items", F.array().cast("array<string>"))
     for part in parts:
         out = _hits(out, part, window)
-    return out.select(F.col("row.key").alias(key), *[F.col(f"row.k_{i}").alias(c) for i, c in enumerate(names)], "n_words", "spans", "items")
+    if keep is None:
+        return out.select(F.col("row.key").alias(key), "n_words", "spans", "items")
+    return out.select(*[F.col(f"row.k_{i}") for i in range(len(names))], "n_words", "spans", "items")
+
+
+_RUN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def without(text: str, spans: list[dict]) -> str:
+    """``text`` with the words of the spans, and what stands between them, cut out; one
+    space is left in the place of each span inside the text."""
+    out, number, done = [], 0, 0
+    words = _RUN.finditer(text)
+    for span in spans:
+        start = stop = None
+        while number < span["end"]:
+            word = next(words)
+            if number == span["start"]:
+                start = word.start()
+            stop = word.end()
+            number += 1
+        out.append(text[done:start].rstrip())
+        done = stop
+    out.append(text[done:])
+    return " ".join(p for p in (out[0], *(p.lstrip() for p in out[1:])) if p)
+
+
+def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = 10, **names: str) -> DataFrame:
+    """``docs`` with hit words cut out of ``text``, and ``n_words`` and ``n_hit`` as
+    counted before. Untouched texts stay as they are, null ones null; columns of these
+    two names are replaced."""
+    rest = [c for c in docs.columns if c not in ("n_words", "n_hit")]
+    found = contamination(docs, benchmark, key, text, window=window, keep=rest, **names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t if not s else without(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("spans"), batch.column("n_words"), pa.array(texts, pa.string())], ["row", "spans", "n_words", "text"])
+
+    inner = F.struct(*[F.lit(None).alias(f"c{i}") if c == text else F.col(f"k_{i}").alias(f"c{i}") for i, c in enumerate(rest)])
+    wide = found.select(inner.alias("row"), "spans", "n_words", F.col(f"k_{rest.index(text)}").cast("string").alias("text"))
+    made = wide.mapInArrow(cut, f"row {wide.schema['row'].dataType.simpleString()}, spans {SPANS}, n_words long, text string")
+    return made.select(*[F.col("text") if c == text else F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest)], "n_words", _hit().alias("n_hit"))
+
+
+def _hit() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
 
 
 def digest(found: DataFrame) -> DataFrame:
     """The digest columns of the contract."""
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     items = F.array_sort("items")
-    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", _hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
 def op8_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
