@@ -1,12 +1,20 @@
-"""Connected components of an edge table, by alternating large-star and small-star."""
+"""Connected components of an edge table, by alternating large-star and small-star; a
+small table is joined up in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from factweave.llm._store import forget, written
 
+#: Edges that one task joins up at most (some 100 bytes each there).
+SMALL = 300_000
+
 
 def _stars(both: DataFrame) -> DataFrame:
     """(u, m): the least of u and its neighbours. Written, so that a join on a vertex
@@ -18,11 +26,43 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _canonical(edges: DataFrame) -> DataFrame:
+    return edges.where("u > v").select("u", "v").union(edges.where("u < v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict = {}
+
+        def find(x: object) -> object:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                root.setdefault(u, u)
+                root.setdefault(v, v)
+                a, b = find(u), find(v)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        ids = list(root)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, schema), pa.array([find(i) for i in ids], schema)], ["id", "component"])
+
+    schema = to_arrow_type(edges.schema["u"].dataType)
+    return edges.select("u", "v").coalesce(1).mapInArrow(work, f"id {kind}, component {kind}")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, component) of each vertex of ``edges`` (u, v); component is the least id
     reachable. Self-loops, repeated and reversed edges are allowed; rows with a null
     end are ignored; no edges give no rows."""
-    now = written(edges.where("u > v").select("u", "v").union(edges.where("u < v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    now = written(_canonical(edges))
+    if now.count() <= SMALL:
+        return _in_one_task(now)
     made, state = [now], _state(now)
     for _ in range(most_rounds):
         if not state[0]:

@@ -8,9 +8,10 @@ likelihood from how many registers are equal, larger or smaller, and the survivo
 confirmed on the full sets.
 
 Equal sets form a class first and enter once. A bucket is not expanded into pairs:
-each member meets the bucket's first, then its best-estimated partner of another
-component, and only what is still apart after that is compared exhaustively, in blocks
-inside a task, where pairs estimated far below the threshold leave no row.
+each member meets the bucket's first, and what is apart after that is compared block by
+block inside a task, in the first band that a pair has in common: pairs estimated near or
+above the threshold are confirmed there on the full sets unless they are joined by then,
+and only links that join something leave a row.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ from factweave.llm._store import forget, written
 BASE, RATE, MOST = 1.001, 20.0, 65_534
 BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
-#: A pair is confirmed when its estimate comes within this of the threshold: over five
+#: A pair is confirmed when its estimate comes within this of the threshold: five
 #: standard deviations of the estimate at a similarity of 0.8.
-SLACK = 0.17
+SLACK = 0.13
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 512
 #: Pairs whose registers are compared at once.
@@ -153,14 +154,11 @@ def _bytes(column: pa.Array) -> np.ndarray:
     return _words.raw(column.cast(pa.large_binary()))[0]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 x intersection >= percent x union of the full sets."""
-    pairs = written(pairs)
-    ids = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        named = docs.join(F.broadcast(ids), "key", "left_semi")
-    else:
-        named = docs.join(ids, "key", "left_semi")
+def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(key, s): the sorted full set of each document named in ``ids`` (key)."""
+    ids = written(ids)
+    few = ids.count() <= BROADCAST_IDS
+    named = docs.join(F.broadcast(ids) if few else ids, "key", "left_semi")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +167,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
                 values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([chunk.column("key"), pa.ListArray.from_arrays(pa.array(at), pa.array(values.view(np.int64)))], ["key", "s"])
 
-    sets = written(named.mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, s array<long>").dropDuplicates(["key"]))
+    return written(named.mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, s array<long>").dropDuplicates(["key"]))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b) with 100 x intersection >= percent x union of the full sets."""
+    pairs = written(pairs)
+    sets = full_sets(docs, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), shingle)
     shared = F.size(F.array_intersect("s_a", "s_b"))
     out = written(
         pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("s_a")), "a")
@@ -178,79 +182,118 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
         .where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("t") - F.col("i")))
         .select("a", "b")
     )
-    for table in (pairs, ids, sets):
-        forget(table)
+    forget(pairs)
+    forget(sets)
     return out
 
 
-def _cross(members: DataFrame, threshold: float, best: bool) -> DataFrame:
-    """Pairs of members of one bucket but different components whose estimate is near
-    or above the threshold: each member's best one only, or all. ``members`` has
-    (band, key, component, n, registers, c), c being the bucket's size. Buckets are
-    compared block by block; a block pair has 2 x BLOCK rows or so."""
+def _pairs(rows: pa.RecordBatch, edges: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one block pair (``edges`` delimits them) but different components
+    that have this band first in common and an estimate near or above the threshold."""
+    regs = np.frombuffer(_bytes(rows.column("registers")), "<u2").reshape(-1, REGISTERS)
+    n = rows.column("n").to_numpy()
+    comp = rows.column("component").to_numpy(zero_copy_only=False)
+    block, number = rows.column("block").to_numpy(), rows.column("number").to_numpy()
+    split = rows.column("i").to_numpy() != rows.column("j").to_numpy()
+    # Row x meets the rows after it in its group.
+    after = np.repeat(edges[1:], np.diff(edges)) - np.arange(len(n)) - 1
+    total = np.concatenate([[0], np.cumsum(after)])
+    first = 0
+    while first < len(n):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, side="right")) - 1)
+        times = after[first:last]
+        a = np.repeat(np.arange(first, last), times)
+        b = a + 1 + np.arange(len(a)) - np.repeat(total[first:last] - total[first], times)
+        first = last
+        ok = (comp[a] != comp[b]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b])) & ~(split[a] & (block[a] == block[b]))
+        a, b = a[ok], b[ok]
+        equal = regs[a] == regs[b]
+        ok = equal.sum(1) >= REGISTERS * (threshold - 0.26)
+        a, b, equal = a[ok], b[ok], equal[ok]
+        ok = equal.reshape(-1, BANDS, ROWS).all(2).argmax(1) == number[a] if len(a) else np.zeros(0, bool)
+        a, b = a[ok], b[ok]
+        if len(a):
+            ok = estimate(*_counts(regs[a], regs[b]), n[a], n[b]) >= threshold - SLACK
+            if ok.any():
+                yield a[ok], b[ok]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Sorted rows as runs of whole groups, with the groups' bounds."""
+    held: pa.RecordBatch | None = None  # the last group so far, which may go on
+    for batch in batches:
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        marks = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in keys])
+        edges = np.concatenate([[0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1])
+        held = rows.slice(int(edges[-1]))
+        if len(edges) > 1:
+            yield rows.slice(0, int(edges[-1])), edges
+    if held is not None:
+        yield held, np.asarray([0, held.num_rows])
+
+
+_UNIT = ("band", "i", "j")
+
+
+def _cross(members: DataFrame, docs: DataFrame, shingle: int, threshold: float, percent: int) -> DataFrame:
+    """Links (a, b) between members of one bucket but different components, enough of them
+    to join what all of them join. ``members`` has (band, number, key, component, n,
+    registers, c), c being the bucket's size and number that of the band. A block pair has
+    2 x BLOCK rows or so."""
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     own = members.withColumn("m", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("m")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j")))
-    dealt = own.withColumn("p", F.explode(pair)).select("band", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "block", "key", "component", "n", "registers")
-    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    dealt = own.withColumn("p", F.explode(pair)).select("band", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "number", "block", "key", "component", "n", "registers")
+    dealt = dealt.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
     kind = members.schema["key"].dataType.simpleString()
-
-    def compare(rows: pa.RecordBatch, edges: np.ndarray) -> pa.RecordBatch | None:
-        """Pairs inside each block pair, whose rows ``edges`` delimits."""
-        regs = np.frombuffer(_bytes(rows.column("registers")), "<u2").reshape(-1, REGISTERS)
-        n = rows.column("n").to_numpy()
-        comp = rows.column("component").to_numpy(zero_copy_only=False)
-        block = rows.column("block").to_numpy()
-        split = rows.column("i").to_numpy() != rows.column("j").to_numpy()
-        # Row x meets the rows after it in its group.
-        after = np.repeat(edges[1:], np.diff(edges)) - np.arange(len(n)) - 1
-        total = np.concatenate([[0], np.cumsum(after)])
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        first = 0
-        while first < len(n):
-            last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, side="right")) - 1)
-            times = after[first:last]
-            a = np.repeat(np.arange(first, last), times)
-            b = a + 1 + np.arange(len(a)) - np.repeat(total[first:last] - total[first], times)
-            first = last
-            ok = (comp[a] != comp[b]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b])) & ~(split[a] & (block[a] == block[b]))
-            a, b = a[ok], b[ok]
-            ok = (regs[a] == regs[b]).sum(1) >= REGISTERS * (threshold - 0.26)
-            a, b = a[ok], b[ok]
-            if len(a):
-                value = estimate(*_counts(regs[a], regs[b]), n[a], n[b])
-                ok = value >= threshold - SLACK
-                found.append((a[ok], b[ok], value[ok]))
-        if not found:
-            return None
-        a, b, value = (np.concatenate(c) for c in zip(*found, strict=True))
-        if best:
-            one, two, worth = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(value, 2)
-            order = np.lexsort((-worth, one))
-            order = order[np.concatenate([[True], one[order][1:] != one[order][:-1]])] if len(order) else order
-            a, b = one[order], two[order]
-        keys = rows.column("key")
-        return pa.RecordBatch.from_arrays([keys.take(pa.array(a, pa.int64())), keys.take(pa.array(b, pa.int64()))], ["a", "b"])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the last group so far, which may go on
-        for batch in batches:
-            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            if not rows.num_rows:
-                continue
-            marks = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")])
-            edges = np.concatenate([[0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1])
-            held = rows.slice(int(edges[-1]))
-            out = compare(rows.slice(0, int(edges[-1])), edges) if len(edges) > 1 else None
-            if out is not None:
-                yield out
-        if held is not None:
-            out = compare(held, np.asarray([0, held.num_rows]))
-            if out is not None:
-                yield out
-
-    found = dealt.mapInArrow(work, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    fields = ["band", "i", "j", "number", "block", "key", "component", "n", "registers"]
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, edges in _grouped(batches, _UNIT):
+            hit = np.zeros(rows.num_rows, bool)
+            for a, b in _pairs(rows, edges, threshold):
+                hit[a] = hit[b] = True
+            yield rows.select(fields).filter(pa.array(hit))
+
+    rows = written(dealt.mapInArrow(near, f"band long, i int, j int, number int, block int, key {kind}, component {kind}, n long, registers binary"))
+    sets = full_sets(docs, rows.select("key").distinct(), shingle)
+    full = rows.join(sets, "key").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, edges in _grouped(batches, _UNIT):
+            lists = rows.column("s")
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            comp = rows.column("component").to_pylist()
+            group = np.repeat(np.arange(len(edges) - 1), np.diff(edges)).tolist()
+            root: dict = {}
+
+            def find(x: tuple) -> tuple:
+                root.setdefault(x, x)
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            one, two = [], []
+            for a, b in _pairs(rows, edges, threshold):
+                for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                    p, q = find((group[x], comp[x])), find((group[y], comp[y]))
+                    if p == q:
+                        continue
+                    u, v = flat[at[x] : at[x + 1]], flat[at[y] : at[y + 1]]
+                    both = np.concatenate([u, v])
+                    both.sort()
+                    shared = int((both[1:] == both[:-1]).sum())
+                    if 100 * shared >= percent * (len(both) - shared):
+                        root[q] = p
+                        one.append(x)
+                        two.append(y)
+            keys = rows.column("key")
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(one, pa.int64())), keys.take(pa.array(two, pa.int64()))], ["a", "b"])
+
+    return full.select(*fields, "s").mapInArrow(join, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -269,24 +312,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     named = sketch.where("n > 0 and key is not null")
     classes = written(named.groupBy("n", "s1", "s2").agg(F.min("key").alias("rep")))
     reps = written(named.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"]).select("key", "n", "bands", "registers"))
-    buckets = reps.select("key", F.explode("bands").alias("band"))
+    buckets = reps.select("key", F.posexplode("bands").alias("number", "band"))
     hubs = written(buckets.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("c")).where("c > 1"))
     star = buckets.join(hubs, "band").where("key != hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     links = confirmed(_likely(star, reps, threshold), rows, shingle, percent)
-    for best in (True, False):
-        found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-        inside = written(
-            buckets.join(hubs.select("band", "c"), "band")
-            .join(found.withColumnRenamed("id", "key"), "key", "left")
-            .select("band", "key", "c", F.coalesce("component", "key").alias("component"))
-        )
-        apart = written(inside.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band"))
-        members = inside.join(apart, "band", "left_semi").join(reps.select("key", "n", "registers"), "key")
-        more = confirmed(_cross(members, threshold, best), rows, shingle, percent)
-        links = links.union(more)
-        for table in (found, inside, apart):
-            forget(table)
-    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    inside = written(
+        buckets.join(hubs.select("band", "c"), "band")
+        .join(found.withColumnRenamed("id", "key"), "key", "left")
+        .select("band", "number", "key", "c", F.coalesce("component", "key").alias("component"))
+    )
+    apart = inside.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
+    members = inside.join(written(apart), "band", "left_semi").join(reps.select("key", "n", "registers"), "key")
+    more = _cross(members, rows, shingle, threshold, percent)
+    found = written(components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    forget(inside)
     of_class = written(classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("found")))
     out = sketch.select("key", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("found", "key"))
