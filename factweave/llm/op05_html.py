@@ -3,8 +3,9 @@
 The page is cut into blocks at block-level tags. In the first pass each block is decided
 by where it stands (menus, footers, forms and the like are out, an article's body is in)
 and by its length, stop-word density and link density; short blocks stay ambiguous. In
-the second pass an ambiguous block takes the label of its nearest decided neighbours,
-those of its own section first.
+the second pass an ambiguous block takes the label of its nearest decided neighbours
+inside or outside the article, of two as near the one in the same element; where they
+still disagree it is out.
 """
 
 from __future__ import annotations
@@ -61,6 +62,7 @@ class Block:
     linked: int
     out: bool
     article: int  # number of the article or main element around it, 0 outside
+    box: int  # number of the innermost grouping element around it
     label: str = ""
 
 
@@ -90,18 +92,18 @@ def _excluded(name: str, attributes: str, article: int) -> bool:
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, white space folded and references decoded."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, excluded, article
+    stack: list[tuple[str, bool, int, int]] = []  # name, excluded, article, box
     text: list[str] = []
     links: list[str] = []
-    in_link = articles = 0
-    excluded, article = False, 0
+    in_link = articles = boxes = 0
+    excluded, article, box = False, 0, 0
 
     def close() -> None:
         nonlocal text, links
         if text:
             joined = " ".join(_html.unescape("".join(text)).split())
             if joined:
-                out.append(Block(joined, len(" ".join(_html.unescape(" ".join(links)).split())), excluded, article))
+                out.append(Block(joined, len(" ".join(_html.unescape(" ".join(links)).split())), excluded, article, box))
         text, links = [], []
 
     at, size = 0, len(page)
@@ -148,8 +150,9 @@ def blocks(page: str) -> list[Block]:
             if name in _IN and not article:
                 articles += 1
                 inside = articles
-            stack.append((name, excluded or _excluded(name, match[3], article), inside))
-        excluded, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            boxes += 1
+            stack.append((name, excluded or _excluded(name, match[3], article), inside, boxes))
+        excluded, article, box = stack[-1][1:] if stack else (False, 0, 0)
         in_link = 0
     close()
     return out
@@ -199,8 +202,8 @@ def main_text(page: str | None) -> str:
         b = found[i]
         after = last.get(b.article, (-1, ""))
         if not decided[i]:
-            near = [(abs(i - k), label) for k, label in (before[i], after) if k >= 0]
-            nearest = [label for d, label in near if d == min(near)[0]]
+            near = [(abs(i - k), found[k].box != b.box, label) for k, label in (before[i], after) if k >= 0]
+            nearest = [label for d, apart, label in near if (d, apart) == min(near)[:2]]
             b.label = "good" if nearest and all(x == "good" for x in nearest) else "bad"
             if b.article and not near:
                 b.label = "good"
