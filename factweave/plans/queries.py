@@ -177,11 +177,11 @@ def _d22(t: Tables) -> DataFrame:
     return t.raw("part").join(c, F.col("p_type") == F.col("child")).select(F.col("p_partkey").alias("part_key"), "ancestor")
 
 
-@query("D24_ground_truth_match", """SELECT d.doc_id, d.lang, g.gold FROM documents d LEFT JOIN (SELECT text, min(doc_id) AS gold, count(*) AS n FROM documents GROUP BY 1) g ON g.text = d.text AND g.n > 1""", plain=True)
+@query("D24_ground_truth_match", """SELECT d.doc_id, d.lang, coalesce(g.gold, -1) AS gold FROM documents d LEFT JOIN (SELECT text, min(doc_id) AS gold, count(*) AS n FROM documents GROUP BY 1) g ON g.text = d.text AND g.n > 1""", plain=True)
 def _d24(t: Tables) -> DataFrame:
     d = t.raw("documents").select("doc_id", "lang", F.sha2("text", 256).alias("h"))
     gold = d.groupBy("h").agg(F.min("doc_id").alias("gold"), F.count("*").alias("n")).where("n > 1")
-    return d.join(gold, "h", "left").select("doc_id", "lang", "gold")
+    return d.join(gold, "h", "left").select("doc_id", "lang", F.coalesce("gold", F.lit(-1)).alias("gold"))
 
 
 _SIG = "SELECT p_brand, p_size % 10 AS s FROM part WHERE p_partkey % 2 = "
@@ -201,12 +201,12 @@ def _d26(t: Tables) -> DataFrame:
     return sides.select("p_brand", "s", F.when(F.col("l") & F.col("r"), "shared").when(F.col("l"), "left").otherwise("right").alias("side"))
 
 
-@query("D27_edge_either_direction", "SELECT q.a, q.b, coalesce(f.n, r.n)::BIGINT AS n FROM (SELECT DISTINCT s_nationkey AS a, (s_nationkey * 7) % 25 AS b FROM supplier) q LEFT JOIN e f ON f.u = q.a AND f.v = q.b LEFT JOIN e r ON r.u = q.b AND r.v = q.a", recursive="e AS (SELECT s_nationkey AS u, c_nationkey AS v, count(*) AS n FROM supplier JOIN customer ON s_suppkey = c_custkey GROUP BY 1, 2)")
+@query("D27_edge_either_direction", "SELECT q.a, q.b, coalesce(f.n, r.n, 0)::BIGINT AS n FROM (SELECT DISTINCT s_nationkey AS a, (s_nationkey * 7) % 25 AS b FROM supplier) q LEFT JOIN e f ON f.u = q.a AND f.v = q.b LEFT JOIN e r ON r.u = q.b AND r.v = q.a", recursive="e AS (SELECT s_nationkey AS u, c_nationkey AS v, count(*) AS n FROM supplier JOIN customer ON s_suppkey = c_custkey GROUP BY 1, 2)")
 def _d27(t: Tables) -> DataFrame:
     e = t.raw("supplier").join(t.raw("customer"), F.col("s_suppkey") == F.col("c_custkey")).groupBy(F.col("s_nationkey").alias("u"), F.col("c_nationkey").alias("v")).agg(_n().alias("n"))
     q = t.raw("supplier").select(F.col("s_nationkey").alias("a"), (F.col("s_nationkey") * 7 % 25).alias("b")).distinct()
     f, r = e.select(F.col("u").alias("a"), F.col("v").alias("b"), F.col("n").alias("nf")), e.select(F.col("v").alias("a"), F.col("u").alias("b"), F.col("n").alias("nr"))
-    return q.join(f, ["a", "b"], "left").join(r, ["a", "b"], "left").select("a", "b", F.coalesce("nf", "nr").alias("n"))
+    return q.join(f, ["a", "b"], "left").join(r, ["a", "b"], "left").select("a", "b", F.coalesce("nf", "nr", F.lit(0)).cast(N).alias("n"))
 
 
 @query("D28_export_entities", """SELECT e.entity_id, e.name AS entity_name, e.entity_type, min(f.assertion_id) AS first_assertion, count(DISTINCT f.assertion_id)::BIGINT AS rank FROM ent e JOIN fil f USING (entity_id) GROUP BY 1, 2, 3""")

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import factweave.plans.more  # noqa: F401
 import factweave.plans.queries  # noqa: F401
 from factweave.plans.registry import ORACLE, QUERIES
 
