@@ -3,13 +3,14 @@ bytes that Arrow hands to a Python worker."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time; a longer single text forms its own chunk.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POWERS: list[np.ndarray] = []
 
@@ -38,6 +39,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on and serves other
+    stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows with at most ``most`` bytes of text, or one longer row."""
     text = batch.column(column)
@@ -47,6 +57,7 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         base, start = ends[stop - 1], stop
+    release()
 
 
 def _offsets(text: pa.Array) -> np.ndarray:

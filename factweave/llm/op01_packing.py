@@ -209,7 +209,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     placed = tokens.join(offsets, ["part", "rest"]).select("key", "n", "rest", (F.col("rank") + F.col("base")).alias("rank"), (F.col("full_before") + F.col("full_base")).alias("full"), "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
             out: list[list] = [[] for _ in range(7)]
             keys = batch.column("key")
             held = 0

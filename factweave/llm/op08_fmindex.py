@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from factweave.llm import _words
 
 #: Words of one shard at most, unless a single document has more.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 400_000
 #: One suffix position in so many is kept.
 SAMPLE = 8
 #: Phrases that are sent to the executors at once; more go in further rounds.
@@ -165,8 +165,9 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int) -> DataFrame:
-    """``docs`` (row, text, spans, items) with n_words and what these items add."""
+def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int, edit: bool) -> DataFrame:
+    """``docs`` (row, text, spans, items) with n_words and what these items add; with
+    ``edit`` the spans are cut out of the text."""
     vocabulary, phrases, lengths, ids, owners = phrases_of(items, window)
     alphabet = len(vocabulary) + 2
     by_phrase = np.searchsorted(owners[:, 0], np.arange(len(phrases) + 1))
@@ -226,7 +227,10 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int)
             every = [spans.get(d, []) if not before[d] else merged([[x["start"], x["end"]] for x in before[d]] + spans.get(d, [])) for d in range(len(counts))]
             marks = pa.array([[{"start": a, "end": b} for a, b in s] for s in every], pa.list_(struct))
             names = pa.array([old + [str(ids[i]) for i in m] for old, m in zip(rows.column("items").to_pylist(), mine, strict=True)], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("text"), marks, names, pa.array(counts)], ["row", "text", "spans", "items", "n_words"])
+            texts = rows.column("text")
+            if edit:
+                texts = pa.array([without(t.as_py(), s) if s else t.as_py() for t, s in zip(texts, every, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([rows.column("row"), texts, marks, names, pa.array(counts)], ["row", "text", "spans", "items", "n_words"])
 
         for batch in batches:
             for chunk in _words.chunks(batch, "text"):
@@ -237,7 +241,7 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int)
                 if held and size + len(hashes) > SHARD_WORDS:
                     yield from flush()
                     held, size = [], 0
-                held.append((chunk, np.where(known, where + 2, 1), bounds))
+                held.append((chunk, np.where(known, where + 2, 1).astype(np.int32), bounds))
                 size += len(hashes)
         if held:
             yield from flush()
@@ -246,9 +250,9 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int)
     return docs.select("row", "text", "spans", "items").mapInArrow(work, f"row {row}, text string, spans {SPANS}, items array<string>, n_words long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 10, keep: list[str] | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 10, keep: list[str] | None = None, edit: bool = False) -> DataFrame:
     """(key, n_words, spans, items) of each document; with ``keep``, those columns as
-    k_0, k_1, .. in place of the key.
+    k_0, k_1, .. in place of the key; with ``edit``, ``text`` without the spans too.
 
     ``spans`` are merged word ranges [start, end) of the document that some benchmark
     window covers, ``items`` the ids (as text, in order of the benchmark) of the items
@@ -272,26 +276,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         parts[-1].append((item["i"], item["t"]))
         size += n
     out = rows.withColumn("spans", F.array().cast(SPANS)).withColumn("items", F.array().cast("array<string>"))
-    for part in parts:
-        out = _hits(out, part, window)
+    for i, part in enumerate(parts):
+        out = _hits(out, part, window, edit and i == len(parts) - 1)
     if keep is None:
         return out.select(F.col("row.key").alias(key), "n_words", "spans", "items")
-    return out.select(*[F.col(f"row.k_{i}") for i in range(len(names))], "n_words", "spans", "items")
+    return out.select(*[F.col(f"row.k_{i}") for i in range(len(names))], "n_words", "spans", "items", *["text"] * edit)
 
 
 _RUN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
-def without(text: str, spans: list[dict]) -> str:
+def without(text: str, spans: list[list[int]]) -> str:
     """``text`` with the words of the spans, and what stands between them, cut out; one
     space is left in the place of each span inside the text."""
     out, number, done = [], 0, 0
     words = _RUN.finditer(text)
-    for span in spans:
+    for first, end in spans:
         start = stop = None
-        while number < span["end"]:
+        while number < end:
             word = next(words)
-            if number == span["start"]:
+            if number == first:
                 start = word.start()
             stop = word.end()
             number += 1
@@ -306,17 +310,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     counted before. Untouched texts stay as they are, null ones null; columns of these
     two names are replaced."""
     rest = [c for c in docs.columns if c not in ("n_words", "n_hit")]
-    found = contamination(docs, benchmark, key, text, window=window, keep=rest, **names)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t if not s else without(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("spans"), batch.column("n_words"), pa.array(texts, pa.string())], ["row", "spans", "n_words", "text"])
-
-    inner = F.struct(*[F.lit(None).alias(f"c{i}") if c == text else F.col(f"k_{i}").alias(f"c{i}") for i, c in enumerate(rest)])
-    wide = found.select(inner.alias("row"), "spans", "n_words", F.col(f"k_{rest.index(text)}").cast("string").alias("text"))
-    made = wide.mapInArrow(cut, f"row {wide.schema['row'].dataType.simpleString()}, spans {SPANS}, n_words long, text string")
-    return made.select(*[F.col("text") if c == text else F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest)], "n_words", _hit().alias("n_hit"))
+    found = contamination(docs, benchmark, key, text, window=window, keep=[c for c in rest if c != text], edit=True, **names)
+    others = iter(range(len(rest)))
+    return found.select(*[F.col("text").alias(c) if c == text else F.col(f"k_{next(others)}").alias(c) for c in rest], "n_words", _hit().alias("n_hit"))
 
 
 def _hit() -> Column:
