@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factweave.functions import payload
@@ -354,3 +354,64 @@ def _k1(t: Tables) -> DataFrame:
 def _k2(t: Tables) -> DataFrame:
     even = F.when(F.col("p_size") % 2 == 0, "a").otherwise("b")
     return t.raw("part").select(F.col("p_partkey").alias("item"), evaluate.ancestor_score(even, F.lit("a"), F.lit(1), F.lit(1), F.lit("other")).alias("score"))
+
+
+# Extraction shells ---------------------------------------------------------------------
+
+
+@query("C14_compatible_types", "SELECT p_partkey AS part_key, p_type = 'PROMO' OR lower(p_type) = 'promo' AS same FROM part", plain=True)
+def _c14(t: Tables) -> DataFrame:
+    return t.raw("part").select(F.col("p_partkey").alias("part_key"), (T.type_family(F.col("p_type")) == T.type_family(F.lit("x:PROMO"))).alias("same"))
+
+
+@query("C19_slot_assignment", "SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN 'Agent,Theme' ELSE 'Theme,Agent' END AS slots FROM orders", plain=True)
+def _c19(t: Tables) -> DataFrame:
+    from factweave.operators import extract
+
+    first = F.col("o_orderstatus") == "F"
+    people = F.array(F.struct(F.when(first, "Doer").otherwise("Thing").alias("proto_role")), F.struct(F.when(first, "Thing").otherwise("Other").alias("proto_role")))
+    slots = extract.assign_slots(people, F.array(F.lit("Agent"), F.lit("Theme")), {"Doer": ["Agent"], "Thing": ["Theme"]})
+    return t.raw("orders").select(F.col("o_orderkey").alias("k"), F.array_join(slots, ",").alias("slots"))
+
+
+@query("H13_alias_pairs", "SELECT n_nationkey AS doc_id, 'N' || n_nationkey AS short, upper(n_name) || ' State' AS long FROM nation WHERE length(n_name) >= 2", plain=True)
+def _h13(t: Tables) -> DataFrame:
+    from factweave.operators import extract
+
+    n = t.raw("nation").where("length(n_name) >= 2")
+    short, long = F.concat(F.lit("N"), "n_nationkey"), F.concat(F.upper("n_name"), F.lit(" State"))
+    docs = n.select(F.col("n_nationkey").cast("int").alias("doc_id"), F.concat(F.lit("The "), long, F.lit(" ("), short, F.lit(") met.")).alias("text"))
+    return extract.alias_pairs(docs, n.select(short.alias("name")).union(n.select(long)))
+
+
+@query("H16_order_free_signatures", "SELECT assertion_id, string_agg(role_id || ':' || entity_id, '|' ORDER BY role_id || ':' || entity_id) AS signature FROM fil GROUP BY 1")
+def _h16(t: Tables) -> DataFrame:
+    return t.fillers().groupBy("assertion_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "role_id", "entity_id"))), "|").alias("signature"))
+
+
+@query("H23_object_diff", "SELECT o_orderkey AS k, CASE WHEN o_orderstatus <> 'F' THEN 'status' ELSE '' END AS changed FROM orders", plain=True)
+def _h23(t: Tables) -> DataFrame:
+    from factweave.operators import extract
+
+    left = F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority"))
+    right = F.create_map(F.lit("status"), F.lit("F"), F.lit("priority"), F.col("o_orderpriority"))
+    return t.raw("orders").select(F.col("o_orderkey").alias("k"), F.array_join(F.map_keys(extract.map_diff(left, right)), ",").alias("changed"))
+
+
+@query("E34_metrics_by_model", "SELECT o_orderpriority AS model, count(*)::BIGINT AS n, round(avg((o_orderkey % 5) / 4.0), 4) AS score FROM orders GROUP BY 1 ORDER BY 1", plain=True)
+def _e34(t: Tables) -> DataFrame:
+    return t.raw("orders").groupBy(F.col("o_orderpriority").alias("model")).agg(_n().alias("n"), F.round(F.avg(F.col("o_orderkey") % 5 / 4.0), 4).alias("score")).orderBy("model")
+
+
+@query("G2_type_lists", "SELECT child AS type_id FROM clo WHERE ancestor = 'part' AND depth <= 3 INTERSECT SELECT p_type FROM part", recursive="up AS (SELECT child, parent AS ancestor, 1 AS depth FROM edge UNION SELECT up.child, e.parent, depth + 1 FROM up JOIN edge e ON e.child = up.ancestor), clo AS (SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2)")
+def _g2(t: Tables) -> DataFrame:
+    from factweave.operators import graph
+
+    below = graph.closure(t.type_edges()).where("ancestor = 'part' and depth <= 3").select(F.col("child").alias("type_id"))
+    return below.intersect(t.raw("part").select("p_type"))
+
+
+@query("J26_disposition_history", "SELECT assertion_id, string_agg(target_status, '>' ORDER BY created_at, event_id) AS history FROM disp GROUP BY 1")
+def _j26(t: Tables) -> DataFrame:
+    rows = F.sort_array(F.collect_list(F.struct("created_at", "event_id", "target_status")))
+    return t.dispositions().groupBy("assertion_id").agg(F.array_join(F.transform(rows, lambda r: r["target_status"]), ">").alias("history"))

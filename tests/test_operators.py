@@ -99,3 +99,15 @@ def test_streaming_dispositions(spark, tmp_path):
     run.awaitTermination(120)
     found = {r["event_id"]: (r["legal"], r["status"]) for r in spark.table("statuses").collect()}
     assert found == {1: (True, "weakened"), 2: (True, "retracted"), 3: (False, "retracted"), 4: (False, "active")}
+
+
+def test_extract_rewrites(spark):
+    from factweave.operators import extract, seam
+
+    mentions = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "name string, i int")
+    renames = spark.createDataFrame([("a", "A"), ("b", None)], "name string, target string")
+    assert {(r["name"], r["i"]) for r in extract.rewrite_names(mentions, renames).collect()} == {("A", 1), ("c", 3)}
+    requests = spark.createDataFrame([("k", "t"), ("m", "u")], "request_key string, text string")
+    responses = spark.createDataFrame([("k", "old", 1), ("k", "new", 2)], "request_key string, response string, recorded_at int")
+    assert {r["request_key"]: r["response"] for r in seam.recorded(requests, responses).collect()} == {"k": "new", "m": None}
+    assert {r["response"] for r in seam.filled(requests, lambda texts: [t.upper() for t in texts]).collect()} == {"T", "U"}
