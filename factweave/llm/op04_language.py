@@ -22,6 +22,8 @@ DIMENSIONS = 1024
 ORDER = 3
 #: Prototypes are learned from about this many texts of each language at most.
 SAMPLE_ROWS = 3_000
+#: Languages whose counts are broadcast at most; more are joined by shuffle.
+MOST_LANGUAGES = 100_000
 #: Steepness of the score: share of exp(SCALE x cosine) among the languages.
 SCALE = 40.0
 
@@ -110,8 +112,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     counts = labelled.groupBy("lang").count()
+    if counts.count() <= MOST_LANGUAGES:
+        counts = F.broadcast(counts)
     share = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) / 1_000_003
-    sample = labelled.join(F.broadcast(counts), "lang").where(share * F.col("count") < sample_rows).select("lang", "text").repartition(16)
+    sample = labelled.join(counts, "lang").where(share * F.col("count") < sample_rows).select("lang", "text").repartition(16)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

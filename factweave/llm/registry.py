@@ -27,6 +27,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    from factweave.llm import op10_sharding
+    from factweave.llm import op10_sharding, oracles
 
-    return {"op10_sharding": op10_sharding.op10_sql()}
+    return {"op3_setsketch": oracles.OP3, "op8_fmindex": oracles.OP8, "op9_subspace": oracles.OP9, "op10_sharding": op10_sharding.op10_sql()}
