@@ -22,6 +22,8 @@ _CONTROLS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85)
 _CONTRACTION = re.compile("'(?:s|t|re|ve|m|ll|d)")
 #: Remembered pieces; beyond this many the memory starts anew.
 _MOST_PIECES = 600_000
+#: Pieces encoded at once: the library's encodings take about a kilobyte each.
+_PIECES_AT_ONCE = 2_000
 
 
 def _classes() -> np.ndarray:
@@ -133,11 +135,16 @@ class Encoder:
         held[near] = self._keys[where[near]] == keys[near]
         missing = np.flatnonzero(~held)
         if len(missing):
-            pieces = [string[a:b] for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
-            found = [e.ids for e in self._whole.encode_batch(pieces, add_special_tokens=False)]
-            lengths = np.asarray([len(f) for f in found], np.int64)
+            made, sizes = [self._pool], []
+            for k in range(0, len(missing), _PIECES_AT_ONCE):
+                part = missing[k : k + _PIECES_AT_ONCE]
+                pieces = [string[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)]
+                found = [e.ids for e in self._whole.encode_batch(pieces, add_special_tokens=False)]
+                made.append(np.asarray([i for f in found for i in f], np.uint32))
+                sizes += [len(f) for f in found]
+            lengths = np.asarray(sizes, np.int64)
             at = len(self._pool) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            self._pool = np.concatenate([self._pool, np.asarray([i for f in found for i in f], np.uint32)])
+            self._pool = np.concatenate(made)
             order = where[missing]
             self._keys = np.insert(self._keys, order, keys[missing])
             self._at = np.insert(self._at, order, at)

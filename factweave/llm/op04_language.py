@@ -89,13 +89,13 @@ def encode(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for i in range(ORDER):
         vectors *= np.roll(base, i, axis=1)[digits[i]]
     vectors = vectors.astype(np.float32)
-    step = max(1, 4_000_000 // max(1, len(unique)))
+    step = max(1, 1_000_000 // max(1, len(unique)))
     edges = np.searchsorted(of, np.arange(0, texts + step, step))
     for k in range(len(edges) - 1):
         first, last = k * step, min(texts, (k + 1) * step)
         part = slice(edges[k], edges[k + 1])
-        counts = np.bincount((of[part] - first) * len(unique) + index[part], minlength=(last - first) * len(unique))
-        out[first:last] = counts.reshape(last - first, len(unique)).astype(np.float32) @ vectors
+        counts = np.bincount((of[part] - first) * len(unique) + index[part], minlength=(last - first) * len(unique)).astype(np.float32)
+        out[first:last] = counts.reshape(last - first, len(unique)) @ vectors
     return out, has
 
 
