@@ -37,6 +37,20 @@ def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch at most where rows hold whole texts.
+TEXT_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session held to TEXT_ROWS rows an Arrow batch (a lower setting
+    stays): Spark bounds batches by rows alone, and texts may be long."""
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= TEXT_ROWS:
+        spark.conf.set(_BATCH, str(TEXT_ROWS))
+    return df
+
+
 def forget(df: DataFrame) -> None:
     """Remove a table that ``written`` made and no later plan reads."""
     for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:

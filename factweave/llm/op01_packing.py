@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
-from factweave.llm._store import written
+from factweave.llm._store import bounded_batches, written
 
 #: Lengths that three-part combinations are formed of: the most frequent ones.
 TRIPLE_LENGTHS = 40
@@ -193,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
                 )
 
     kind = f"key {key_type.simpleString()}, part int, n long, rest int, rank long, full_before long, ids binary"
-    tokens = written(rows.mapInArrow(tokenise, kind))
+    tokens = written(bounded_batches(rows).mapInArrow(tokenise, kind))
     counts = tokens.groupBy("part", "rest").agg(F.count("*").alias("c"), F.sum(F.expr(f"n div {window}")).alias("full"))
     counts = written(counts)
     histogram = np.zeros(window, np.int64)

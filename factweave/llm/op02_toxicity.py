@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
+from factweave.llm._store import bounded_batches
 
 #: Labelled documents that the chain is fitted on at most, those of least hashed key.
 SAMPLE_ROWS = 20_000
@@ -173,7 +174,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Co
                 yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in ["h", *ys]), lists], ["h", *ys, "slots"])
 
     kind = ", ".join(["h long", *(f"{y} boolean" for y in ys), "slots array<int>"])
-    table = rows.mapInArrow(work, kind).limit(2 * sample_rows).toArrow().combine_chunks()
+    table = bounded_batches(rows).mapInArrow(work, kind).limit(2 * sample_rows).toArrow().combine_chunks()
     table = table.sort_by([("h", "ascending")])
     slots = [np.asarray(s, np.int64) for s in table.column("slots").to_pylist()]
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in slots])]).astype(np.int64)
@@ -195,7 +196,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([chunk.column("row"), *(pa.array(c) for c in found.T)], ["row", *chain.categories])
 
     kind = ", ".join([f"row {rows.schema['row'].dataType.simpleString()}", *(f"`{c}` double" for c in chain.categories)])
-    return rows.mapInArrow(work, kind).select("row.*", *chain.categories)
+    return bounded_batches(rows).mapInArrow(work, kind).select("row.*", *chain.categories)
 
 
 def categories() -> list[tuple[str, Column]]:

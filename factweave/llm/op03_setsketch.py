@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from factweave.llm import _words
 from factweave.llm._graph import components
-from factweave.llm._store import forget, written
+from factweave.llm._store import bounded_batches, forget, written
 
 BASE, RATE, MOST = 1.001, 20.0, 65_534
 BANDS, ROWS = 40, 6
@@ -125,7 +125,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 data = pa.Array.from_buffers(pa.binary(), len(sets), [None, pa.py_buffer((at * REGISTERS * 2).astype(np.int32).tobytes()), pa.py_buffer(regs.astype("<u2").tobytes())])
                 yield pa.RecordBatch.from_arrays([chunk.column("key"), pa.array(sizes), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)), lists, data], ["key", "n", "s1", "s2", "bands", "registers"])
 
-    return docs.mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long, bands array<long>, registers binary")
+    return bounded_batches(docs).mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long, bands array<long>, registers binary")
 
 
 def _counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +167,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([chunk.column("key"), pa.ListArray.from_arrays(pa.array(at), pa.array(values.view(np.int64)))], ["key", "s"])
 
-    return written(named.mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, s array<long>").dropDuplicates(["key"]))
+    return written(bounded_batches(named).mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, s array<long>").dropDuplicates(["key"]))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:

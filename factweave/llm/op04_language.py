@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
+from factweave.llm._store import bounded_batches
 
 DIMENSIONS = 1024
 ORDER = 3
@@ -129,7 +130,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "vector"])
 
     out: dict[str, np.ndarray] = {}
-    for row in sample.mapInArrow(bundle, "lang string, vector array<double>").collect():  # at most 16 rows a language
+    for row in bounded_batches(sample).mapInArrow(bundle, "lang string, vector array<double>").collect():  # at most 16 rows a language
         out[row["lang"]] = out.get(row["lang"], 0) + np.asarray(row["vector"])
     return {k: out[k] for k in sorted(out)}
 
@@ -156,7 +157,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
                     score[has] = (1 / share.sum(1))[has]
                 yield pa.RecordBatch.from_arrays([chunk.column("row"), pa.array(found.tolist(), pa.string()), pa.array(np.clip(score, 0, 1))], ["row", "lang_pred", "score"])
 
-    out = rows.mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    out = bounded_batches(rows).mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
     return out.select("row.*", "lang_pred", "score")
 
 

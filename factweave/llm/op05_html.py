@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
+from factweave.llm._store import bounded_batches
 
 # Common function words.
 STOP_WORDS = frozenset(
@@ -225,7 +226,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
                 yield pa.RecordBatch.from_arrays([chunk.column("key"), chunk.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["key", "url", "text", "n_chars"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    out = rows.mapInArrow(work, f"key {kinds['key']}, url {kinds['url']}, text string, n_chars long")
+    out = bounded_batches(rows).mapInArrow(work, f"key {kinds['key']}, url {kinds['url']}, text string, n_chars long")
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
+from factweave.llm._store import bounded_batches
 
 #: Labelled documents that rules are fitted on at most, those of least hashed key.
 SAMPLE_ROWS = 20_000
@@ -104,7 +105,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                 found = measure(chunk.column("text"))
                 yield pa.RecordBatch.from_arrays([chunk.column("row"), *(pa.array(c) for c in found.T)], ["row", *STATISTICS])
 
-    return rows.mapInArrow(work, ", ".join([f"row {rows.schema['row'].dataType.simpleString()}", *(f"{n} double" for n in STATISTICS)]))
+    return bounded_batches(rows).mapInArrow(work, ", ".join([f"row {rows.schema['row'].dataType.simpleString()}", *(f"{n} double" for n in STATISTICS)]))
 
 
 @dataclass(frozen=True)

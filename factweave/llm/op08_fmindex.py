@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
+from factweave.llm._store import bounded_batches
 
 #: Words of one shard at most, unless a single document has more.
 SHARD_WORDS = 400_000
@@ -247,7 +248,7 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int,
             yield from flush()
 
     row = docs.schema["row"].dataType.simpleString()
-    return docs.select("row", "text", "spans", "items").mapInArrow(work, f"row {row}, text string, spans {SPANS}, items array<string>, n_words long")
+    return bounded_batches(docs.select("row", "text", "spans", "items")).mapInArrow(work, f"row {row}, text string, spans {SPANS}, items array<string>, n_words long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 10, keep: list[str] | None = None, edit: bool = False) -> DataFrame:
