@@ -7,7 +7,8 @@ similar documents into common buckets; candidates are estimated jointly by maxim
 likelihood from how many registers are equal, larger or smaller, and the survivors are
 confirmed on the full sets.
 
-Equal sets form a class first and enter once. A bucket is not expanded into pairs:
+Equal sets form a class first and enter once; the rows of one key may lie in several
+classes, whose components are joined at the end. A bucket is not expanded into pairs:
 each member meets the bucket's first, and what is apart after that is compared block by
 block inside a task, in the first band that a pair has in common: pairs estimated near or
 above the threshold are confirmed there on the full sets unless they are joined by then,
@@ -99,7 +100,7 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, li
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(key, n, s1, s2, bands, registers) of each document (key, text); s1 and s2
+    """(name, key, n, s1, s2, bands, registers) of each row (name, key, text); s1 and s2
     name the set. Empty sets have no bands."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +124,9 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 at = np.concatenate([[0], np.cumsum(sizes > 0)])
                 lists = pa.ListArray.from_arrays(pa.array((at * BANDS).astype(np.int32)), pa.array(bands.view(np.int64).ravel()))
                 data = pa.Array.from_buffers(pa.binary(), len(sets), [None, pa.py_buffer((at * REGISTERS * 2).astype(np.int32).tobytes()), pa.py_buffer(regs.astype("<u2").tobytes())])
-                yield pa.RecordBatch.from_arrays([chunk.column("key"), pa.array(sizes), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)), lists, data], ["key", "n", "s1", "s2", "bands", "registers"])
+                yield pa.RecordBatch.from_arrays([chunk.column("name"), chunk.column("key"), pa.array(sizes), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)), lists, data], ["name", "key", "n", "s1", "s2", "bands", "registers"])
 
-    return bounded_batches(docs).mapInArrow(work, f"key {docs.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long, bands array<long>, registers binary")
+    return bounded_batches(docs).mapInArrow(work, f"name {docs.schema['name'].dataType.simpleString()}, key {docs.schema['key'].dataType.simpleString()}, n long, s1 long, s2 long, bands array<long>, registers binary")
 
 
 def _counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,20 +297,44 @@ def _cross(members: DataFrame, docs: DataFrame, shingle: int, threshold: float,
     return full.select(*fields, "s").mapInArrow(join, f"a {kind}, b {kind}")
 
 
+def _of_keys(sketch: DataFrame, of_class: DataFrame) -> DataFrame:
+    """(name, n, component_id) of each row of ``sketch`` (name, n, s1, s2): parts of
+    ``of_class`` (n, s1, s2, part) that share a name are joined, and the least name of what
+    hangs together is the component's."""
+    member = written(sketch.where("n > 0 and name is not null").join(of_class, ["n", "s1", "s2"]).select("name", "n", "part"))
+    several = written(member.groupBy("name").agg(F.min("part").alias("u"), F.max("part").alias("most")).where("u != most").select("name", "u"))
+    wider = components(member.join(several, "name").where("part != u").select("u", F.col("part").alias("v")))
+    parts = written(
+        member.groupBy("part").agg(F.min("name").alias("least"))
+        .join(wider.withColumnRenamed("id", "part"), "part", "left")
+        .select("part", "least", F.coalesce("component", "part").alias("whole"))
+    )
+    wholes = written(parts.groupBy("whole").agg(F.min("least").alias("component_id")))
+    full = member.join(written(parts.join(wholes, "whole").select("part", "component_id")), "part").select("name", "n", "component_id")
+    empty = sketch.where("n = 0 and name is not null").select("name", "n")
+    of_empty = written(full.join(empty.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min("component_id").alias("found")))
+    rest = empty.join(of_empty, "name", "left").select("name", "n", F.coalesce("found", "name").alias("component_id"))
+    unnamed = sketch.where("name is null").select("name", "n", F.col("name").alias("component_id"))
+    return full.union(rest).union(unnamed)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept) of each document.
 
     Words are what white space (ASCII) separates, A-Z lower-cased; a text of fewer than
     ``shingle`` words is one shingle. Null and empty texts have no shingles and are
     linked with nothing, nor is a row with a null key (its component is null, kept
-    false). Rows that share a key are one document if their texts agree; else the links
-    of either count for the key. Further columns are not read; an empty table gives no
-    rows. A pair of similarity 0.8 escapes all bands with probability 5e-6.
+    false). Rows that share a key are one document: the links of each of their texts count
+    for the key, and all of them get its component. Rows are told apart by a hash of key
+    and text of 64 bits; two of N distinct ones agree with probability N^2 / 2^65. Further
+    columns are not read; an empty table gives no rows. A pair of similarity 0.8 escapes
+    all bands with probability 5e-6.
     """
     threshold = percent / 100
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(key).alias("name"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("name", "text"))
     sketch = written(sketches(rows, shingle))
-    named = sketch.where("n > 0 and key is not null")
+    rows = rows.select("key", "text")
+    named = sketch.where("n > 0 and name is not null")
     classes = written(named.groupBy("n", "s1", "s2").agg(F.min("key").alias("rep")))
     reps = written(named.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"]).select("key", "n", "bands", "registers"))
     buckets = reps.select("key", F.posexplode("bands").alias("number", "band"))
@@ -327,10 +352,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     more = _cross(members, rows, shingle, threshold, percent)
     found = written(components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))))
     forget(inside)
-    of_class = written(classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("found")))
-    out = sketch.select("key", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("found", "key"))
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("key"), F.lit(False)).alias("kept"))
+    of_class = written(classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("part")))
+    return _of_keys(sketch.select("name", "n", "s1", "s2"), of_class).select(F.col("name").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("component_id") == F.col("name"), F.lit(False)).alias("kept"))
 
 
 def op3_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,26 @@ def test_setsketch_edges(spark):
     assert len(found) == 4 and {r["component_id"] for r in found} == {1, None}
 
 
+def test_setsketch_key_of_several_texts(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, one), (2, two), (5, one + " x"), (5, two + " y"), (5, None), (5, "alone"), (6, two + " z"), (7, ""), (8, "other"), (None, one), (None, "")]
+    found = op03_setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"]) for r in found), key=str) == sorted(((i, len(_shingles(t, 2))) for i, t in rows), key=str)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found} == {(1, 1, True), (2, 1, False), (5, 1, False), (6, 1, False), (7, 7, True), (8, 8, True), (None, None, False)}
+
+
+def test_setsketch_shared_keys(spark):
+    rows = [(str(i if i < 90 else i % 100), t) for i, t in _texts().items()]
+    rows += [("40", t) for _, t in rows[100:]]
+    found = op03_setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"), shingle=2).collect()
+    sets = {}
+    for i, t in rows:
+        sets.setdefault(i, []).append(_shingles(t, 2))
+    wanted = _components(sorted(sets), lambda a, b: any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]))
+    assert len(found) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in found} == set(wanted.items())
+
+
 def test_sketch_merges():
     rng = np.random.default_rng(1)
     a, b = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (300, 200))
