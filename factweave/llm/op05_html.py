@@ -40,6 +40,8 @@ SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.30, 0.32, 0.2
 _RAW = frozenset("script style noscript template textarea title iframe svg math canvas object audio video xmp noembed noframes".split())
 _OUT = frozenset("head nav footer aside form button select option label fieldset menu dialog datalist".split())
 _IN = frozenset("article main".split())
+#: What may stand in a head; any other element, or text, ends a head that is left open.
+_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 _NESTING = frozenset("div section article main nav header footer aside form ul ol dl table tbody thead tr td th fieldset figure body html head details dialog menu button select blockquote label".split())
@@ -107,6 +109,15 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(joined, len(" ".join(_html.unescape(" ".join(links)).split())), excluded, article, box))
         text, links = [], []
 
+    def leave_head() -> None:
+        """What cannot stand in an open head ends it."""
+        nonlocal excluded, article, box
+        heads = [i for i, x in enumerate(stack) if x[0] == "head"] if excluded else []
+        if heads:
+            close()
+            del stack[heads[0] :]
+            excluded, article, box = stack[-1][1:] if stack else (False, 0, 0)
+
     at, size = 0, len(page)
     while at < size:
         match = _TOKEN.search(page, at)
@@ -116,6 +127,8 @@ def blocks(page: str) -> list[Block]:
             match_start, after = match.start(), match.end()
         if match_start > at:
             part = page[at:match_start]
+            if excluded and part.strip():
+                leave_head()
             text.append(part)
             if in_link:
                 links.append(part)
@@ -123,6 +136,8 @@ def blocks(page: str) -> list[Block]:
         if match is None or match[2] is None:
             continue
         closing, name = match[1], match[2].lower()
+        if not closing and name not in _HEAD:
+            leave_head()
         if name == "a":
             in_link = 0 if closing else 1
         if name in _RAW and not closing:

@@ -92,6 +92,15 @@ def test_html():
         op05_html.main_text(bad)
 
 
+def test_html_open_head():
+    for start in ("<html><head><title>x</title><meta charset=utf-8>", "<head><link rel=x><style>p {}</style>\n", "<html><head><title>x</title><html>"):
+        assert op05_html.main_text(start + "<body><article><p>Hello there.</p></article></body></html>") == "Hello there."
+        assert op05_html.main_text(start + "<article><p>Hello there.</p></article>") == "Hello there."
+        assert op05_html.main_text(start + "<svg></svg><main>Hello there.</main>") == "Hello there."
+    words = "the cat and the dog of the house " * 10
+    assert op05_html.main_text("<head><title>x</title>" + words) == words.strip()
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "t"), (2, None, None, "t")], "page_id long, url string, html string, text string")
     found = {r["page_id"]: r for r in op05_html.extract(pages).collect()}
