@@ -692,7 +692,7 @@ def _c13(t: Tables) -> DataFrame:
 
 @query("C16_anaphors")
 def _c16(t: Tables) -> DataFrame:
-    lines = t.raw("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("name")).where("trim(name) <> '' and length(name) < 200")
+    lines = t.raw("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("name")).where("trim(name) <> ''")
     return lines.select("doc_id", T.anaphor(F.col("name")).alias("a")).groupBy("doc_id", F.col("a.rule").alias("rule")).agg(_n().alias("n"))
 
 
