@@ -403,7 +403,7 @@ def _e36(t: Tables) -> DataFrame:
 
 @query("E37_ordered_distinct", "SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(string_split(left(text, 100), ' ')), lambda w: [lpad(list_position(string_split(left(text, 100), ' '), w)::VARCHAR, 4, '0'), w])), lambda x: x[2]), ' ') AS words FROM documents", plain=True)
 def _e37(t: Tables) -> DataFrame:
-    return t.raw("documents").select("doc_id", F.array_join(F.array_distinct(F.split(F.left("text", F.lit(100)), " ")), " ").alias("words"))
+    return t.raw("documents").select("doc_id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words"))
 
 
 # Order, limit, top-k -------------------------------------------------------------------
@@ -761,7 +761,7 @@ def _h12(t: Tables) -> DataFrame:
 
 @query("H14_comparison_names", "SELECT doc_id, rtrim(trim(lower(left(text, 40))), '.') AS n FROM documents", plain=True)
 def _h14(t: Tables) -> DataFrame:
-    return t.raw("documents").select("doc_id", T.comparison_name(F.left("text", F.lit(40))).alias("n"))
+    return t.raw("documents").select("doc_id", T.comparison_name(F.col("text")).alias("n"))
 
 
 @query("H22_ancestor_scores", """SELECT c.child, c.ancestor, c.depth::BIGINT AS depth, round(0.8 * greatest((dp.d + 1)::DOUBLE / (dw.d + 1), 0.05), 4) AS score FROM clo c
