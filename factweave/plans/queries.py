@@ -659,13 +659,19 @@ def _c4(t: Tables) -> DataFrame:
 def _c5(t: Tables) -> DataFrame:
     from factweave.functions import payload
 
-    # Spans start with the item's first words: an equi-join on them finds candidates.
-    b = t.raw("benchmark").select("item_id", F.col("text").alias("span"), F.substring_index("text", " ", 4).alias("head"))
+    # Wherever an item of five words or more stands, its second to fourth words stand between
+    # the same spaces: an equi-join on them finds all candidates. Shorter items meet every document.
+    b = t.raw("benchmark").select("item_id", F.col("text").alias("span"), F.split("text", " ").alias("w"))
+    d = t.raw("documents").select("doc_id", "text")
     words = F.split("text", " ")
-    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 4), " "))
-    d = t.raw("documents").select("doc_id", "text", F.explode(F.array_distinct(F.flatten(F.transform(heads, lambda h: F.array(h, F.substring_index(h, "\n", -1)))))).alias("head"))
-    rows = d.join(F.broadcast(b), "head").withColumn("s", payload.locate_span(F.col("text"), F.col("span"))).where("s is not null").dropDuplicates(["doc_id", "item_id"])
-    return rows.select("doc_id", "item_id", payload.span_ok(F.col("text"), F.col("s.start"), F.col("s.end"), F.col("span")).alias("ok"))
+    keys = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " "))
+    long = b.where(F.size("w") > 4).select("item_id", "span", F.array_join(F.slice("w", 2, 3), " ").alias("key"))
+    short = b.where(F.size("w") <= 4).select("item_id", "span")
+    met = d.withColumn("key", F.explode(F.array_distinct(keys))).join(F.broadcast(long), "key").select("doc_id", "text", "item_id", "span")
+    rows = met.union(d.join(F.broadcast(short), F.contains("text", "span")).select("doc_id", "text", "item_id", "span"))
+    at = F.position("span", "text") - 1
+    ok = payload.span_ok(F.col("text"), at, at + F.length("span"), F.col("span")) | (F.col("span") == "")
+    return rows.where(at >= 0).select("doc_id", "item_id", ok.alias("ok"))
 
 
 @query("C8_review_guard", "SELECT candidate_id, review_status = 'pending_review' AND validation_status <> 'invalid' AS legal FROM cand")
