@@ -6,6 +6,7 @@ with the same columns.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +15,11 @@ from factweave.llm._store import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
-    prototypes = op04_language.learn(docs)
+    """Documents with a letter, whose score is above 0; null texts and those without one
+    go. Where no language was learned, one prototype stands for all."""
+    prototypes = op04_language.learn(docs) or {"und": np.ones(op04_language.DIMENSIONS)}
     found = op04_language.predict(docs, prototypes)
-    return found.where("lang_pred != 'und'").select(*docs.columns)
+    return found.where("score > 0").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
