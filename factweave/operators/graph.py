@@ -43,22 +43,25 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if new == state or not new[0]:
             break
         state = new
+    else:
+        raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
 
 
-def closure(edges: DataFrame, most_depth: int = 50) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(child, ancestor, depth) of every ancestor, depth being the least number of edges.
     Safe on cycles and on several parents."""
     step = edges.select("child", "parent").where("child <> parent").distinct()
     found = cut(step.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")))
     front = found
-    for depth in range(2, most_depth + 1):
+    depth = 1
+    while True:
+        depth += 1
         next_ = front.join(step.select(F.col("child").alias("ancestor"), F.col("parent").alias("up")), "ancestor").select("child", F.col("up").alias("ancestor")).where("child <> ancestor").distinct()
         front = cut(next_.join(found, ["child", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
         if front.isEmpty():
-            break
+            return found
         found = cut(found.union(front))
-    return found
 
 
 def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import pytest
+
 from factweave.operators import chunk, graph, identity, search, validate
 from factweave.sinks import events, export
 
@@ -111,3 +113,9 @@ def test_extract_rewrites(spark):
     responses = spark.createDataFrame([("k", "old", 1), ("k", "new", 2)], "request_key string, response string, recorded_at int")
     assert {r["request_key"]: r["response"] for r in seam.recorded(requests, responses).collect()} == {"k": "new", "m": None}
     assert {r["response"] for r in seam.filled(requests, lambda texts: [t.upper() for t in texts]).collect()} == {"T", "U"}
+
+
+def test_unfinished_components_raise(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")
+    with pytest.raises(RuntimeError):
+        graph.components(chain, most_rounds=1)
