@@ -8,16 +8,16 @@ predictions, so that it sees what they give on texts they have not learned from.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
-from factweave.llm._store import bounded_batches
+from factweave.llm._store import bounded_batches, forget, written
 
 #: Labelled documents that the chain is fitted on at most, those of least hashed key.
 SAMPLE_ROWS = 20_000
@@ -25,6 +25,8 @@ FOLDS = 5
 BITS = 17
 PASSES, PENALTY = 250, 3e-4
 SIGMAS, LEAST = 4.5, 5
+#: Slots that one model learns from at most.
+MOST_SLOTS = 4_096
 _EDGES = (4, 5, 6)
 
 
@@ -81,31 +83,28 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _telling(slots: np.ndarray, owner: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slots whose frequency differs between the classes by SIGMAS standard errors."""
-    n1, n = y.sum(), len(y)
-    a = np.bincount(slots, y[owner], minlength=1 << BITS)
-    c = np.bincount(slots, minlength=1 << BITS)
-    share = n1 / n
-    error = np.sqrt(np.maximum(c * share * (1 - share) * (1 - c / n), 1e-9))
-    return np.flatnonzero((np.abs(a - c * share) >= SIGMAS * error) & (c >= LEAST))
+def _sigmas(n: Column, in_category: Column, rows: int, total: int) -> Column:
+    """By how many standard errors the share of a category among the ``n`` texts with a
+    slot differs from its share ``total / rows`` among all texts; 0 below LEAST texts."""
+    share = total / rows if rows else 0.0
+    error = F.sqrt(F.greatest(n * F.lit(share * (1 - share)) * (1 - n / F.lit(float(max(rows, 1)))), F.lit(1e-9)))
+    return F.when(n >= LEAST, F.abs(in_category - n * F.lit(share)) / error).otherwise(0.0)
 
 
-def fit(slots: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> Linear:
-    """L2-penalised logistic regression on the features that tell the classes apart, by
-    gradient steps adapted to each feature."""
+def fit(slots: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, y: np.ndarray, told: np.ndarray) -> Linear:
+    """L2-penalised logistic regression on the slots ``told``, by gradient steps adapted
+    to each feature."""
     n = len(y)
     share = np.clip(y.mean(), 0.01, 0.99) if n else 0.5
     weights, chained = np.zeros(1 << BITS, np.float32), np.zeros(earlier.shape[1])
     if n == 0 or y.min() == y.max():
         return Linear(weights, chained, float(np.log(share / (1 - share))))
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    telling = _telling(slots, owner, y)
-    index = np.full(1 << BITS, -1)
-    index[telling] = np.arange(len(telling))
+    index = np.full(1 << BITS, -1, np.int32)
+    index[told] = np.arange(len(told))
     column = index[slots]
-    column, owner = column[column >= 0], owner[column >= 0]
-    m = len(telling)
+    owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))[column >= 0]
+    column = column[column >= 0]
+    m = len(told)
     w = np.zeros(m + earlier.shape[1] + 1)
     w[-1] = np.log(share / (1 - share))
     squares = np.full(len(w), 1e-8)
@@ -116,7 +115,7 @@ def fit(slots: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, y: np.ndarra
         gradient[:-1] += PENALTY * w[:-1]
         squares = 0.9 * squares + 0.1 * gradient**2
         w -= 0.1 / (1 + step / 40) * gradient / (np.sqrt(squares) + 1e-8)
-    weights[telling] = w[:m]
+    weights[told] = w[:m]
     return Linear(weights, w[m:-1], float(w[-1]))
 
 
@@ -139,48 +138,101 @@ def _rows(slots: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.n
     return slots[np.repeat(bounds[:-1][rows] - edges[:-1], sizes) + np.arange(edges[-1])], edges
 
 
-def fit_chain(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, categories: Sequence[str], folds: np.ndarray) -> Chain:
-    """``labels`` has a column for each category, ``folds`` a fold for each text."""
+def fit_chain(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, categories: Sequence[str], folds: np.ndarray, told: Mapping[tuple[int, int], np.ndarray]) -> Chain:
+    """``labels`` has a column for each category, ``folds`` a fold for each text, ``told``
+    the slots to learn from for each category and fold left out (-1: none)."""
     earlier, models = np.zeros((len(labels), 0)), []
     for k in range(len(categories)):
         y = labels[:, k].astype(float)
-        models.append(fit(slots, bounds, earlier, y))
+        models.append(fit(slots, bounds, earlier, y, told[k, -1]))
         if k + 1 == len(categories):
             break
         outside = np.zeros(len(y))
         for fold in range(FOLDS):
             held, rest = np.flatnonzero(folds == fold), np.flatnonzero(folds != fold)
-            model = fit(*_rows(slots, bounds, rest), earlier[rest], y[rest])
+            model = fit(*_rows(slots, bounds, rest), earlier[rest], y[rest], told[k, fold])
             outside[held] = _sigmoid(model.margin(*_rows(slots, bounds, held), earlier[held]))
         earlier = np.column_stack([earlier, outside])
     return Chain(tuple(categories), tuple(models))
 
 
-def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Column]], key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Chain:
-    """Chain over ``categories`` (name and a boolean expression over ``labels``), in that
-    order, from at most ``sample_rows`` labelled documents. Labels with a null key are
-    left out, a null expression is false, and a key with several labels has a category
-    if any of them says so."""
+def _sample(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Column]], key: str, text: str, sample_rows: int) -> DataFrame:
+    """(h, fold, y0, y1, .., slots) of the sample's texts."""
     found = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(*[F.max(F.coalesce(c, F.lit(False))).alias(f"y{i}") for i, (_, c) in enumerate(categories)])
-    sample = found.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
     ys = [f"y{i}" for i in range(len(categories))]
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "key").select(F.xxhash64("key").alias("h"), *ys, "text").repartition(16)
+    named = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    chosen = found.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
+    h = F.xxhash64("key")
+    rows = named.join(F.broadcast(chosen), "key").groupBy("key", *ys).agg(F.min("text").alias("text")).select(h.alias("h"), F.pmod(h, F.lit(FOLDS)).cast("int").alias("fold"), *ys, "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in _words.chunks(batch, "text"):
                 slots, bounds = features(chunk.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(slots.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in ["h", *ys]), lists], ["h", *ys, "slots"])
-
-    kind = ", ".join(["h long", *(f"{y} boolean" for y in ys), "slots array<int>"])
-    table = bounded_batches(rows).mapInArrow(work, kind).limit(2 * sample_rows).toArrow().combine_chunks()
-    table = table.sort_by([("h", "ascending")])
-    slots = [np.asarray(s, np.int64) for s in table.column("slots").to_pylist()]
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in slots])]).astype(np.int64)
-    y = np.stack([np.asarray(table.column(c).to_pylist(), bool) for c in ys], 1) if len(slots) else np.zeros((0, len(ys)))
-    flat = np.concatenate(slots) if slots else np.zeros(0, np.int64)
-    return fit_chain(flat, bounds, y, [n for n, _ in categories], np.arange(len(slots)) % FOLDS)
+                yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in ["h", "fold", *ys]), lists], ["h", "fold", *ys, "slots"])
+
+    kind = ", ".join(["h long", "fold int", *(f"{y} boolean" for y in ys), "slots array<int>"])
+    return written(bounded_batches(rows).mapInArrow(work, kind))
+
+
+def _told(sample: DataFrame, categories: int) -> dict[tuple[int, int], np.ndarray]:
+    """Slots that tell each category, over all folds and with each left out: the
+    MOST_SLOTS that tell most at most."""
+    ys = [f"y{k}" for k in range(categories)]
+    sums = {r["fold"]: r for r in sample.groupBy("fold").agg(F.count("*").alias("n"), *[F.count_if(y).alias(y) for y in ys]).collect()}
+    folds, outs = range(FOLDS), range(-1, FOLDS)
+    # One row for each slot: how many texts have it, in each fold and category.
+    by = F.col("fold")
+    counts = sample.select("fold", *ys, F.explode("slots").alias("slot")).groupBy("slot").agg(
+        *[F.count_if(by == f).alias(f"n_{f}") for f in folds], *[F.count_if((by == f) & F.col(y)).alias(f"{y}_{f}") for f in folds for y in ys]
+    )
+    marks = []
+    for out in outs:
+        inside = [f for f in folds if f != out]
+        total = lambda name: sum((F.col(f"{name}_{f}") for f in inside), F.lit(0))  # noqa: B023, E731
+        rows = sum(sums[f]["n"] for f in inside if f in sums)
+        for k, y in enumerate(ys):
+            sigmas = _sigmas(total("n"), total(y), rows, sum(sums[f][y] for f in inside if f in sums))
+            marks.append(F.struct(F.lit(k).alias("k"), F.lit(out).alias("out"), sigmas.alias("sigmas")))
+    scores = counts.select("slot", F.explode(F.array(*marks)).alias("t")).select("slot", "t.*")
+    rank = F.row_number().over(Window.partitionBy("k", "out").orderBy(F.desc("sigmas"), "slot"))
+    kept = scores.where(F.col("sigmas") >= SIGMAS).withColumn("rank", rank).where(F.col("rank") <= MOST_SLOTS).select("k", "out", "slot").toArrow()
+    k, out, slot = (kept.column(c).to_numpy() for c in ("k", "out", "slot"))
+    return {(i, o): np.sort(slot[(k == i) & (out == o)]) for i in range(categories) for o in outs}
+
+
+def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Column]], key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Chain:
+    """Chain over ``categories`` (name and a boolean expression over ``labels``), in that
+    order, from the documents of at most ``sample_rows`` labels, those of least hashed key.
+
+    Labels with a null key are left out, a null expression is false, and a key with
+    several labels has a category if any of them says so. Of several documents of one
+    key the least text is learned from, so repeated rows count once; a null text counts
+    as empty. Without a labelled document every probability is one half. Features are
+    counted by Spark; only the slots that tell reach the driver.
+    """
+    sample = _sample(docs, labels, categories, key, text, sample_rows)
+    told = _told(sample, len(categories))
+    ys = [f"y{i}" for i in range(len(categories))]
+    every = np.unique(np.concatenate(list(told.values()))).astype(np.int32)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("slots")
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+            keep = np.isin(flat, every)
+            bounds = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]].astype(np.int32)
+            picked = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat[keep]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ["h", "fold", *ys]), picked], ["h", "fold", *ys, "slots"])
+
+    table = sample.mapInArrow(pick, sample.schema).toArrow().combine_chunks().sort_by([("h", "ascending")])
+    forget(sample)
+    lists = table.column("slots").combine_chunks()
+    bounds, flat = (lists.offsets.to_numpy(), lists.values.to_numpy()) if len(lists) else (np.zeros(1, np.int32), np.zeros(0, np.int32))
+    y = np.stack([table.column(c).to_numpy() for c in ys], 1).astype(bool).reshape(-1, len(ys))
+    return fit_chain(flat, bounds.astype(np.int64), y, [n for n, _ in categories], table.column("fold").to_numpy(), told)
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
