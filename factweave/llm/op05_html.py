@@ -51,7 +51,8 @@ _STEMS_OUT = ("advert", "comment", "sidebar", "cookie", "consent", "newsletter",
 _HEADER_OUT = frozenset("header topbar".split())
 _ARTICLE_WORDS = frozenset("article post entry content story body main".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'](?=[^"']*\Z))*)(?:>|\Z)""", re.S)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""(class|id|role|aria-label|aria-hidden|style|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[a-z]+", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -92,10 +93,58 @@ def _excluded(name: str, attributes: str, article: int) -> bool:
     return False
 
 
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, name, attributes) of each piece of markup in order; the name of a
+    closing tag begins with a slash, and comments and declarations have none. A quote
+    without its fellow is an ordinary character; what is not closed ends with the page.
+    Each character is looked at a bounded number of times. The receiver may send the
+    place to go on from."""
+    size = len(page)
+    last = {q: page.rfind(q) for q in "\"'"}
+    at = page.find("<")
+    while at >= 0:
+        name = attributes = ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            end = size if end < 0 else end + 3
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            end = size if end < 0 else end + 1
+        else:
+            found = _NAME.match(page, at + 1)
+            if found is None:
+                at = page.find("<", at + 1)
+                continue
+            name, end = found[0].lower(), found.end()
+            while True:
+                stop = _STOP.search(page, end)
+                if stop is None:
+                    end = size
+                    break
+                end = stop.end()
+                if stop[0] == ">":
+                    break
+                if stop.start() < last[stop[0]]:
+                    end = page.index(stop[0], end) + 1
+            attributes = page[found.end() : end].removesuffix(">")
+        on = yield at, end, name, attributes
+        at = page.find("<", end if on is None else on)
+
+
+_CLOSERS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in _RAW}
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks of a page in order, white space folded and references decoded."""
+    """Blocks of a page in order, white space folded and references decoded. The time is
+    in proportion to the page's length, whatever its markup."""
     out: list[Block] = []
     stack: list[tuple[str, bool, int, int]] = []  # name, excluded, article, box
+    open_: dict[str, int] = {}  # how many elements of a name the stack holds
+    heads: list[int] = []  # where on the stack the heads are
+    unclosed: set[str] = set()  # raw elements without a closing tag from here on
     text: list[str] = []
     links: list[str] = []
     in_link = articles = boxes = 0
@@ -109,44 +158,55 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(joined, len(" ".join(_html.unescape(" ".join(links)).split())), excluded, article, box))
         text, links = [], []
 
+    def pop(until: int) -> None:
+        nonlocal excluded, article, box
+        while len(stack) > until:
+            open_[stack.pop()[0]] -= 1
+        while heads and heads[-1] >= until:
+            heads.pop()
+        excluded, article, box = stack[-1][1:] if stack else (False, 0, 0)
+
     def leave_head() -> None:
         """What cannot stand in an open head ends it."""
-        nonlocal excluded, article, box
-        heads = [i for i, x in enumerate(stack) if x[0] == "head"] if excluded else []
         if heads:
             close()
-            del stack[heads[0] :]
-            excluded, article, box = stack[-1][1:] if stack else (False, 0, 0)
-
-    at, size = 0, len(page)
-    while at < size:
-        match = _TOKEN.search(page, at)
-        if match is None:
-            match_start, after = size, size
-        else:
-            match_start, after = match.start(), match.end()
-        if match_start > at:
-            part = page[at:match_start]
-            if excluded and part.strip():
-                leave_head()
-            text.append(part)
-            if in_link:
-                links.append(part)
-        at = max(after, match_start)
-        if match is None or match[2] is None:
+            pop(heads[0])
+
+    def add(part: str) -> None:
+        if heads and part.strip():
+            leave_head()
+        text.append(part)
+        if in_link:
+            links.append(part)
+
+    at, on = 0, None
+    tokens = _tokens(page)
+    while True:
+        try:
+            start, end, name, attributes = tokens.send(on)
+        except StopIteration:
+            break
+        on = None
+        if start > at:
+            add(page[at:start])
+        at = end
+        if not name:
             continue
-        closing, name = match[1], match[2].lower()
+        closing, name = name.startswith("/"), name.removeprefix("/")
         if not closing and name not in _HEAD:
             leave_head()
         if name == "a":
             in_link = 0 if closing else 1
         if name in _RAW and not closing:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            if not match[3].rstrip().endswith("/") or name not in ("svg", "math"):
-                at = end.end() if end else size
+            if name in ("svg", "math") and attributes.rstrip().endswith("/"):
+                continue
+            found = None if name in unclosed else _CLOSERS[name].search(page, at)
+            if found is None:
+                unclosed.add(name)
+            on = at = found.end() if found else len(page)
             continue
         if name in _INLINE and name not in _NESTING:
-            if name != "span" or closing or not _excluded(name, match[3], article):
+            if name != "span" or closing or not _excluded(name, attributes, article):
                 continue
         if name in ("br", "hr", "wbr"):
             text.append(" " if name != "wbr" else "")
@@ -157,19 +217,25 @@ def blocks(page: str) -> list[Block]:
         if name not in _NESTING:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if open_.get(name):
+                until = len(stack) - 1
+                while stack[until][0] != name:
+                    until -= 1
+                pop(until)
         else:
             inside = article
             if name in _IN and not article:
                 articles += 1
                 inside = articles
             boxes += 1
-            stack.append((name, excluded or _excluded(name, match[3], article), inside, boxes))
-        excluded, article, box = stack[-1][1:] if stack else (False, 0, 0)
+            if name == "head":
+                heads.append(len(stack))
+            open_[name] = open_.get(name, 0) + 1
+            stack.append((name, excluded or _excluded(name, attributes, article), inside, boxes))
+            excluded, article, box = stack[-1][1:]
         in_link = 0
+    if at < len(page):
+        add(page[at:])
     close()
     return out
 
