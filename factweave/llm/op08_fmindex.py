@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
-from factweave.llm._store import bounded_batches
+from factweave.llm._store import bounded_batches, forget, written
 
 #: Words of one shard at most, unless a single document has more.
 SHARD_WORDS = 400_000
 #: One suffix position in so many is kept.
 SAMPLE = 8
-#: Phrases that are sent to the executors at once; more go in further rounds.
-MOST_PHRASES = 2_000_000
+#: Benchmark words (at most) that are sent to the executors at once, about; more go in further passes.
+MOST_WORDS = 2_000_000
 
 
 class WaveletMatrix:
@@ -130,26 +130,26 @@ def _unsettled(new: np.ndarray, places: np.ndarray) -> np.ndarray:
     return places[~alone]
 
 
-def phrases_of(items: list[tuple[object, str | None]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list, np.ndarray]:
+def phrases_of(items: list[tuple[str | None, str | None]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Vocabulary (sorted word hashes), distinct phrases as symbols (padded with 0),
-    their lengths, the item ids and, per phrase, which items have it as pairs
-    (phrase, item)."""
-    text = pa.array([t for _, t in items], pa.large_string())
-    data, offsets = _words.raw(text)
+    their lengths, the distinct item ids and, per phrase, which ids have it as pairs
+    (phrase, id). A null id is none."""
+    data, offsets = _words.raw(pa.array([t for _, t in items], pa.large_string()))
     hashes, bounds = _words.words(data, offsets, _words.NOT_WORD)
     vocabulary = np.unique(hashes)
-    symbols = np.searchsorted(vocabulary, hashes) + 2
-    seen: dict[tuple, int] = {}
-    owners: set[tuple[int, int]] = set()
-    for i in range(len(items)):
-        own = symbols[bounds[i] : bounds[i + 1]].tolist()
-        for k in range(max(1, len(own) - window + 1) if own else 0):
-            phrase = tuple(own[k : k + window])
-            owners.add((seen.setdefault(phrase, len(seen)), i))
-    phrases = np.zeros((len(seen), window), np.int64)
-    for phrase, i in seen.items():
-        phrases[i, : len(phrase)] = phrase
-    return vocabulary, phrases, np.asarray([len(p) for p in seen], np.int64), [i for i, _ in items], np.asarray(sorted(owners), np.int64).reshape(-1, 2)
+    symbols = np.concatenate([np.searchsorted(vocabulary, hashes) + 2, np.zeros(window, np.int64)]).astype(np.int32)
+    sizes = np.diff(bounds)
+    made = np.where(sizes >= window, sizes - window + 1, np.minimum(sizes, 1))
+    item = np.repeat(np.arange(len(items)), made)
+    at = np.arange(made.sum()) - np.repeat(np.cumsum(made) - made, made) + bounds[:-1][item]
+    every = symbols[at[:, None] + np.arange(window)]
+    every[np.arange(window) >= sizes[item][:, None]] = 0
+    phrases, which = np.unique(every, axis=0, return_inverse=True)
+    ids = sorted({i for i, _ in items if i is not None})
+    number = {name: k for k, name in enumerate(ids)}
+    owner = np.asarray([-1 if i is None else number[i] for i, _ in items], np.int64)[item]
+    owners = np.unique(np.stack([which.reshape(-1)[owner >= 0], owner[owner >= 0]], 1), axis=0)
+    return vocabulary, phrases.astype(np.int64), (phrases > 0).sum(1), ids, owners.reshape(-1, 2)
 
 
 SPANS = "array<struct<start:long,end:long>>"
@@ -166,7 +166,7 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int, edit: bool) -> DataFrame:
+def _hits(docs: DataFrame, items: list[tuple[str | None, str | None]], window: int, edit: bool) -> DataFrame:
     """``docs`` (row, text, spans, items) with n_words and what these items add; with
     ``edit`` the spans are cut out of the text."""
     vocabulary, phrases, lengths, ids, owners = phrases_of(items, window)
@@ -227,7 +227,7 @@ def _hits(docs: DataFrame, items: list[tuple[object, str | None]], window: int,
             before = rows.column("spans").to_pylist()
             every = [spans.get(d, []) if not before[d] else merged([[x["start"], x["end"]] for x in before[d]] + spans.get(d, [])) for d in range(len(counts))]
             marks = pa.array([[{"start": a, "end": b} for a, b in s] for s in every], pa.list_(struct))
-            names = pa.array([old + [str(ids[i]) for i in m] for old, m in zip(rows.column("items").to_pylist(), mine, strict=True)], pa.list_(pa.string()))
+            names = pa.array([sorted({*old, *(ids[i] for i in m)}) for old, m in zip(rows.column("items").to_pylist(), mine, strict=True)], pa.list_(pa.string()))
             texts = rows.column("text")
             if edit:
                 texts = pa.array([without(t.as_py(), s) if s else t.as_py() for t, s in zip(texts, every, strict=True)], pa.string())
@@ -256,29 +256,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     k_0, k_1, .. in place of the key; with ``edit``, ``text`` without the spans too.
 
     ``spans`` are merged word ranges [start, end) of the document that some benchmark
-    window covers, ``items`` the ids (as text, in order of the benchmark) of the items
-    with a window there. An item of fewer than ``window`` words is one window; items
-    without words and null texts have none. A null document text has no words. Rows of
-    ``docs`` are independent, whatever their keys; an empty benchmark hits nothing.
-
-    The benchmark is read by the driver in parts of at most MOST_PHRASES words or so,
-    each searched in its own pass, so what is sent to executors is bounded.
+    window covers, ``items`` the distinct ids (as text, sorted) of the items with a
+    window there. An item of fewer than ``window`` words is one window; items without
+    words and null texts have none. Items may repeat: equal ids are one item with the
+    windows of all its rows. The windows of a null id hit words and name no item. A null
+    document text has no words. Rows of ``docs`` are independent, whatever their keys;
+    an empty benchmark hits nothing.
+
+    The benchmark is dealt by hash into parts of about MOST_WORDS words, one of which is
+    on the driver at a time. Beyond one part, each is a pass over the documents whose
+    result is written before the next begins.
     """
     names = keep or []
     rows = docs.select(F.struct(F.col(key).alias("key"), *[F.col(c).alias(f"k_{i}") for i, c in enumerate(names)]).alias("row"), F.col(text).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_key).alias("i"), F.col(item_text).cast("string").alias("t"))
-    parts: list[list[tuple[object, str | None]]] = [[]]
-    size = 0
-    for item in items.toLocalIterator():
-        n = len(item["t"] or "") // 2 + 1
-        if parts[-1] and size + n > MOST_PHRASES:
-            parts.append([])
-            size = 0
-        parts[-1].append((item["i"], item["t"]))
-        size += n
+    items = benchmark.select(F.col(item_key).cast("string").alias("i"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("t")).distinct()
+    words = items.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0
+    parts = int(words // MOST_WORDS) + 1
     out = rows.withColumn("spans", F.array().cast(SPANS)).withColumn("items", F.array().cast("array<string>"))
-    for i, part in enumerate(parts):
-        out = _hits(out, part, window, edit and i == len(parts) - 1)
+    dealt = items.select("i", "t", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).alias("part"))
+    for part in range(parts):
+        mine = [(r["i"], r["t"]) for r in dealt.where(F.col("part") == part).collect()]
+        before, out = out, _hits(out, mine, window, edit and part == parts - 1)
+        if part < parts - 1:
+            out = written(out)
+            if part:
+                forget(before)
     if keep is None:
         return out.select(F.col("row.key").alias(key), "n_words", "spans", "items")
     return out.select(*[F.col(f"row.k_{i}") for i in range(len(names))], "n_words", "spans", "items", *["text"] * edit)
@@ -322,8 +324,7 @@ def _hit() -> Column:
 
 def digest(found: DataFrame) -> DataFrame:
     """The digest columns of the contract."""
-    items = F.array_sort("items")
-    return found.select("doc_id", "n_words", _hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", _hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
 def op8_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:

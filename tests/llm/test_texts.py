@@ -217,8 +217,8 @@ def test_contamination(spark, monkeypatch):
                     hit |= set(range(k, k + len(x)))
                     found |= owners
         wanted[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit))
-    for most in (2_000_000, 10):
-        monkeypatch.setattr(op08_fmindex, "MOST_PHRASES", most)
+    for most in (2_000_000, 40):
+        monkeypatch.setattr(op08_fmindex, "MOST_WORDS", most)
         found = op08_fmindex.digest(op08_fmindex.contamination(docs, bench)).collect()
         assert {r["doc_id"]: tuple(r)[1:] for r in found} == wanted
     cut = {r["doc_id"]: r["text"] for r in op08_fmindex.remove_spans(docs, bench).collect()}
