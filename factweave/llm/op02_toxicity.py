@@ -23,10 +23,10 @@ from factweave.llm._store import bounded_batches, forget, written
 SAMPLE_ROWS = 20_000
 FOLDS = 5
 BITS = 17
-PASSES, PENALTY = 250, 3e-4
+PASSES, PENALTY = 150, 3e-4
 SIGMAS, LEAST = 4.5, 5
 #: Slots that one model learns from at most.
-MOST_SLOTS = 4_096
+MOST_SLOTS = 512
 _EDGES = (4, 5, 6)
 
 
