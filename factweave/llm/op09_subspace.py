@@ -25,6 +25,8 @@ from factweave.llm._store import forget, written
 BLOCKS = 4
 #: Vectors of one chunk, about.
 CHUNK = 8_192
+#: Copies of vectors handed on at a time, about.
+DEALT = 20_000
 #: Rows of one side compared at a time.
 TILE = 512
 _MARGIN = 1e-4  # of squared distances in single precision
@@ -139,18 +141,21 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
     Links join vectors of the same number of dimensions with a cosine of at least
     ``cosine``, in double precision. Null, empty and zero vectors and those with a null
     or non-finite component link with nothing; a row with a null key has no links, a
-    null component and kept false. Equal vectors are one class and enter once, counted
-    as often as they occur. Keys are taken to be unique; further columns are not read.
+    null component and kept false. Every row is a vector of its own, also where keys
+    repeat: rows of one key link with each other if their vectors do, each has its own
+    count and component, and a component's id is the least key among its rows. Equal
+    vectors are one class, told by two 64-bit hashes, and enter once, counted as often
+    as they occur. Further columns are not read.
     """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and 1 at most")
-    key_kind = vectors.schema[key].dataType.simpleString()
     narrow = vectors.schema[vector].dataType.simpleString() == "array<float>"
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"))
+    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v"))
     total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    good = F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()) & (total > 0) & (total < float("inf")) & ~F.isnan(total)
-    named = rows.where(F.coalesce(good, F.lit(False)))
-    classes = written(named.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m")))
+    good = F.col("key").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()) & (total > 0) & (total < float("inf")) & ~F.isnan(total)
+    hashed = rows.withColumn("h1", F.when(good, F.xxhash64("v"))).withColumn("h2", F.when(F.col("h1").isNotNull(), F.xxhash64(F.lit(9), "v")))
+    grouped = hashed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("m"), F.first("v").alias("v"))
+    classes = written(grouped.withColumn("id", F.monotonically_increasing_id()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = "<f4" if narrow else "<f8"
@@ -167,7 +172,7 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
                     strips[i] = s
             yield out.append_column("strips", pa.array(strips, pa.list_(pa.int64())))
 
-    packed = written(classes.mapInArrow(pack, f"id {key_kind}, m long, d int, v binary, strips array<long>"))
+    packed = written(classes.mapInArrow(pack, f"id long, m long, d int, v binary, strips array<long>"))
     # A few strips for each block and number of dimensions, however many vectors.
     tally = packed.select("d", F.posexplode("strips").alias("block", "strip")).groupBy("d", "block", "strip").count()
     chunks = {(r["d"], r["block"], r["strip"]): -(-r["count"] // CHUNK) for r in tally.collect()}
@@ -188,14 +193,16 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
                     for j in range(chunks.get((d, block, s - 1), 0)):
                         units.append((block, s - 1, 1, j, i, 1))
                 rows += [row] * (len(units) - len(rows))
-            held = batch.select(["d", "id", "m", "v"]).take(pa.array(rows, pa.int64()))
-            columns = np.asarray(units, np.int64).reshape(-1, 6).T
-            for name, column in zip(("block", "strip", "next", "i", "j", "side"), columns, strict=True):
-                held = held.append_column(name, pa.array(np.ascontiguousarray(column)))
-            yield held
+                if len(rows) >= DEALT or row + 1 == batch.num_rows:
+                    held = batch.select(["d", "id", "m", "v"]).take(pa.array(rows, pa.int64()))
+                    columns = np.asarray(units, np.int64).reshape(-1, 6).T
+                    for name, column in zip(("block", "strip", "next", "i", "j", "side"), columns, strict=True):
+                        held = held.append_column(name, pa.array(np.ascontiguousarray(column)))
+                    yield held
+                    rows, units = [], []
 
     unit = ["d", "block", "strip", "next", "i", "j"]
-    dealt = packed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, f"d int, id {key_kind}, m long, v binary, block long, strip long, next long, i long, j long, side long")
+    dealt = packed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, f"d int, id long, m long, v binary, block long, strip long, next long, i long, j long, side long")
     dealt = dealt.repartition(*unit).sortWithinPartitions(*unit)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,16 +234,18 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
         if held:
             yield done()
 
-    found = written(dealt.mapInArrow(work, f"id {key_kind}, links long, root {key_kind}"))
+    found = written(dealt.mapInArrow(work, f"id long, links long, root long"))
     joined = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    by_class = classes.join(counts, "id", "left").join(joined, "id", "left").select("v", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
-    by_class = written(by_class)
+    named = classes.select("h1", "h2", "key", "m", "id").join(counts, "id", "left").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = written(named)
+    least = named.groupBy("component").agg(F.min("key").alias("component_id"))
+    by_class = written(named.join(least, "component").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), "component_id"))
     forget(packed)
-    ours = F.coalesce(good, F.lit(False))
-    out = rows.withColumn("ok", ours).join(by_class.withColumnRenamed("v", "w"), (F.col("v") == F.col("w")) & F.col("ok"), "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+    forget(named)
+    out = hashed.select("key", "h1", "h2").join(by_class, ["h1", "h2"], "left")
+    component = F.coalesce("component_id", "key")
+    return out.select(F.col("key").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("key"), F.lit(False)).alias("kept"))
 
 
 def op9_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:

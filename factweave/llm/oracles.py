@@ -33,10 +33,14 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(pos.n_hit, 0)::BIGINT AS
   sha256(coalesce(array_to_string(items.ids, ','), '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-OP9 = f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
-u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v WHERE list_inner_product(e, e) > 0 AND isfinite(list_inner_product(e, e))),
-l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+#: Every row is a vector of its own, whatever its id.
+OP9 = f"""WITH RECURSIVE x AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT r, e, sqrt(list_inner_product(e, e)) AS n FROM x WHERE vec_id IS NOT NULL AND list_inner_product(e, e) > 0 AND isfinite(list_inner_product(e, e))),
+l AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r < b.r AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
 link AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
-{_REACH}
-SELECT x.vec_id, (SELECT count(*) FROM link WHERE link.a = x.vec_id)::BIGINT AS n_links, coalesce(least(c.c, x.vec_id), x.vec_id) AS component_id, coalesce(least(c.c, x.vec_id), x.vec_id) = x.vec_id AS kept
-FROM embeddings x LEFT JOIN comp c ON c.id = x.vec_id"""
+{_REACH},
+named AS (SELECT x.r, x.vec_id, coalesce(least(c.c, x.r), x.r) AS c FROM x LEFT JOIN comp c ON c.id = x.r),
+least AS (SELECT c, min(vec_id) AS component_id FROM named GROUP BY 1),
+counts AS (SELECT a, count(*)::BIGINT AS n_links FROM link GROUP BY 1)
+SELECT n.vec_id, coalesce(k.n_links, 0) AS n_links, m.component_id, coalesce(m.component_id = n.vec_id, false) AS kept
+FROM named n JOIN least m USING (c) LEFT JOIN counts k ON k.a = n.r"""

@@ -136,3 +136,20 @@ def test_subspace_links(spark, monkeypatch, chunk):
     assert {i: found[i]["component_id"] for i in ids} == _components(ids, linked)
     assert {i: found[i]["n_links"] for i in ids} == {i: sum(linked(i, j) for j in ids if j != i) for i in ids}
     assert op09_subspace.linked(frame.limit(0)).collect() == []
+
+
+def test_subspace_keys_repeat(spark):
+    import duckdb
+
+    from factweave.llm import oracles
+
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(5, 8))
+    rows = [(int(i % 17) if i % 9 else None, (base[i % 5] + rng.normal(size=8) * 0.25).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(1, [0.0, 1.0]), (2, [1.0, 0.01]), (2, [0.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (4, None), (4, [0.0, 0.0]), (4, [0.0, 2.0])]
+    frame = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, component_id string, n_links int")
+    found = sorted((tuple(r) for r in op09_subspace.linked(frame).collect()), key=str)
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    duck.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in rows])
+    assert found == sorted(duck.execute(oracles.OP9).fetchall(), key=str)
