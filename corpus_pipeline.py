@@ -1,53 +1,75 @@
 """Corpus preparation: language ID, line dedup, near-dedup, decontamination, packing.
 
 Each stage takes the documents its predecessor kept and, but for the last, returns them
-with the same columns.
+with the same columns, whatever their names; n_chars follows the text where it is there.
+Rows that share a doc_id are one document to line dedup and near-dedup; repeated rows
+stay or go together. A row with a null doc_id is compared with no other. An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import op01_packing, op03_setsketch, op04_language, op07_lines, op08_fmindex
 from factweave.llm._store import written
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and one struct of all other columns: no operator replaces those."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("own"))
+
+
+def _unpacked(found: DataFrame, docs: DataFrame, changed: Column) -> DataFrame:
+    """The columns of ``docs`` again; n_chars is counted anew where ``changed`` holds."""
+
+    def column(name: str) -> Column:
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        own = F.col("own").getField(name)
+        return F.when(changed, F.length("text")).otherwise(own).cast(docs.schema[name].dataType) if name == "n_chars" else own
+
+    return found.select(*[column(c).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter, whose score is above 0; null texts and those without one
-    go. Where no language was learned, one prototype stands for all."""
-    prototypes = op04_language.learn(docs) or {"und": np.ones(op04_language.DIMENSIONS)}
-    found = op04_language.predict(docs, prototypes)
-    return found.where("score > 0").select(*docs.columns)
+    go. Where no language was learned (or ``docs`` has no lang), one prototype stands
+    for all."""
+    learned = op04_language.learn(docs) if "lang" in docs.columns else {}
+    found = op04_language.predict(_packed(docs), learned or {"und": np.ones(op04_language.DIMENSIONS)})
+    return _unpacked(found.where("score > 0"), docs, F.lit(False))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of lines. One whose lines all were later
     copies goes."""
-    found = op07_lines.remove_repeats(docs)
-    kept = found.where(~((F.col("n_removed") > 0) & (F.btrim("text", F.lit(op07_lines.BLANK + "\n")) == "")))
-    text = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", text.cast("long")).select(*docs.columns)
+    found = op07_lines.remove_repeats(_packed(docs))
+    cut = F.col("n_removed") > 0
+    kept = found.where(~(cut & (F.btrim("text", F.lit(op07_lines.BLANK + "\n")) == "")))
+    return _unpacked(kept, docs, cut)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of the least id."""
-    found = op03_setsketch.near_duplicates(docs, shingle=5, percent=80)
+    """One document of each group of near duplicates, the one of the least id. Documents
+    are linked as the near-dedup query links them: sets of two-word shingles, 0.8."""
+    found = op03_setsketch.near_duplicates(docs.select("doc_id", "text"), shingle=2, percent=80)
     lost = written(found.where("not kept and component_id is not null").select("doc_id").distinct())
     if lost.count() <= op03_setsketch.BROADCAST_IDS:
         lost = F.broadcast(lost)
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(lost, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the words of benchmark windows cut out. One of which no word is
     left goes."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = op08_fmindex.remove_spans(docs, benchmark)
-    kept = found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") == F.col("n_words"))))
-    text = F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", text.cast("long")).select(*docs.columns)
+    found = op08_fmindex.remove_spans(_packed(docs), benchmark)
+    cut = F.col("n_hit") > 0
+    return _unpacked(found.where(~(cut & (F.col("n_hit") == F.col("n_words")))), docs, cut)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
