@@ -13,11 +13,13 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only
-    where the setting is absent (local tests)."""
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one where the
+    setting is absent, on a local master alone."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="factweave-")
