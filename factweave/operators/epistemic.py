@@ -38,6 +38,12 @@ def corroborations(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def corroboration_counts(snapshots: DataFrame) -> DataFrame:
+    """(predicate, body, first_id, n) of the same groups, without their members."""
+    live = snapshots.where(F.col("status").isin("active", "weakened"))
+    return live.groupBy("predicate", "body").agg(F.min("assertion_id").alias("first_id"), F.count("*").alias("n")).where("n >= 2")
+
+
 def tensions(roles: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Pairs of live assertions of one predicate that share an anchor role and differ in
     another.

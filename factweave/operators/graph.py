@@ -2,29 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-_OWN: list[str] = []
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut: a Parquet table in the folder that spark.checkpoint.dir
-    names, in a temporary one where it names none (tests). The table's own size then
-    stands in for the plan's estimates, which grow with every round of an iteration."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not _OWN:
-            _OWN.append("file://" + tempfile.mkdtemp(prefix="factweave-graph-"))
-        folder = _OWN[0]
-    path = f"{folder.rstrip('/')}/graph/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from factweave.storage import cut, drop, write
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -39,6 +20,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         down = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(down, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e")).select("e.u", F.col("e.m").alias("v"))
         now = cut(small.where("u > v").distinct())
+        drop(least, large, down)
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if new == state or not new[0]:
             break
@@ -51,31 +33,39 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def closure(edges: DataFrame) -> DataFrame:
     """(child, ancestor, depth) of every ancestor, depth being the least number of edges.
     Safe on cycles and on several parents."""
-    step = edges.select("child", "parent").where("child <> parent").distinct()
-    found = cut(step.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")))
-    front = found
-    depth = 1
+    spark = edges.sparkSession
+    step = cut(edges.select("child", "parent").where("child <> parent").distinct())
+    first = step.select("child", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    paths, depth = [write(first)], 1
+    front = spark.read.schema(first.schema).parquet(paths[0])
     while True:
         depth += 1
-        next_ = front.join(step.select(F.col("child").alias("ancestor"), F.col("parent").alias("up")), "ancestor").select("child", F.col("up").alias("ancestor")).where("child <> ancestor").distinct()
-        front = cut(next_.join(found, ["child", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
+        found = spark.read.schema(first.schema).parquet(*paths)
+        up = front.join(step.select(F.col("child").alias("ancestor"), F.col("parent").alias("up")), "ancestor").select("child", F.col("up").alias("ancestor")).where("child <> ancestor").distinct()
+        # Each round writes its front alone; what is known is all of them read as one table.
+        paths.append(write(up.join(found, ["child", "ancestor"], "left_anti").withColumn("depth", F.lit(depth))))
+        front = spark.read.schema(first.schema).parquet(paths[-1])
         if front.isEmpty():
+            drop(step)
             return found
-        found = cut(found.union(front))
 
 
 def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges (parent, child) on any path up from ``roots`` (id), each once."""
-    pairs = edges.select("parent", "child").distinct()
+    spark = edges.sparkSession
+    pairs = cut(edges.select("parent", "child").distinct())
     front = roots.select("id").distinct()
-    seen = found = None
+    seen, found, kind = [write(front)], [], front.schema
     while True:
-        up = cut(pairs.join(front.withColumnRenamed("id", "child"), "child", "left_semi"))
-        found = up if found is None else cut(found.union(up).distinct())
-        seen = front if seen is None else cut(seen.union(front).distinct())
-        front = cut(up.select(F.col("parent").alias("id")).distinct().join(seen, "id", "left_anti"))
+        # No edge is found twice: each child stands in one front alone.
+        found.append(write(pairs.join(front.withColumnRenamed("id", "child"), "child", "left_semi").select("parent", "child")))
+        up = spark.read.schema(pairs.schema).parquet(found[-1])
+        known = spark.read.schema(kind).parquet(*seen)
+        seen.append(write(up.select(F.col("parent").alias("id")).distinct().join(known, "id", "left_anti")))
+        front = spark.read.schema(kind).parquet(seen[-1])
         if front.isEmpty():
-            return found
+            drop(known)
+            return spark.read.schema(pairs.schema).parquet(*found)
 
 
 def ego(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
@@ -91,26 +81,30 @@ def ego(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
 
 
 def page_rank(edges: DataFrame, seeds: DataFrame, alpha: float = 0.85, most_rounds: int = 100, tolerance: float = 1e-6) -> DataFrame:
-    """(id, rank) by personalised power iteration over undirected edges (u, v) with the
-    start weights of ``seeds`` (id); mass without an edge returns to the seeds."""
+    """(id, rank, settled) by personalised power iteration over undirected edges (u, v)
+    with equal start weights of ``seeds`` (id); mass without an edge returns to the
+    seeds. ``settled`` says whether the change fell below the tolerance within the
+    rounds. Without seeds every vertex starts alike."""
     both = cut(edges.select("u", "v").where("u <> v").union(edges.select("v", "u").where("u <> v")).distinct())
     out = both.groupBy("u").agg(F.count("*").alias("degree"))
     links = cut(both.join(out, "u").select("u", "v", (F.lit(1.0) / F.col("degree")).alias("share")))
     names = links.select(F.col("u").alias("id")).union(seeds.select("id")).distinct()
-    start = seeds.select("id").distinct()
+    start = cut(seeds.select("id").distinct())
     n_seeds, n = start.count(), names.count()
+    if not n_seeds:
+        start, n_seeds = names, n
     base = cut(names.join(start.withColumn("p", F.lit(1.0 / n_seeds)), "id", "left").select("id", F.coalesce("p", F.lit(0.0)).alias("p")))
-    rank = base.select("id", F.col("p").alias("rank"))
+    rank, settled = base.select("id", F.col("p").alias("rank")), not n
     for i in range(most_rounds):
         moved = links.join(rank, F.col("u") == F.col("id")).groupBy(F.col("v").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         joined = base.join(moved, "id", "left").join(rank.select("id", F.col("rank").alias("old")), "id")
         lost = joined.agg(F.lit(1.0) - F.sum(F.coalesce("got", F.lit(0.0)))).first()[0]
         new = cut(joined.select("id", (alpha * (F.coalesce("got", F.lit(0.0)) + lost * F.col("p")) + (1 - alpha) * F.col("p")).alias("rank"), "old"))
         change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        rank = new.select("id", "rank")
-        if change < n * tolerance:
+        rank, settled = new.select("id", "rank"), change is None or change < n * tolerance
+        if settled:
             break
-    return rank
+    return rank.withColumn("settled", F.lit(settled))
 
 
 def lineage_sql(spark: SparkSession, edges: DataFrame, root: str, levels: int = 100) -> DataFrame:

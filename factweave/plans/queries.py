@@ -78,11 +78,13 @@ def _d11(t: Tables) -> DataFrame:
 
 @query("D12_alias_lookup", "SELECT a.entity_id, count(*)::BIGINT AS n_aliases, min(b.entity_id) AS first_alias FROM mem a JOIN mem b ON a.identity_id = b.identity_id AND a.entity_id <> b.entity_id GROUP BY 1")
 def _d12(t: Tables) -> DataFrame:
-    # One pass: the size of the identity and its two least members tell each member's aliases.
+    # The two least members of an identity tell each member's first alias; no member list is built.
     m = t.memberships()
-    two = m.groupBy("identity_id").agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_list("entity_id")), 1, 2).alias("least"))
-    out = m.join(two, "identity_id").where("n > 1")
-    return out.select("entity_id", (F.col("n") - 1).cast(N).alias("n_aliases"), F.when(F.col("least")[0] == F.col("entity_id"), F.col("least")[1]).otherwise(F.col("least")[0]).alias("first_alias"))
+    one = m.groupBy("identity_id").agg(F.count("*").alias("n"), F.min("entity_id").alias("one")).where("n > 1")
+    own = m.join(one, "identity_id")
+    two = own.where("entity_id <> one").groupBy("identity_id").agg(F.min("entity_id").alias("two"))
+    first = F.when(F.col("entity_id") == F.col("one"), F.col("two")).otherwise(F.col("one"))
+    return own.join(two, "identity_id").select("entity_id", (F.col("n") - 1).cast(N).alias("n_aliases"), first.alias("first_alias"))
 
 
 @query("D13_rule_lookup", "SELECT f.assertion_id, f.role_id, f.entity_id, e.entity_type, (f.role_id = 'supplier') = (e.entity_type = 'oc:organization') AS type_ok FROM fil f LEFT JOIN ent e USING (entity_id)")
@@ -268,7 +270,7 @@ def _e7(t: Tables) -> DataFrame:
 @query("E8_corroboration", "SELECT predicate, body, count(*)::BIGINT AS n, min(assertion_id) AS first_id FROM (SELECT predicate, assertion_id, source_ref || ':' || (o_custkey % 40) AS body FROM st WHERE status IN ('active', 'weakened')) GROUP BY 1, 2 HAVING count(*) >= 2", recursive=_STATUS)
 def _e8(t: Tables) -> DataFrame:
     s = _status(t).withColumn("body", F.concat_ws(":", "source_ref", F.col("o_custkey") % 40))
-    return epistemic.corroborations(s).select("predicate", "body", F.col("n").cast(N).alias("n"), F.col("assertion_ids")[0].alias("first_id"))
+    return epistemic.corroboration_counts(s).select("predicate", "body", F.col("n").cast(N).alias("n"), "first_id")
 
 
 @query("E10_status_counts", "SELECT review_status, validation_status, source_ref, count(*)::BIGINT AS n FROM cand GROUP BY 1, 2, 3")
@@ -401,7 +403,7 @@ def _e36(t: Tables) -> DataFrame:
     return t.raw("events").where("event_type = 'error'").groupBy("user_id").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("first_failure"))
 
 
-@query("E37_ordered_distinct", "SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(string_split(left(text, 100), ' ')), lambda w: [lpad(list_position(string_split(left(text, 100), ' '), w)::VARCHAR, 4, '0'), w])), lambda x: x[2]), ' ') AS words FROM documents", plain=True)
+@query("E37_ordered_distinct", """SELECT doc_id, string_agg(w, ' ' ORDER BY k) AS words FROM (SELECT doc_id, w, min(k) AS k FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS k FROM documents) GROUP BY 1, 2) GROUP BY 1""", plain=True)
 def _e37(t: Tables) -> DataFrame:
     return t.raw("documents").select("doc_id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words"))
 
@@ -454,10 +456,15 @@ def _f9(t: Tables) -> DataFrame:
     return t.raw("events").where("event_type = 'purchase'").orderBy(F.desc("ts"), F.desc("event_id")).limit(1).select("event_id", "user_id")
 
 
-@query("F11_keyword_seeds", "SELECT p_partkey AS node, (contains(lower(p_name), 'red')::INTEGER + contains(lower(p_name), 'small')::INTEGER + contains(lower(p_type), 'standard')::INTEGER) AS score FROM part WHERE contains(lower(p_name), 'red')::INTEGER + contains(lower(p_name), 'small')::INTEGER + contains(lower(p_type), 'standard')::INTEGER > 0 ORDER BY 2 DESC, 1 LIMIT 5", plain=True)
+#: Column and keyword, each worth a point.
+_SEEDS = (("p_name", "red"), ("p_name", "small"), ("p_type", "standard"))
+_SEED_SCORE = " + ".join(f"contains(lower({c}), '{k}')::INTEGER" for c, k in _SEEDS)
+
+
+@query("F11_keyword_seeds", f"SELECT p_partkey AS node, ({_SEED_SCORE}) AS score FROM part WHERE {_SEED_SCORE} > 0 ORDER BY 2 DESC, 1 LIMIT 5", plain=True)
 def _f11(t: Tables) -> DataFrame:
     p = t.raw("part")
-    score = sum((F.lower(c).contains(k).cast("int") for c, k in (("p_name", "red"), ("p_name", "steel"), ("p_type", "standard"))), F.lit(0))
+    score = sum((F.lower(c).contains(k).cast("int") for c, k in _SEEDS), F.lit(0))
     return p.select(F.col("p_partkey").alias("node"), score.alias("score")).where("score > 0").orderBy(F.desc("score"), "node").limit(5)
 
 
@@ -765,7 +772,7 @@ def _h12(t: Tables) -> DataFrame:
     return words.select("verb", F.array_join(T.lemma_candidates(F.col("verb")), ",").alias("lemmas"))
 
 
-@query("H14_comparison_names", "SELECT doc_id, rtrim(trim(lower(left(text, 40))), '.') AS n FROM documents", plain=True)
+@query("H14_comparison_names", "SELECT doc_id, rtrim(trim(lower(text)), '.') AS n FROM documents", plain=True)
 def _h14(t: Tables) -> DataFrame:
     return t.raw("documents").select("doc_id", T.comparison_name(F.col("text")).alias("n"))
 
@@ -807,7 +814,7 @@ def _i3(t: Tables) -> DataFrame:
 def _i7(t: Tables) -> DataFrame:
     e = t.raw("supplier").join(t.raw("customer"), F.col("s_suppkey") == F.col("c_custkey")).select(F.concat(F.lit("s"), "s_nationkey").alias("u"), F.concat(F.lit("c"), "c_nationkey").alias("v"))
     seeds = t.spark.createDataFrame([("s0",), ("s1",)], "id string")
-    return graph.page_rank(e, seeds).orderBy(F.desc("rank"), "id").limit(15)
+    return graph.page_rank(e, seeds).drop("settled").orderBy(F.desc("rank"), "id").limit(15)
 
 
 @query("I8_ego_network", "SELECT id, min(hop)::INTEGER AS hop FROM (SELECT 's0' AS id, 0 AS hop UNION ALL SELECT v, 1 FROM b WHERE u = 's0' UNION ALL SELECT y.v, 2 FROM b x JOIN b y ON y.u = x.v WHERE x.u = 's0') GROUP BY 1", recursive="b AS (SELECT DISTINCT 's' || s_nationkey AS u, 'c' || c_nationkey AS v FROM supplier JOIN customer ON s_suppkey = c_custkey UNION SELECT DISTINCT 'c' || c_nationkey, 's' || s_nationkey FROM supplier JOIN customer ON s_suppkey = c_custkey)")

@@ -119,3 +119,13 @@ def test_unfinished_components_raise(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")
     with pytest.raises(RuntimeError):
         graph.components(chain, most_rounds=1)
+
+
+def test_deep_chain_and_seedless_rank(spark):
+    chain = spark.createDataFrame([(f"t{i:03}", f"t{i + 1:03}") for i in range(60)], "child string, parent string")
+    depths = graph.closure(chain)
+    assert depths.count() == 60 * 61 // 2 and depths.where("child = 't000' and ancestor = 't060'").first()["depth"] == 60
+    ring = spark.createDataFrame([(i, (i + 1) % 4) for i in range(4)], "u long, v long")
+    ranks = graph.page_rank(ring, ring.select("u").limit(0).withColumnRenamed("u", "id")).collect()
+    assert all(abs(r["rank"] - 0.25) < 1e-6 and r["settled"] for r in ranks)
+    assert not graph.page_rank(ring, spark.createDataFrame([(0,)], "id long"), most_rounds=1).first()["settled"]
