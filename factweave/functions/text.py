@@ -36,6 +36,9 @@ ORGANIZATION_HINTS = "agency bureau center centre command commands committee dep
 ALIAS_STOPWORDS = "a an and at for from in of on the to with".split()
 COMPOUND_PARTS = {("special", "operations"): "so", ("psychological", "operations"): "po"}
 WORD_PARTS = {"agency": "a", "command": "com", "group": "g", "headquarters": "hq", "university": "u"}
+# Heads of definite descriptions of organizations, and names of one installation.
+DESCRIPTOR_HEADS = "agency bureau command department group office organization unit university".split()
+INSTALLATIONS = {"fort bragg": "installation:1", "ft bragg": "installation:1", "fort liberty": "installation:1"}
 # Words that refer to something named elsewhere.
 PRONOUNS = "it its itself they them their themselves this these those he him his himself she her hers herself we us our ourselves".split()
 GENERIC_NOUNS = """group groups actor actors attacker attackers target targets device devices system systems entity entities
@@ -180,6 +183,43 @@ def acronym_signatures(name: Column) -> Column:
     return F.array_distinct(F.filter(F.array(compact, bare), lambda s: s.isNotNull() & (s != "")))
 
 
+def unit_signature(name: Column) -> Column:
+    """Signature of a numbered psychological-operations group, written out or short."""
+    tokens = alias_tokens(name)
+    lead, rest = F.get(tokens, F.lit(0)), F.array_join(F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1))), " ")
+    return F.when(lead.rlike("^[0-9]") & _in(rest, ["psyop group", "pog"]), F.concat(F.lit("unitabbr:"), lead, F.lit(":pog")))
+
+
+def installation_key(name: Column) -> Column:
+    """One key for the names an installation has had."""
+    table = F.create_map(*[F.lit(x) for pair in INSTALLATIONS.items() for x in pair])
+    return table[F.array_join(alias_tokens(name), " ")]
+
+
+def descriptor_head(name: Column) -> Column:
+    """Head of a name like "the Agency", else null."""
+    head = F.trim(F.regexp_replace(F.regexp_extract(collapse(F.lower(name)), "^the (.*)$", 1), "[^a-z0-9]+", " "))
+    return F.when(_in(head, DESCRIPTOR_HEADS), head)
+
+
+def descriptor_heads_in(text: Column) -> Column:
+    """Heads that a text speaks of: "the agency", "the agency's" or "agency leadership"."""
+    low = F.lower(text)
+    return F.filter(F.array(*map(F.lit, DESCRIPTOR_HEADS)), lambda h: F.regexp_like(low, F.concat(F.lit(r"\b(?:the "), h, F.lit("|"), h, F.lit(r" leadership)\b"))))
+
+
+def mention_signatures(name: Column, family: Column) -> Column:
+    """Keys that make two mentions of one family one entity: full person names, else
+    the normalised name, acronyms, and signatures of installations and units."""
+    person, bare = person_name(name), normalize_name(name)
+    full = F.when(person["given"].isNotNull(), F.concat(F.lit("person:"), person["given"], F.lit(":"), person["surname"]))
+    other = F.concat(
+        F.array(F.when(bare != "", F.concat(F.lit("norm:"), bare)), F.when(bare != "", installation_key(name)), unit_signature(name)),
+        F.transform(acronym_signatures(name), lambda a: F.concat(F.lit("acr:"), a)),
+    )
+    return F.array_distinct(F.filter(F.when(family == "person", F.array(full)).otherwise(other), lambda x: x.isNotNull()))
+
+
 def acronym(name: Column) -> Column:
     """First letters of the words of a name of two words or more, upper case."""
     words = F.filter(F.split(name, r"\s+"), lambda w: w != "")

@@ -33,3 +33,12 @@ def precision_recall(matched: Column, expected: Column, observed: Column, empty:
 
 def trial_score(f1: Column, usable: Column, alignment: Column) -> Column:
     return 0.65 * f1 + 0.25 * usable + 0.10 * alignment
+
+
+def compared_calls(live: DataFrame, trial: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(key, field, equal) of calls that both tables hold, one row a key each; two nulls
+    are equal."""
+    left = live.select(key, *[F.col(c).alias(f"l_{c}") for c in fields])
+    both = left.join(trial.select(key, *[F.col(c).alias(f"r_{c}") for c in fields]), key)
+    marks = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")).alias("equal")) for c in fields])
+    return both.select(key, F.explode(marks).alias("m")).select(key, "m.*")

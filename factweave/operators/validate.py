@@ -4,8 +4,9 @@ A payload is three tables: payloads (payload_id, predicate), roles (payload_id,
 n) and fillers (payload_id, role_id, idx, kind, entity_id, entity_type, value_kind). A
 profile is small tables: allowed (predicate), rules (predicate), role_rules (predicate,
 role_id, allowed, required, min_count, max_count), types (predicate, role_id,
-expected_type) and kinds (predicate, role_id, expected_kind). Each check is a branch; the
-branches are unioned, so one pass over the payloads validates all of them.
+expected_type) and kinds (predicate, role_id, expected_kind). Checks of payloads, of roles, of roles that are
+not there and of fillers are a table each: its rows meet all rules they need once and
+give an array of findings.
 """
 
 from __future__ import annotations
@@ -51,55 +52,81 @@ def _blank(c: Column) -> Column:
     return F.coalesce(F.trim(c), F.lit("")) == ""
 
 
-def _finding(rows: DataFrame, code: str | Column, path: Column) -> DataFrame:
-    return rows.select("payload_id", (F.lit(code) if isinstance(code, str) else code).alias("code"), path.alias("path"))
+def _check(holds: Column, code: str | Column, path: Column) -> Column:
+    """A finding where ``holds``, else null."""
+    return F.when(F.coalesce(holds, F.lit(False)), F.struct((F.lit(code) if isinstance(code, str) else code).alias("code"), path.alias("path")))
+
+
+def _found(rows: DataFrame, *checks: Column) -> DataFrame:
+    return rows.select("payload_id", F.explode(F.filter(F.array(*checks), lambda f: f.isNotNull())).alias("f")).select("payload_id", "f.code", "f.path")
+
+
+def _mark(rows: DataFrame, name: str) -> DataFrame:
+    return rows.distinct().withColumn(name, F.lit(True))
 
 
 def findings(payloads: DataFrame, roles: DataFrame, fillers: DataFrame, profile: Profile) -> DataFrame:
     """(payload_id, code, path, severity) of every finding."""
     role_path = F.concat(F.lit("roles."), F.col("role_id"))
     filler_path = F.concat(role_path, F.lit("["), F.col("idx").cast("string"), F.lit("]"))
-    have = payloads.where(~_blank(F.col("predicate"))).withColumn("predicate", F.trim("predicate"))
-    out = [
-        _finding(payloads.where(_blank(F.col("predicate"))), "oc:hard_missing_predicate", F.lit("predicate")),
-        _finding(payloads.join(roles.select("payload_id").distinct(), "payload_id", "left_anti"), "oc:hard_missing_roles", F.lit("roles")),
-        _finding(roles.where("n = 0"), "oc:hard_missing_role_fillers", role_path),
-    ]
-    entity = fillers.where("coalesce(kind, '') <> 'value'")
-    out.append(_finding(entity.where(_blank(F.col("entity_id"))), "oc:hard_missing_entity_id", F.concat(filler_path, F.lit(".entity_id"))))
-    out.append(_finding(entity.where(~_blank(F.col("entity_id")) & ~F.col("entity_id").startswith("ent:")), "oc:soft_noncanonical_entity_id", F.concat(filler_path, F.lit(".entity_id"))))
-
-    known = have.join(F.broadcast(profile.allowed), "predicate", "left_semi")
-    checked = have.join(roles.select("payload_id").distinct(), "payload_id", "left_semi")
-    if profile.mode != "open":
-        out.append(_finding(checked.join(F.broadcast(profile.allowed), "predicate", "left_anti"), "oc:profile_unknown_predicate", F.lit("predicate")))
-    own = known.join(roles, "payload_id")
-    ruled = own.join(F.broadcast(profile.role_rules.where("allowed").select("predicate").distinct()), "predicate", "left_semi")
-    out.append(_finding(ruled.join(F.broadcast(profile.role_rules.where("allowed").select("predicate", "role_id")), ["predicate", "role_id"], "left_anti"), "oc:profile_disallowed_role", role_path))
-    wanted = known.join(roles.select("payload_id").distinct(), "payload_id", "left_semi").join(F.broadcast(profile.role_rules), "predicate").join(roles, ["payload_id", "role_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    out.append(_finding(wanted.where("required and n = 0"), "oc:profile_missing_required_role", role_path))
-    out.append(_finding(wanted.where("n < min_count or n > max_count"), "oc:profile_role_cardinality_violation", role_path))
-
-    typed = have.join(fillers, "payload_id").join(F.broadcast(profile.types), ["predicate", "role_id"]).where("coalesce(kind, '') <> 'value'")
-    type_path = F.concat(filler_path, F.lit(".entity_type"))
-    out.append(_finding(typed.where(_blank(F.col("entity_type"))), "oc:profile_missing_entity_type", type_path))
-    wrong = typed.where(~_blank(F.col("entity_type")) & (F.col("entity_type") != F.col("expected_type")))
-    if profile.type_check == "exact":
-        out.append(_finding(wrong, "oc:profile_role_type_violation", type_path))
+    has = lambda name: F.coalesce(F.col(name), F.lit(False))
+    allowed = _mark(profile.allowed.select("predicate"), "known")
+    named = payloads.select("payload_id", F.when(~_blank(F.col("predicate")), F.trim("predicate")).alias("predicate")).join(allowed, "predicate", "left")
+
+    heads = named.join(_mark(roles.select("payload_id"), "with_roles"), "payload_id", "left")
+    unknown = F.col("predicate").isNotNull() & has("with_roles") & ~has("known") & F.lit(profile.mode != "open")
+    of_payloads = _found(
+        heads,
+        _check(F.col("predicate").isNull(), "oc:hard_missing_predicate", F.lit("predicate")),
+        _check(~has("with_roles"), "oc:hard_missing_roles", F.lit("roles")),
+        _check(unknown, "oc:profile_unknown_predicate", F.lit("predicate")),
+    )
+    ruled = _mark(profile.role_rules.where("allowed").select("predicate"), "ruled")
+    own = roles.join(named, "payload_id", "left").join(ruled, "predicate", "left").join(profile.role_rules, ["predicate", "role_id"], "left")
+    off = has("known") & ((F.col("n") < F.col("min_count")) | (F.col("n") > F.col("max_count")))
+    of_roles = _found(
+        own,
+        _check(F.col("n") == 0, "oc:hard_missing_role_fillers", role_path),
+        _check(has("known") & has("ruled") & ~has("allowed"), "oc:profile_disallowed_role", role_path),
+        _check(has("known") & has("required") & (F.col("n") == 0), "oc:profile_missing_required_role", role_path),
+        _check(off, "oc:profile_role_cardinality_violation", role_path),
+    )
+    asked = profile.role_rules.where("required or min_count > 0")
+    absent = heads.where("known and with_roles").join(asked, "predicate").join(roles.select("payload_id", "role_id"), ["payload_id", "role_id"], "left_anti")
+    of_absent = _found(
+        absent,
+        _check(F.col("required"), "oc:profile_missing_required_role", role_path),
+        _check(F.col("min_count") > 0, "oc:profile_role_cardinality_violation", role_path),
+    )
+
+    rows = fillers.join(named.select("payload_id", "predicate"), "payload_id", "left").join(profile.types, ["predicate", "role_id"], "left").join(profile.kinds, ["predicate", "role_id"], "left")
+    is_value = F.coalesce(F.col("kind") == "value", F.lit(False))
+    no_id, no_type, no_kind = _blank(F.col("entity_id")), _blank(F.col("entity_type")), _blank(F.col("value_kind"))
+    typed, valued = F.col("expected_type").isNotNull() & ~is_value, F.col("expected_kind").isNotNull()
+    wrong = typed & ~no_type & (F.col("entity_type") != F.col("expected_type"))
+    violation: str | Column = "oc:profile_role_type_violation"
+    if profile.type_check == "skip":
+        wrong = F.lit(False)
     elif profile.type_check == "hierarchical":
-        below = profile.closure.select(F.col("child").alias("entity_type"), F.col("ancestor").alias("expected_type")).distinct()
-        off = wrong.join(F.broadcast(below), ["entity_type", "expected_type"], "left_anti")
+        below = _mark(profile.closure.select(F.col("child").alias("entity_type"), F.col("ancestor").alias("expected_type")), "below")
         types = profile.closure.select(F.col("child").alias("t")).union(profile.closure.select("ancestor")).union(profile.types.select("expected_type")).distinct()
-        mark = lambda c: F.broadcast(types.select(F.col("t").alias(c), F.lit(True).alias(f"{c}_known")))
-        marked = off.join(mark("entity_type"), "entity_type", "left").join(mark("expected_type"), "expected_type", "left")
-        code = F.when(F.col("entity_type_known").isNull() & F.col("expected_type_known").isNull(), "oc:profile_role_type_unknown_relationship").otherwise("oc:profile_role_type_violation")
-        out.append(_finding(marked, code, type_path))
-
-    valued = have.join(fillers, "payload_id").join(F.broadcast(profile.kinds), ["predicate", "role_id"])
-    is_value = F.coalesce(F.col("kind") == "value", F.lit(False))
-    out.append(_finding(valued.where(~is_value), "oc:profile_role_value_kind_violation", F.concat(filler_path, F.lit(".kind"))))
-    out.append(_finding(valued.where(is_value & _blank(F.col("value_kind"))), "oc:profile_missing_value_kind", F.concat(filler_path, F.lit(".value_kind"))))
-    out.append(_finding(valued.where(is_value & ~_blank(F.col("value_kind")) & (F.col("value_kind") != F.col("expected_kind"))), "oc:profile_role_value_kind_violation", F.concat(filler_path, F.lit(".value_kind"))))
+        rows = rows.join(below, ["entity_type", "expected_type"], "left")
+        for column in ("entity_type", "expected_type"):
+            rows = rows.join(_mark(types.select(F.col("t").alias(column)), f"{column}_known"), column, "left")
+        wrong = wrong & ~has("below")
+        violation = F.when(has("entity_type_known") | has("expected_type_known"), violation).otherwise("oc:profile_role_type_unknown_relationship")
+    at = lambda name: F.concat(filler_path, F.lit(f".{name}"))
+    of_fillers = _found(
+        rows,
+        _check(~is_value & no_id, "oc:hard_missing_entity_id", at("entity_id")),
+        _check(~is_value & ~no_id & ~F.col("entity_id").startswith("ent:"), "oc:soft_noncanonical_entity_id", at("entity_id")),
+        _check(typed & no_type, "oc:profile_missing_entity_type", at("entity_type")),
+        _check(wrong, violation, at("entity_type")),
+        _check(valued & ~is_value, "oc:profile_role_value_kind_violation", at("kind")),
+        _check(valued & is_value & no_kind, "oc:profile_missing_value_kind", at("value_kind")),
+        _check(valued & is_value & ~no_kind & (F.col("value_kind") != F.col("expected_kind")), "oc:profile_role_value_kind_violation", at("value_kind")),
+    )
+    out = [of_payloads, of_roles, of_absent, of_fillers]
     every = reduce(DataFrame.unionByName, out)
     table = F.create_map(*[F.lit(x) for pair in SEVERITY.items() for x in pair])
     soft_unknown = (F.col("code") == "oc:profile_unknown_predicate") & F.lit(profile.mode == "mixed")
@@ -116,3 +143,46 @@ def outcomes(payloads: DataFrame, found: DataFrame) -> DataFrame:
 def alias_collisions(aliases: DataFrame) -> DataFrame:
     """(alias, canonicals) of aliases that stand for several canonical ids."""
     return aliases.groupBy(F.lower(F.trim("alias")).alias("alias")).agg(F.count_distinct("canonical_id").alias("canonicals")).where("canonicals > 1")
+
+
+# Rules between a profile's mode, its proposal policy and its severities.
+POLICY_RULES = {
+    "open_rejects_proposals": "mode = 'open' and proposal_policy <> 'reject'",
+    "allowlist_needed": "mode in ('closed', 'mixed') and n_allowed = 0",
+    "closed_unknown_is_hard": "mode = 'closed' and not severity <=> 'hard'",
+    "mixed_unknown_is_soft": "mode = 'mixed' and not severity <=> 'soft'",
+    "type_adapter_needs_pack": "type_adapter = 'ontology_pack' and pack is null",
+    "mixed_allows_proposals": "mode = 'mixed' and proposal_policy <> 'allow'",
+    "propose_needs_allow": "array_contains(actions, 'propose') and proposal_policy <> 'allow'",
+    "overlay_needs_allow": "overlay_target is not null and proposal_policy <> 'allow'",
+}
+
+
+def policy_violations(profiles: DataFrame) -> DataFrame:
+    """``profiles`` (mode, proposal_policy, severity of an unknown predicate, n_allowed,
+    type_adapter, pack, overlay_target, actions) with ``violations``, the names of the
+    rules that a profile breaks; one that breaks any must not be loaded."""
+    marks = [F.when(F.coalesce(F.expr(rule), F.lit(False)), F.lit(name)) for name, rule in POLICY_RULES.items()]
+    return profiles.withColumn("violations", F.filter(F.array(*marks), lambda x: x.isNotNull()))
+
+
+def overlay_target(pack: Column, proposal_policy: Column, suffix: str = "__overlay") -> Column:
+    """Pack that proposals go to: the base pack's overlay, where proposals are allowed."""
+    return F.when(proposal_policy == "allow", F.concat(pack, F.lit(suffix)))
+
+
+def overlay_path(root: str, overlay: Column, version: Column, file: str) -> Column:
+    """Where an overlay pack's additions are appended."""
+    return F.concat_ws("/", F.lit(root.rstrip("/")), overlay, version, F.lit(file))
+
+
+def profile_rules(pack_rules: DataFrame, own_rules: DataFrame, pack_predicates: DataFrame, allowed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(role rules, allowed predicates) of a profile: its own rules replace the pack's for
+    each predicate they speak of; an empty allow-list means all of the pack's predicates."""
+    own = own_rules.select("predicate").distinct()
+    rules = pack_rules.join(own, "predicate", "left_anti").unionByName(own_rules)
+    listed = allowed.select("predicate").distinct()
+    some = listed.agg(F.count("*").alias("n"))
+    # One row with the size of the list decides for all predicates.
+    either = pack_predicates.select("predicate").distinct().withColumn("one", F.lit(1)).join(some.withColumn("one", F.lit(1)), "one").where("n = 0").select("predicate")
+    return rules, listed.union(either)

@@ -90,3 +90,18 @@ def relationship_facts(facts: DataFrame) -> DataFrame:
 
     three = F.array(one("from", F.col("from"), True), one("relationship", F.col("relationship"), False), one("to", F.col("to"), True))
     return facts.select("id", F.explode(three).alias("f")).select("id", "f.*")
+
+
+def progressive_report(typed: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """Candidates of a progressive extraction: typed assertions (event_id, predicate, name,
+    coarse_type, refined_type, evidence, source_text) and events without a predicate
+    (event_id, name, evidence, source_text), which stay visible as ``unresolved``. An
+    entity's type is its refinement, else the coarse one; ``span`` is where the evidence
+    first stands in the text, null where it does not."""
+    from factweave.functions import payload
+
+    first = typed.withColumn("entity_type", F.coalesce("refined_type", "coarse_type")).withColumn("pass_provenance", F.lit("pass3"))
+    second = unresolved.withColumns({"predicate": F.lit("unresolved"), "entity_type": F.lit("Entity"), "pass_provenance": F.lit("pass1")})
+    both = first.select("event_id", "predicate", "pass_provenance", "name", "entity_type", "evidence", "source_text").unionByName(second)
+    slug = F.replace(F.replace(F.lower("name"), F.lit(" "), F.lit("_")), F.lit("'"), F.lit(""))
+    return both.withColumn("entity_id", F.concat(F.lit("ent:progressive:"), slug)).withColumn("span", payload.locate_span(F.col("source_text"), F.col("evidence"))).drop("source_text", "evidence")
