@@ -95,6 +95,11 @@ def short_digest(text: Column, n: int = 24) -> Column:
     return F.left(F.sha2(text, 256), F.lit(n))
 
 
+def utc_text(at: Column) -> Column:
+    """A timestamp as ISO text with its offset; the session's zone is UTC."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssxxx")
+
+
 def slug(text: Column) -> Column:
     """Lower-case letters and digits with single underscores between them."""
     return F.btrim(F.regexp_replace(F.lower(F.trim(text)), r"[^a-z0-9]+", "_"), F.lit("_"))

@@ -42,3 +42,69 @@ def compared_calls(live: DataFrame, trial: DataFrame, key: str, fields: list[str
     both = left.join(trial.select(key, *[F.col(c).alias(f"r_{c}") for c in fields]), key)
     marks = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")).alias("equal")) for c in fields])
     return both.select(key, F.explode(marks).alias("m")).select(key, "m.*")
+
+
+# Buckets of a failed trial and the marks of each, in the order they are tried.
+FAILURES = {
+    "insufficient_credits": ["requires more credits", '"code":402'],
+    "provider_schema_rejected": ["invalid_json_schema", "invalid schema for response_format", "provider rejected structured json-schema output"],
+    "provider_invalid_arguments": ["provider rejected structured-output call arguments", "invalid arguments passed to the model"],
+    "provider_timeout": ["connection timed out", "litellm.timeout", "timeout passed="],
+    "provider_rate_limited": ["key limit exceeded", "rate limit", "429"],
+    "length_truncated": ["max_tokens length limit", "finish_reason='length'"],
+    "multiple_tool_calls": ["multiple tool calls"],
+    "unnamed_entity_filler": ["entity fillers require entity_id or name"],
+    "empty_roles": ["candidate roles must not be empty"],
+    "bad_evidence_span": ["evidence span"],
+    "schema_validation_error": ["validation error for textextractionresponse", "pydantic.dev"],
+}
+
+
+def failure_bucket(error: Column, reasoning: Column) -> Column:
+    """Bucket of a trial's failure; an error without a known mark is another failure, and
+    neither error nor reasoning is none (null)."""
+    first, second = F.lower(F.trim(F.coalesce(error, F.lit("")))), F.lower(F.trim(F.coalesce(reasoning, F.lit(""))))
+    both = F.concat(first, F.lit("\n"), second)
+    out = F.when((first == "") & (second == ""), F.lit(None).cast("string"))
+    for bucket, marks in FAILURES.items():
+        holds = F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(both, m))
+        out = out.when(holds & F.contains(both, F.lit("did not resolve")) if bucket == "bad_evidence_span" else holds, bucket)
+    return out.otherwise(F.when(first != "", "other_failure"))
+
+
+def micro(cases: DataFrame, empty: float = 0.0) -> DataFrame:
+    """One row of sums of (matched, expected, observed) over cases with precision, recall
+    and F1, rounded to four places."""
+    sums = cases.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("matched", "expected", "observed")])
+    p, r, f = precision_recall(F.col("matched"), F.col("expected"), F.col("observed"), empty)
+    return sums.select("matched", "expected", "observed", F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(f, 4).alias("f1"))
+
+
+def fidelity(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rates of picked types against wanted ones, for each group: (picked, wanted,
+    relation, depth_picked, depth_wanted, error). Errors are counted and left out of all
+    rates; ``relation`` is coarser, finer or other."""
+    exact = F.col("picked") == F.col("wanted")
+    score = ancestor_score(F.col("picked"), F.col("wanted"), F.col("depth_picked"), F.col("depth_wanted"), F.col("relation"))
+    fine = F.col("error").isNull()
+    rate = lambda c: F.round(F.avg(F.when(fine, c.cast("double"))), 4)
+    return rows.groupBy(*by).agg(
+        F.count_if(fine).cast("long").alias("n"),
+        F.count_if(~fine).cast("long").alias("errors"),
+        rate(exact).alias("exact_rate"),
+        rate(~exact & (F.col("relation") == "coarser")).alias("ancestor_rate"),
+        rate(~exact & (F.col("relation") == "other")).alias("wrong_branch_rate"),
+        F.round(F.avg(F.when(fine, score)), 4).alias("mean_score"),
+    )
+
+
+def cluster_answers(questions: DataFrame, clusters: DataFrame, truth: DataFrame) -> DataFrame:
+    """Questions (question_id, mention, gold) with ``status``: the mention's clusters
+    (mention, cluster) are looked up and their ground truth (cluster, gold_id) compared.
+    No cluster: unanswered; several: ambiguous; one whose truths are the gold alone:
+    right; else wrong."""
+    found = clusters.select("mention", "cluster").distinct().groupBy("mention").agg(F.count("*").alias("n"), F.min("cluster").alias("cluster"))
+    ids = truth.groupBy("cluster").agg(F.min("gold_id").alias("low"), F.max("gold_id").alias("high"))
+    out = questions.join(found, "mention", "left").join(ids, "cluster", "left")
+    right = F.col("low").eqNullSafe(F.col("gold")) & F.col("high").eqNullSafe(F.col("gold"))
+    return out.select("question_id", "mention", F.when(F.col("n").isNull(), "unanswered").when(F.col("n") > 1, "ambiguous").when(right, "right").otherwise("wrong").alias("status"))

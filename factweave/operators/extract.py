@@ -53,3 +53,40 @@ def map_diff(left: Column, right: Column) -> Column:
     """Keys whose values differ, with both values."""
     both = F.map_zip_with(left, right, lambda k, a, b: F.struct(a.alias("left"), b.alias("right")))
     return F.map_filter(both, lambda k, v: ~v["left"].eqNullSafe(v["right"]))
+
+
+def coerced_events(raw: DataFrame) -> DataFrame:
+    """Strict events of permissive ones (verb, participants, confidence, claim_level,
+    ..): those without a verb or a named participant go; blank roles and types get their
+    defaults, confidence is held to 0..1 and an unknown level is ``instance``.
+    ``participants`` is an array of structs (proto_role, name, coarse_type)."""
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    named = F.filter("participants", lambda p: ~blank(p["name"]))
+    strict = F.transform(named, lambda p: F.struct(F.when(blank(p["proto_role"]), "Unspecified").otherwise(F.trim(p["proto_role"])).alias("proto_role"), F.trim(p["name"]).alias("name"), F.when(blank(p["coarse_type"]), "Entity").otherwise(F.trim(p["coarse_type"])).alias("coarse_type")))
+    kept = raw.where(~blank(F.col("verb"))).withColumn("verb", F.trim("verb")).withColumn("participants", F.coalesce(strict, F.array().cast("array<struct<proto_role:string,name:string,coarse_type:string>>")))
+    level = F.when(F.col("claim_level").isin("type", "instance"), F.col("claim_level")).otherwise("instance")
+    return kept.where(F.size("participants") > 0).withColumns({"confidence": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("confidence"))), "claim_level": level})
+
+
+def typed_roles(participants: Column, refinements: Column) -> Column:
+    """Role -> (name, type) of typed participants (slot, name, coarse_type): the first
+    refinement (name, refined_type) of a name gives its type, else the coarse one stands.
+    Without slots the first two are source_entity and target_entity."""
+
+    def typed(p: Column) -> Column:
+        first = F.get(F.filter(refinements, lambda r: r["name"] == p["name"]), F.lit(0))
+        return F.struct(p["name"].alias("name"), F.coalesce(first["refined_type"], p["coarse_type"]).alias("entity_type"))
+
+    slotted = F.filter(participants, lambda p: p["slot"].isNotNull())
+    fallback = F.slice(participants, 1, 2)
+    names = F.array(F.lit("source_entity"), F.lit("target_entity"))
+    by_slot = F.map_from_entries(F.transform(slotted, lambda p: F.struct(p["slot"], typed(p))))
+    by_place = F.map_from_arrays(F.slice(names, F.lit(1), F.size(fallback)), F.transform(fallback, typed))
+    return F.when(F.size(slotted) > 0, by_slot).otherwise(by_place)
+
+
+def gloss(roles: Column, sense: Column) -> Column:
+    """"Agent [sense] Theme" of a map role -> name, else its first two names by role."""
+    agent, theme = F.try_element_at(roles, F.lit("Agent")), F.try_element_at(roles, F.lit("Theme"))
+    names = F.transform(F.slice(F.array_sort(F.map_keys(roles)), 1, 2), lambda k: roles[k])
+    return F.when(agent.isNotNull() & theme.isNotNull(), F.concat(agent, F.lit(" ["), sense, F.lit("] "), theme)).otherwise(F.concat(F.lit("["), sense, F.lit("] "), F.array_join(names, ", ")))

@@ -57,3 +57,42 @@ def latest(events: DataFrame, key: str, *order: str) -> DataFrame:
     """The last event of each key in ``order``, as one aggregation without a sort."""
     rest = [c for c in events.columns if c != key]
     return events.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("e")).select(key, "e.*")
+
+
+def bundles(candidates: DataFrame, links: DataFrame, proposals: DataFrame, applications: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Candidates (candidate_id, ..) with their proposals as sorted arrays of structs
+    (proposal_id, decision, applied) and their artifacts (artifact_id, support_kind).
+
+    ``links`` has (candidate_id, proposal_id), ``proposals`` (proposal_id, decision),
+    ``applications`` (proposal_id), ``artifacts`` (candidate_id, artifact_id,
+    support_kind). A candidate without any has empty arrays."""
+    applied = applications.select("proposal_id").distinct().withColumn("applied", F.lit(True))
+    state = proposals.join(applied, "proposal_id", "left").select("proposal_id", "decision", F.coalesce("applied", F.lit(False)).alias("applied"))
+    mine = links.distinct().join(state, "proposal_id").groupBy("candidate_id").agg(F.sort_array(F.collect_list(F.struct("proposal_id", "decision", "applied"))).alias("proposals"))
+    own = artifacts.distinct().groupBy("candidate_id").agg(F.sort_array(F.collect_list(F.struct("artifact_id", "support_kind"))).alias("artifacts"))
+    out = candidates.join(mine, "candidate_id", "left").join(own, "candidate_id", "left")
+    return out.withColumns({"proposals": F.coalesce("proposals", F.array().cast(mine.schema["proposals"].dataType)), "artifacts": F.coalesce("artifacts", F.array().cast(own.schema["artifacts"].dataType))})
+
+
+def proposal_states(proposals: DataFrame, reviews: DataFrame, applications: DataFrame) -> DataFrame:
+    """Proposals (proposal_id, policy, ..) with the latest review's decision, ``status``
+    (pending, accepted, rejected) and ``application_status``: applied where an application
+    is recorded, else what decision and policy ask for."""
+    last = reviews.groupBy("proposal_id").agg(F.max_by("decision", F.struct("reviewed_at", "review_id")).alias("decision"))
+    done = applications.select("proposal_id").distinct().withColumn("done", F.lit(True))
+    out = proposals.join(last, "proposal_id", "left").join(done, "proposal_id", "left")
+    asked = F.when(F.col("decision").isNotNull(), application_status(F.col("decision"), F.col("policy")))
+    return out.withColumns({"status": F.coalesce("decision", F.lit("pending")), "application_status": F.when(F.col("done"), "applied").otherwise(asked)}).drop("done")
+
+
+def requested(rows: DataFrame, ids: list[str], key: str) -> DataFrame:
+    """The rows of explicit ids, each with its ``place`` in the request; an id without a
+    row, or asked for twice, is an error."""
+    if len(set(ids)) != len(ids):
+        raise ValueError("an id is asked for twice")
+    wanted = rows.sparkSession.createDataFrame(list(enumerate(ids)), f"place int, {key} string")
+    found = rows.join(F.broadcast(wanted), key)
+    have = {r[0] for r in found.select(key).distinct().collect()}
+    if len(have) < len(ids):
+        raise LookupError(f"not found: {sorted(set(ids) - have)}")
+    return found

@@ -374,13 +374,6 @@ def _e27(t: Tables) -> DataFrame:
     return identity.pairwise_metrics(rows, "pred", "gold")
 
 
-@query("E29_benchmark_aggregate", """SELECT l_returnflag AS case_id, sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END)::BIGINT AS matched, count(*)::BIGINT AS observed, round(sum(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) / count(*), 4) AS p FROM lineitem GROUP BY 1""", plain=True)
-def _e29(t: Tables) -> DataFrame:
-    g = t.raw("lineitem").groupBy(F.col("l_returnflag").alias("case_id")).agg(F.count_if(F.col("l_quantity") > 25).cast(N).alias("matched"), _n().alias("observed"))
-    p, _, _ = evaluate.precision_recall(F.col("matched"), F.col("observed"), F.col("observed"))
-    return g.select("case_id", "matched", "observed", F.round(p, 4).alias("p"))
-
-
 @query("E30_trial_means", "SELECT event_type AS variant, user_id % 10 AS case_id, count(*)::BIGINT AS trials, count(*) FILTER (value < 10)::BIGINT AS failures FROM events GROUP BY 1, 2", plain=True)
 def _e30(t: Tables) -> DataFrame:
     return t.raw("events").groupBy(F.col("event_type").alias("variant"), (F.col("user_id") % 10).alias("case_id")).agg(_n().alias("trials"), F.count_if(F.col("value") < 10).cast(N).alias("failures"))
@@ -545,15 +538,6 @@ def _g8(t: Tables) -> DataFrame:
 # Sources and sinks ---------------------------------------------------------------------
 
 
-@query("A8_shared_claims", "SELECT conv_id AS claim_id, coalesce(nullif(trim(role), ''), 'shared:turn') AS predicate, CASE turn WHEN 0 THEN 'subject' WHEN 1 THEN 'object' WHEN 2 THEN 'indirect_object' WHEN 3 THEN 'modifier' ELSE 'arg' || turn END AS role_id, sha256(text) AS entity FROM (SELECT conv_id, turn, role, text FROM conversations)", plain=True)
-def _a8(t: Tables) -> DataFrame:
-    from factweave.sources import readers
-
-    role = F.coalesce(F.get(F.array(*map(F.lit, readers.POSITIONAL_ROLES)), F.col("turn").cast("int")), F.concat(F.lit("arg"), "turn"))
-    c = t.raw("conversations")
-    return c.select(F.col("conv_id").alias("claim_id"), F.coalesce(F.when(F.trim("role") != "", F.trim("role")), F.lit("shared:turn")).alias("predicate"), role.alias("role_id"), F.sha2("text", 256).alias("entity"))
-
-
 @query("A9_research_roles", "SELECT conv_id, turn, CASE WHEN turn < 2 THEN 'ARG' || turn ELSE 'participant_' || turn END AS role_id FROM conversations", plain=True)
 def _a9(t: Tables) -> DataFrame:
     from factweave.sources import readers
@@ -616,16 +600,6 @@ def _b9(t: Tables) -> DataFrame:
     return events.promoted(c, c.where("1 = 0"))
 
 
-@query("B10_role_fillers", "SELECT assertion_id, role_id, filler_index, entity_id FROM fil")
-def _b10(t: Tables) -> DataFrame:
-    return t.fillers().select("assertion_id", "role_id", "filler_index", "entity_id")
-
-
-@query("B13_membership_conflicts", "SELECT name, count(DISTINCT entity_type)::BIGINT AS types FROM ent WHERE entity_id LIKE 'part%' GROUP BY 1 HAVING count(DISTINCT entity_type) > 1")
-def _b13(t: Tables) -> DataFrame:
-    return t.entities().where("entity_id like 'part%'").groupBy("name").agg(F.count_distinct("entity_type").cast(N).alias("types")).where("types > 1")
-
-
 @query("B16_graph_export", "SELECT assertion_id, predicate AS relation_name, max(entity_id) FILTER (role_id = 'part') AS src_id, max(entity_id) FILTER (role_id = 'supplier') AS tgt_id FROM fil WHERE filler_index = 0 GROUP BY 1, 2")
 def _b16(t: Tables) -> DataFrame:
     from factweave.sinks import export
@@ -843,13 +817,6 @@ def _j5(t: Tables) -> DataFrame:
     return _status(t).groupBy("predicate", "status").agg(_n().alias("n"))
 
 
-@query("J15_governed_bundle", "SELECT c.candidate_id, coalesce(f.n, 0)::BIGINT AS fillers, round(k.confidence_score, 4) AS confidence FROM cand c LEFT JOIN asr a USING (candidate_id) LEFT JOIN (SELECT assertion_id, count(*) AS n FROM fil GROUP BY 1) f USING (assertion_id) LEFT JOIN conf k ON k.candidate_id = c.candidate_id WHERE c.review_status = 'accepted'")
-def _j15(t: Tables) -> DataFrame:
-    f = t.fillers().groupBy("assertion_id").agg(_n().alias("n"))
-    out = t.assertions().join(f, "assertion_id", "left").join(t.confidences(), "candidate_id", "left")
-    return out.select("candidate_id", F.coalesce("n", F.lit(0)).cast(N).alias("fillers"), F.round("confidence_score", 4).alias("confidence"))
-
-
 @query("J16_graph_report", "SELECT predicate, count(DISTINCT assertion_id)::BIGINT AS assertions, count(DISTINCT entity_id)::BIGINT AS entities, count(*)::BIGINT AS fillers FROM fil GROUP BY 1")
 def _j16(t: Tables) -> DataFrame:
     return t.fillers().groupBy("predicate").agg(F.count_distinct("assertion_id").cast(N).alias("assertions"), F.count_distinct("entity_id").cast(N).alias("entities"), _n().alias("fillers"))
\ No newline at end of file

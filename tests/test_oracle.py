@@ -6,8 +6,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import factweave.plans.flow  # noqa: F401
 import factweave.plans.more  # noqa: F401
 import factweave.plans.queries  # noqa: F401
+import factweave.plans.writes  # noqa: F401
 from factweave.plans.registry import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
