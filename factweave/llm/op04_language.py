@@ -23,9 +23,9 @@ DIMENSIONS = 1024
 ORDER = 3
 #: Prototypes are learned from about this many texts of each language at most.
 SAMPLE_ROWS = 3_000
-#: Languages whose counts are broadcast at most; more are joined by shuffle.
-MOST_LANGUAGES = 100_000
-#: Steepness of the score: share of exp(SCALE x cosine) among the languages.
+#: Languages that are learned at most, those of most rows.
+MOST_LANGUAGES = 512
+#: Languages that are learned at most, those of most rows.
 SCALE = 40.0
 
 _LETTERS: list[np.ndarray] = []
@@ -104,19 +104,20 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
     """Prototype of each language of ``docs``.
 
-    Rows with a null text or language are left out. Of a language with more than
-    ``sample_rows`` texts, those whose hashed key is small are taken, about that many;
-    what comes to the driver is one vector for each language and task of the sample.
+    Rows with a null text or language are left out, and a text that repeats within a
+    language counts once. Of a language with more than ``sample_rows`` rows, those whose
+    hashed text is small are taken, about that many at most. The MOST_LANGUAGES languages
+    of most rows are learned (ties: that which sorts first), so a column full of stray
+    values costs no more; what comes to the driver is one vector for each language and
+    task of the sample.
     """
-    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    counts = labelled.groupBy("lang").count()
-    if counts.count() <= MOST_LANGUAGES:
-        counts = F.broadcast(counts)
-    share = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) / 1_000_003
-    sample = labelled.join(counts, "lang").where(share * F.col("count") < sample_rows).select("lang", "text").repartition(16)
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    share = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
+    sample = labelled.join(F.broadcast(counts), "lang").where(share * F.col("count") < sample_rows).select("lang", "text").distinct().repartition(16)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
