@@ -11,8 +11,12 @@ least that run.
 
 A run counts when it has ``min_words`` words or more. Every such run is the union of
 shortest such runs, one from each of its lines forwards and one backwards, so those are
-what is looked up: if an earlier place starts the same interval, the later copy's lines
-are removed. Doubling stops at the longest of the shortest runs.
+what is looked up: the places of one interval share that run as their common prefix,
+and each later one copies the earliest. Copies that go on side by side, place by place,
+join into one maximal run; its length is the longest common prefix of the two suffixes
+from there on, as far as the earliest copy stays the same. The lines of maximal runs are
+removed from the later copy. Doubling stops at the longest of the shortest runs, since
+longer prefixes would name the same lines again.
 """
 
 from __future__ import annotations
@@ -52,10 +56,15 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).where("text is not null and doc is not null").withColumn("copy", F.xxhash64("text"))
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, copy, i, line) of every line inside a later copy of a run of at least
-    ``min_words`` words; ``copy`` is xxhash64 of the text, ``i`` counts the non-blank
-    lines and ``line`` all. The first copy is the one with the least (key, copy, i)."""
+def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Maximal runs of lines that copy an earlier place, and the places of all lines that
+    may stand in one.
+
+    Runs have (doc, copy, stretch, start, end, first): the lines start to end (both
+    included, counted among the non-blank ones) stand at ``first`` (doc, copy, i) and
+    after it too, at least ``min_words`` words long. ``copy`` is xxhash64 of the text.
+    The earliest place is the one with the least (doc, copy, i). Places have (doc, copy,
+    stretch, i, line), line counting all lines."""
     place = ["doc", "copy", "stretch", "i"]
     lines = written(_lines(_rows(docs, key, text)))
     ids = _ranked(lines, ["h1", "h2"])
@@ -85,7 +94,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     forget(lines)
     forget(ids)
     longest = state.agg(F.max(F.greatest("ahead", "behind"))).first()[0] or 0
-    half, removed = 1, state.select(*place, F.lit(0).cast("long").alias("n")).limit(0)
+    half = 1
+    copies = state.select(*place, F.lit(0).cast("long").alias("n"), F.struct("doc", "copy", "i").alias("first")).limit(0)
     while longest >= half:
         # Runs of half to 2 x half - 1 lines: named by the ranks at both ends.
         ahead = ranks.where(F.col("ahead").between(half, 2 * half - 1)).select(*place, F.col("ahead").alias("n"))
@@ -100,7 +110,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         runs = written(named.where("left is not null and right is not null").select(*place, "n", "left", "right"))
         first = written(runs.groupBy("n", "left", "right").agg(F.min(F.struct("doc", "copy", "i")).alias("first"), F.count("*").alias("k")).where("k > 1"))
         later = runs.join(first, ["n", "left", "right"]).where(F.col("first") != F.struct("doc", "copy", "i"))
-        removed = removed.union(written(later.select(*place, "n")))
+        copies = copies.union(written(later.select(*place, "n", "first")))
         forget(runs)
         forget(first)
         if longest < 2 * half:
@@ -114,8 +124,25 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         if ranks is not state:
             forget(ranks)
         ranks, half = grown, 2 * half
-    inside = removed.select("doc", "copy", "stretch", F.explode(F.sequence(F.col("i"), (F.col("i") + F.col("n") - 1).cast("int"))).alias("i")).distinct()
-    return inside.join(state.select(*place, "line"), place).select("doc", "copy", "i", "line")
+    # Copies of one source that keep their distance to it and touch are one maximal run.
+    shift = F.col("i") - F.col("first.i")
+    side = Window.partitionBy("doc", "copy", "stretch", "first.doc", "first.copy", "shift").orderBy("i", "n")
+    reach = F.max(F.col("i") + F.col("n")).over(side.rowsBetween(Window.unboundedPreceding, -1))
+    begun = copies.withColumn("shift", shift).withColumn("new", F.when(F.col("i") <= reach, 0).otherwise(1))
+    runs = (
+        begun.withColumn("run", F.sum("new").over(side))
+        .groupBy("doc", "copy", "stretch", F.col("first.doc").alias("d"), F.col("first.copy").alias("c"), "shift", "run")
+        .agg(F.min("i").alias("start"), F.max(F.col("i") + F.col("n") - 1).cast("int").alias("end"))
+    )
+    first = F.struct(F.col("d").alias("doc"), F.col("c").alias("copy"), (F.col("start") - F.col("shift")).cast("int").alias("i"))
+    return runs.select("doc", "copy", "stretch", "start", "end", first.alias("first")), state.select(*place, "line")
+
+
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, copy, i, line) of every line of a run that ``repeated_runs`` gives."""
+    runs, places = repeated_runs(docs, key, text, min_words)
+    inside = runs.select("doc", "copy", "stretch", F.explode(F.sequence("start", "end")).alias("i")).distinct()
+    return inside.join(places, ["doc", "copy", "stretch", "i"]).select("doc", "copy", "i", "line")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
