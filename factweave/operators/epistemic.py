@@ -64,3 +64,27 @@ def tensions(roles: DataFrame, snapshots: DataFrame) -> DataFrame:
     key = F.concat_ws("|", "a", "b", "predicate", "anchor_roles", "differing_roles")
     out = both.withColumn("differing_roles", F.array_join(differing, ",")).where("differing_roles <> ''")
     return out.select(F.concat(F.lit("eten_"), T.short_digest(key)).alias("tension_id"), F.col("a").alias("assertion_a_id"), F.col("b").alias("assertion_b_id"), "predicate", "anchor_roles", "differing_roles")
+
+
+def tension_counts(roles: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """(assertion_id, tensions): with how many others each live assertion is in tension,
+    without forming pairs.
+
+    Those that share an anchor are counted by inclusion and exclusion over the sets of an
+    assertion's anchored roles; those that say the same in every role are taken off.
+    ``roles`` is as for ``tensions``; an assertion of r anchored roles gives 2^r - 1 rows.
+    """
+    live = snapshots.where(F.col("status").isin("active", "weakened")).select("assertion_id", "predicate")
+    own = roles.join(live, "assertion_id").groupBy("assertion_id", "predicate").agg(
+        F.array_sort(F.collect_list(F.concat_ws("=", "role_id", "signature"))).alias("every"),
+        F.array_sort(F.collect_list(F.when(F.col("anchored"), F.concat_ws("=", "role_id", "signature")))).alias("anchors"),
+    )
+    empty = F.array(F.array().cast("array<string>"))
+    subsets = F.filter(F.aggregate("anchors", empty, lambda done, r: F.concat(done, F.transform(done, lambda s: F.concat(s, F.array(r))))), lambda s: F.size(s) > 0)
+    keyed = own.select("assertion_id", "predicate", F.explode(subsets).alias("s")).select("assertion_id", "predicate", F.xxhash64("s").alias("h1"), F.hash("s").alias("h2"), F.when(F.size("s") % 2 == 1, 1).otherwise(-1).alias("sign"))
+    sizes = keyed.groupBy("predicate", "h1", "h2").agg(F.count("*").alias("n"))
+    sharing = keyed.join(sizes, ["predicate", "h1", "h2"]).groupBy("assertion_id").agg(F.sum(F.col("sign") * F.col("n")).alias("sharing"))
+    whole = own.where(F.size("anchors") > 0).select("assertion_id", "predicate", F.xxhash64("every").alias("h1"), F.hash("every").alias("h2"))
+    same = whole.groupBy("predicate", "h1", "h2").agg(F.count("*").alias("same"))
+    out = whole.join(same, ["predicate", "h1", "h2"]).join(sharing, "assertion_id")
+    return out.select("assertion_id", (F.col("sharing") - F.col("same")).alias("tensions")).where("tensions > 0")

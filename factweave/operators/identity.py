@@ -54,7 +54,9 @@ def near_duplicates(names: DataFrame) -> DataFrame:
     short = base.where((F.length("n") <= 30) & (F.length("n") > 0)).withColumn("key", F.explode(F.array_distinct(cuts))).select("name", "key")
     grams = base.where("length(n) >= 3").withColumn("key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n") - 2), lambda i: F.substr("n", i, F.lit(3)))))).select("name", F.concat(F.lit("3:"), "key").alias("key"))
     acr = base.where("acr <> ''").select("name", F.concat(F.lit("a:"), "acr").alias("key")).union(base.select("name", F.concat(F.lit("a:"), F.upper("n")).alias("key")))
-    first = grams.groupBy("name").agg(F.min("key").alias("key"))
+    # A name inside another brings all its trigrams there; its rarest one meets the fewest.
+    rare = grams.groupBy("key").agg(F.count("*").alias("c"))
+    first = grams.join(rare, "key").groupBy("name").agg(F.min_by("key", F.struct("c", "key")).alias("key"))
     near = _meet(short, short).union(_meet(acr, acr)).union(_meet(first, grams)).distinct()
     pairs = near.join(left, F.col("a") == F.col("name_a")).join(right, F.col("b") == F.col("name_b"))
     inside = (F.col("n_a") != "") & (F.col("n_b") != "") & (F.col("n_a").contains(F.col("n_b")) | F.col("n_b").contains(F.col("n_a")))
@@ -75,13 +77,22 @@ def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def structural_duplicates(profiles: DataFrame, threshold: float = 0.35, least: int = 2) -> DataFrame:
     """Pairs (a, b, jaccard) of entities whose sets of (predicate, role) are alike.
-    ``profiles`` has distinct (entity_id, item); pairs meet on a shared item."""
-    sizes = profiles.groupBy("entity_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    own = profiles.join(sizes, "entity_id")
-    a = own.select(F.col("entity_id").alias("a"), "item", F.col("n").alias("n_a"))
-    b = own.select(F.col("entity_id").alias("b"), "item", F.col("n").alias("n_b"))
-    shared = a.join(b, "item").where("a < b").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("i"))
-    return shared.withColumn("jaccard", F.col("i") / (F.col("n_a") + F.col("n_b") - F.col("i"))).where(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
+
+    ``profiles`` has distinct (entity_id, item); entities with fewer than ``least`` items
+    take no part. With its items in order of rarity, a set of n shares one of its first
+    n - ceil(threshold n) + 1 with every set as alike as that, so only those are joined;
+    pairs are confirmed on whole sets.
+    """
+    rare = profiles.groupBy("item").agg(F.count("*").alias("c"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("c", "item"))), lambda x: x["item"])
+    sets = profiles.join(rare, "item").groupBy("entity_id").agg(ordered.alias("items")).withColumn("n", F.size("items")).where(F.col("n") >= least)
+    prefix = F.slice("items", F.lit(1), (F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1).cast("int"))
+    keys = sets.select("entity_id", F.explode(prefix).alias("item"))
+    met = keys.select(F.col("entity_id").alias("a"), "item").join(keys.select(F.col("entity_id").alias("b"), "item"), "item").where("a < b").select("a", "b").distinct()
+    one = lambda side: sets.select(F.col("entity_id").alias(side), F.col("items").alias(f"items_{side}"))
+    both = met.join(one("a"), "a").join(one("b"), "b").withColumn("i", F.size(F.array_intersect("items_a", "items_b")))
+    jaccard = F.col("i") / (F.size("items_a") + F.size("items_b") - F.col("i"))
+    return both.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
 def pairwise_metrics(rows: DataFrame, predicted: str, gold: str) -> DataFrame:

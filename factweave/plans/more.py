@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from factweave.functions import payload
 from factweave.functions import text as T
-from factweave.operators import chunk, evaluate, identity, review, seam
-from factweave.plans.queries import _STATUS, _n, _status
+from factweave.operators import chunk, epistemic, evaluate, identity, review, seam
+from factweave.plans.queries import _STATUS, _TENSIONS, _n, _roles, _status
 from factweave.plans.registry import query
 from factweave.sinks import events
 from factweave.sources import readers
@@ -110,14 +110,9 @@ def _d6(t: Tables) -> DataFrame:
     return t.fillers().where("entity_id = 'part_1'").select("assertion_id", "role_id", "filler_index", "entity_id")
 
 
-@query("E9_tension_counts")
+@query("E9_tension_counts", "SELECT assertion_id, count(*)::BIGINT AS tensions FROM (SELECT assertion_a_id AS assertion_id FROM tension UNION ALL SELECT assertion_b_id FROM tension) GROUP BY 1", recursive=_TENSIONS)
 def _e9(t: Tables) -> DataFrame:
-    from factweave.plans.queries import _roles
-    from factweave.operators import epistemic
-
-    found = epistemic.tensions(_roles(t), _status(t))
-    both = found.select(F.explode(F.array("assertion_a_id", "assertion_b_id")).alias("assertion_id"), "tension_id")
-    return both.groupBy("assertion_id").agg(_n().alias("tensions"), F.min("tension_id").alias("first_tension"))
+    return epistemic.tension_counts(_roles(t), _status(t))
 
 
 @query("F7_display_labels", "SELECT e.entity_id, coalesce(CASE m.membership_kind WHEN 'canonical' THEN m.display_label END, e.name, m.display_label, e.entity_id) AS label FROM ent e LEFT JOIN mem m USING (entity_id)")

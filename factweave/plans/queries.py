@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factweave.functions import text as T
 from factweave.operators import chunk, epistemic, evaluate, graph, identity, review, validate
 from factweave.plans.registry import query
+from factweave.sources import readers
 from factweave.sources.bridge import Tables
 
 N = "long"
@@ -148,24 +149,30 @@ def _d20(t: Tables) -> DataFrame:
 _STATUS = """last AS (SELECT assertion_id, arg_max(target_status, (created_at, event_id)) AS disposition FROM disp GROUP BY 1),
 st AS (SELECT a.*, CASE WHEN l.disposition = 'retracted' THEN 'retracted' WHEN s.prior_candidate_id IS NOT NULL THEN 'superseded' ELSE coalesce(l.disposition, 'active') END AS status
 FROM asr a LEFT JOIN last l USING (assertion_id) LEFT JOIN (SELECT DISTINCT prior_candidate_id FROM sup) s ON s.prior_candidate_id = a.candidate_id),
-roles AS (SELECT assertion_id, role_id, string_agg(entity_id, ',' ORDER BY filler_index) AS signature FROM fil WHERE filler_index = 0 GROUP BY 1, 2)"""
+roles AS (SELECT assertion_id, role_id, string_agg(entity_id, ',' ORDER BY filler_index) AS signature FROM fil GROUP BY 1, 2)"""
 
 
 def _roles(t: Tables) -> DataFrame:
-    return t.fillers().where("filler_index = 0").select("assertion_id", "role_id", F.col("entity_id").alias("signature"), F.lit(True).alias("anchored"))
+    """Each role of an assertion with all its fillers in order as signature."""
+    rows = F.sort_array(F.collect_list(F.struct("filler_index", "entity_id")))
+    signature = F.array_join(F.transform(rows, lambda r: r["entity_id"]), ",")
+    return t.fillers().groupBy("assertion_id", "role_id").agg(signature.alias("signature")).withColumn("anchored", F.lit(True))
 
 
 def _status(t: Tables) -> DataFrame:
     return epistemic.statuses(t.assertions(), t.dispositions(), t.supersessions())
 
 
-@query("D21_tensions", """SELECT assertion_a_id, assertion_b_id, predicate, anchor_roles, differing_roles FROM (
+_TENSIONS = _STATUS + """, tension AS (SELECT assertion_a_id, assertion_b_id, predicate, anchor_roles, differing_roles FROM (
   SELECT a.assertion_id AS assertion_a_id, b.assertion_id AS assertion_b_id, a.predicate, string_agg(ra.role_id, ',' ORDER BY ra.role_id) FILTER (ra.signature = rb.signature) AS anchor_roles,
   string_agg(ra.role_id, ',' ORDER BY ra.role_id) FILTER (ra.signature <> rb.signature) AS differing_roles
   FROM st a JOIN roles ra USING (assertion_id) JOIN roles rb ON ra.role_id = rb.role_id JOIN st b ON b.assertion_id = rb.assertion_id AND a.predicate = b.predicate AND a.assertion_id < b.assertion_id
   WHERE a.status IN ('active', 'weakened') AND b.status IN ('active', 'weakened')
   AND (a.predicate, ra.assertion_id, rb.assertion_id) IN (SELECT s1.predicate, r1.assertion_id, r2.assertion_id FROM roles r1 JOIN roles r2 ON r1.role_id = r2.role_id AND r1.signature = r2.signature AND r1.assertion_id < r2.assertion_id JOIN st s1 ON s1.assertion_id = r1.assertion_id JOIN st s2 ON s2.assertion_id = r2.assertion_id AND s1.predicate = s2.predicate)
-  GROUP BY 1, 2, 3) WHERE anchor_roles IS NOT NULL AND differing_roles IS NOT NULL""", recursive=_STATUS)
+  GROUP BY 1, 2, 3) WHERE anchor_roles IS NOT NULL AND differing_roles IS NOT NULL)"""
+
+
+@query("D21_tensions", "SELECT * FROM tension", recursive=_TENSIONS)
 def _d21(t: Tables) -> DataFrame:
     return epistemic.tensions(_roles(t), _status(t)).drop("tension_id")
 
@@ -540,14 +547,12 @@ def _g8(t: Tables) -> DataFrame:
 
 @query("A9_research_roles", "SELECT conv_id, turn, CASE WHEN turn < 2 THEN 'ARG' || turn ELSE 'participant_' || turn END AS role_id FROM conversations", plain=True)
 def _a9(t: Tables) -> DataFrame:
-    from factweave.sources import readers
 
     return t.raw("conversations").select("conv_id", "turn", readers.research_roles(F.col("turn")).alias("role_id"))
 
 
 @query("A10_schema_types", "SELECT DISTINCT p_type AS schema_name, CASE p_type WHEN 'STANDARD' THEN 'oc:person' WHEN 'PROMO' THEN 'oc:organization' ELSE 'oc:' || lower(p_type) END AS type_id FROM part", plain=True)
 def _a10(t: Tables) -> DataFrame:
-    from factweave.sources import readers
 
     known = {"STANDARD": "oc:person", "PROMO": "oc:organization"}
     return t.raw("part").select(F.col("p_type").alias("schema_name")).distinct().withColumn("type_id", readers.schema_type(F.col("schema_name"), known))
@@ -561,10 +566,10 @@ def _a11(t: Tables) -> DataFrame:
     return t.raw("labels").select("doc_id", payload.corroboration_confidence(F.when(k == 0, F.col("quality").cast("double")), F.when(k == 1, F.col("toxic").cast("double")), F.lit(0.5)).alias("confidence"))
 
 
-@query("A14_global_counter", "SELECT p_partkey AS part_key, 'fact_' || lpad(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::VARCHAR, 5, '0') AS fact_id FROM part", plain=True)
+@query("A14_global_counter", "SELECT p_partkey AS part_key, 'fact_' || lpad((row_number() OVER (ORDER BY p_brand, p_partkey))::VARCHAR, 5, '0') AS fact_id FROM part", plain=True)
 def _a14(t: Tables) -> DataFrame:
-    order = Window.partitionBy("p_brand").orderBy("p_partkey")
-    return t.raw("part").select(F.col("p_partkey").alias("part_key"), F.concat(F.lit("fact_"), F.lpad(F.row_number().over(order).cast("string"), 5, "0")).alias("fact_id"))
+    rows = readers.numbered(t.raw("part").select("p_brand", "p_partkey"), ["p_brand", "p_partkey"])
+    return rows.select(F.col("p_partkey").alias("part_key"), F.concat(F.lit("fact_"), F.lpad(F.col("number").cast("string"), 5, "0")).alias("fact_id"))
 
 
 @query("A21_recent_calls", "SELECT event_id, user_id, event_type FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 20", plain=True)
@@ -648,8 +653,8 @@ def _c5(t: Tables) -> DataFrame:
     keys = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " "))
     long = b.where(F.size("w") > 4).select("item_id", "span", F.array_join(F.slice("w", 2, 3), " ").alias("key"))
     short = b.where(F.size("w") <= 4).select("item_id", "span")
-    met = d.withColumn("key", F.explode(F.array_distinct(keys))).join(F.broadcast(long), "key").select("doc_id", "text", "item_id", "span")
-    rows = met.union(d.join(F.broadcast(short), F.contains("text", "span")).select("doc_id", "text", "item_id", "span"))
+    met = d.withColumn("key", F.explode(F.array_distinct(keys))).join(long, "key").select("doc_id", "text", "item_id", "span")
+    rows = met.union(d.join(short, F.contains("text", "span")).select("doc_id", "text", "item_id", "span"))
     at = F.position("span", "text") - 1
     ok = payload.span_ok(F.col("text"), at, at + F.length("span"), F.col("span")) | (F.col("span") == "")
     return rows.where(at >= 0).select("doc_id", "item_id", ok.alias("ok"))

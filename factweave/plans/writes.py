@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factweave.functions import payload
 from factweave.functions import text as T
-from factweave.operators import chunk, evaluate, extract, graph, review, search, seam
+from factweave.operators import chunk, epistemic, evaluate, extract, graph, review, search, seam
 from factweave.plans.queries import _CLOSURE, _STATUS, _status
 from factweave.plans.registry import query
 from factweave.sinks import events, export
@@ -407,3 +407,60 @@ def _j18(t: Tables) -> DataFrame:
     later = asked.where("first is not null and doc_id % 3 = 0").select("request_key", F.concat(F.lit("two of "), "first").alias("response"), F.lit(1).alias("recorded_at"))
     both = seam.recorded(asked.select("doc_id", "first", "request_key"), later)
     return both.select("doc_id", F.concat(F.coalesce("first", F.lit("")), F.lit("|"), F.coalesce("response", F.lit(""))).alias("passes"))
+
+
+@query("A22_vocabulary", """SELECT 'edge' AS kind, p_brand AS id, lower(p_type) AS role, min(p_size)::BIGINT AS position FROM part WHERE p_brand NOT LIKE '%1' AND p_size % 5 > 0 GROUP BY 2, 3
+UNION ALL SELECT 'role', lower(p_type), NULL, NULL FROM part WHERE p_brand NOT LIKE '%1' AND p_size % 5 > 0 GROUP BY 2 UNION ALL SELECT DISTINCT 'predicate', p_brand, NULL, NULL FROM part WHERE p_brand NOT LIKE '%1'""", plain=True)
+def _a22(t: Tables) -> DataFrame:
+    """Retired predicates and slots without a label stay out."""
+    p = t.raw("part")
+    predicates = p.select(F.col("p_brand").alias("predicate_id"), F.col("p_brand").alias("label"), F.when(F.col("p_brand").endswith("1"), "retired").alias("status")).distinct()
+    slots = p.select(F.col("p_brand").alias("predicate_id"), F.col("p_type").alias("slot"), F.when(F.col("p_size") % 5 == 0, F.lit(" ")).otherwise(F.col("p_type")).alias("label"), F.col("p_size").cast("long").alias("position"))
+    pack = readers.compiled_vocabulary(predicates, slots)
+    none = F.lit(None)
+    rows = pack["predicate_role_edges"].select(F.lit("edge").alias("kind"), F.col("predicate_id").alias("id"), F.col("role_id").alias("role"), "position")
+    roles = pack["role_types"].select(F.lit("role"), "role_id", none.cast("string"), none.cast("long"))
+    return rows.union(roles).union(pack["predicate_types"].select(F.lit("predicate"), "predicate_id", none.cast("string"), none.cast("long")))
+
+
+@query("D23_role_slots", "SELECT predicate, string_agg(slot, ',' ORDER BY position, slot) AS slots FROM (SELECT p_brand AS predicate, p_type AS slot, min(p_size) AS position FROM part GROUP BY 1, 2) GROUP BY 1", plain=True)
+def _d23(t: Tables) -> DataFrame:
+    """Slots of each predicate in order of position."""
+    p = t.raw("part")
+    slots = p.groupBy(F.col("p_brand").alias("predicate"), F.col("p_type").alias("slot")).agg(F.min("p_size").alias("position"))
+    ordered = slots.groupBy("predicate").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", "slot"))), lambda s: s["slot"]), ",").alias("slots"))
+    return p.select(F.col("p_brand").alias("predicate")).distinct().join(ordered, "predicate")
+
+
+@query("E34_fidelity_by_type", """SELECT p_type, count(*) FILTER (p_size % 7 > 0)::BIGINT AS n, round(avg((p_size % 4 = 0)::INTEGER) FILTER (p_size % 7 > 0), 4) AS exact_rate FROM part GROUP BY 1 ORDER BY 1""", plain=True)
+def _e34(t: Tables) -> DataFrame:
+    return _fidelity(t, "p_type").select("p_type", "n", "exact_rate").orderBy("p_type")
+
+
+@query("E35_cluster_lookup", """SELECT p_partkey AS question_id, CASE WHEN c.n IS NULL THEN 'unanswered' WHEN c.n > 1 THEN 'ambiguous' WHEN g.lo = p_type AND g.hi = p_type THEN 'right' ELSE 'wrong' END AS status FROM part LEFT JOIN (SELECT display_label AS p_name, count(DISTINCT identity_id) AS n, min(identity_id) AS c FROM mem GROUP BY 1) c USING (p_name)
+LEFT JOIN (SELECT identity_id AS c, min(entity_type) AS lo, max(entity_type) AS hi FROM mem JOIN ent USING (entity_id) WHERE mem.ord % 2 = 0 GROUP BY 1) g USING (c)""")
+def _e35(t: Tables) -> DataFrame:
+    m = t.memberships()
+    questions = t.raw("part").select(F.col("p_partkey").alias("question_id"), F.col("p_name").alias("mention"), F.col("p_type").alias("gold"))
+    truth = m.where("ord % 2 = 0").join(t.entities().select("entity_id", "entity_type"), "entity_id").select(F.col("identity_id").alias("cluster"), F.col("entity_type").alias("gold_id"))
+    return evaluate.cluster_answers(questions, m.select(F.col("display_label").alias("mention"), F.col("identity_id").alias("cluster")), truth).select("question_id", "status")
+
+
+@query("J3_evidence_bundle", """SELECT s.assertion_id, s.status, s.source_ref, f.fillers, k.confidence_score AS confidence, b.assertion_id AS superseded_by FROM st s LEFT JOIN (SELECT assertion_id, string_agg(role_id || ':' || entity_id, ',' ORDER BY role_id, filler_index) AS fillers FROM fil GROUP BY 1) f USING (assertion_id)
+LEFT JOIN conf k USING (candidate_id) LEFT JOIN sup p ON p.prior_candidate_id = s.candidate_id LEFT JOIN asr b ON b.candidate_id = p.replacement_candidate_id""", recursive=_STATUS)
+def _j3(t: Tables) -> DataFrame:
+    rows = F.sort_array(F.collect_list(F.struct("role_id", "filler_index", "entity_id")))
+    fillers = t.fillers().groupBy("assertion_id").agg(F.array_join(F.transform(rows, lambda r: F.concat_ws(":", r["role_id"], r["entity_id"])), ",").alias("fillers"))
+    replaced = epistemic.superseded_by(t.supersessions(), t.assertions()).select("assertion_id", "superseded_by")
+    out = _status(t).join(fillers, "assertion_id", "left").join(t.confidences(), "candidate_id", "left").join(replaced, "assertion_id", "left")
+    return out.select("assertion_id", "status", "source_ref", "fillers", F.col("confidence_score").alias("confidence"), "superseded_by")
+
+
+@query("J9_review_outcomes", """SELECT candidate_id, decision, CASE WHEN review_status = 'pending_review' AND (decision = 'rejected' OR validation_status <> 'invalid') THEN decision ELSE 'refused' END AS outcome FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'accepted' ELSE 'rejected' END AS decision FROM cand)""")
+def _j9(t: Tables) -> DataFrame:
+    """A decision on every candidate; those reviewed before, and acceptance of invalid
+    ones, are refused."""
+    decision = F.when(F.col("o_orderkey") % 2 == 0, "accepted").otherwise("rejected")
+    c = t.candidates().withColumn("decision", decision)
+    legal = review.review_is_legal(F.col("review_status"), F.col("validation_status"), F.col("decision"))
+    return c.select("candidate_id", "decision", F.when(legal, F.col("decision")).otherwise("refused").alias("outcome"))

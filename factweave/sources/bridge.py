@@ -60,9 +60,9 @@ class Tables:
     def memberships(self) -> DataFrame:
         """Identity of each part: parts that share a name; the first is canonical."""
         parts = self.entities().where("entity_id like 'part%'")
-        order = Window.partitionBy("name").orderBy("ord")
-        kind = F.when(F.row_number().over(order) == 1, "canonical").otherwise("alias")
-        return parts.select(F.concat(F.lit("gident_"), T.short_digest("name")).alias("identity_id"), "entity_id", kind.alias("membership_kind"), F.col("name").alias("display_label"), "ord")
+        first = parts.groupBy("name").agg(F.min("ord").alias("first"))
+        kind = F.when(F.col("ord") == F.col("first"), "canonical").otherwise("alias")
+        return parts.join(first, "name").select(F.concat(F.lit("gident_"), T.short_digest("name")).alias("identity_id"), "entity_id", kind.alias("membership_kind"), F.col("name").alias("display_label"), "ord")
 
     def references(self) -> DataFrame:
         """External references of identities, one for every third member."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -105,3 +105,32 @@ def progressive_report(typed: DataFrame, unresolved: DataFrame) -> DataFrame:
     both = first.select("event_id", "predicate", "pass_provenance", "name", "entity_type", "evidence", "source_text").unionByName(second)
     slug = F.replace(F.replace(F.lower("name"), F.lit(" "), F.lit("_")), F.lit("'"), F.lit(""))
     return both.withColumn("entity_id", F.concat(F.lit("ent:progressive:"), slug)).withColumn("span", payload.locate_span(F.col("source_text"), F.col("evidence"))).drop("source_text", "evidence")
+
+
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``number``, counting all of them from 1 in that order: sorted in
+    range partitions, and each partition's places moved on by the rows before it. What is
+    broadcast is one count for each partition."""
+    from factweave.storage import cut
+
+    placed = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()))
+    part, at = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    # As many rows as there were partitions.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return placed.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn("number", F.col("offset") + at + 1).drop("part", "offset", "place")
+
+
+def compiled_vocabulary(predicates: DataFrame, slots: DataFrame) -> dict[str, DataFrame]:
+    """Pack tables of a predicate canon: ``predicates`` (predicate_id, label, status) and
+    ``slots`` (predicate_id, slot, label, position). Only active predicates go in, a slot
+    without a label is left out, and a role is one by its slug, with the least of its
+    labels."""
+    live = active(predicates).where(F.trim("label") != "")
+    own = slots.where(F.trim("label") != "").join(live.select("predicate_id"), "predicate_id", "left_semi").withColumn("role_id", T.slug(F.col("slot")))
+    return {
+        "predicate_types": live.select("predicate_id", "label").distinct(),
+        "role_types": own.groupBy("role_id").agg(F.min("label").alias("label")),
+        "predicate_role_edges": own.groupBy("predicate_id", "role_id").agg(F.min("position").alias("position")),
+    }
