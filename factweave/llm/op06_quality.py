@@ -206,12 +206,14 @@ def fit(x: np.ndarray, y: np.ndarray, names: tuple[str, ...], seed: int = 3) ->
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Ensemble:
-    """Ensemble fitted on at most ``sample_rows`` labelled documents. Rows without a key
-    or label are left out; a key with several labels counts with the least."""
+    """Ensemble fitted on the documents of at most ``sample_rows`` labels, those of least
+    hashed key. Rows without a key or label are left out; a key with several labels counts
+    with the least, one with several documents with the least of their texts, so repeated
+    rows count once. A null text counts as empty."""
     named = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("y"))
     sample = named.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key").repartition(16)
-    found = with_statistics(rows).select("row.key", "row.y", *STATISTICS).orderBy("key", *STATISTICS).limit(2 * sample_rows).toPandas()
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "key").groupBy("key", "y").agg(F.min("text").alias("text")).repartition(16)
+    found = with_statistics(rows).select("row.key", "row.y", *STATISTICS).orderBy("key").toPandas()
     return fit(found[list(STATISTICS)].to_numpy(float), found["y"].to_numpy(float), STATISTICS)
 
 
