@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factweave.functions import payload
 from factweave.functions import text as T
 from factweave.operators import bridges, extract, flow, graph, repair, rules, semantic, validate
 from factweave.plans.registry import query

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factweave.functions import payload
 from factweave.functions import text as T
 from factweave.operators import chunk, epistemic, evaluate, identity, review, seam
-from factweave.plans.queries import _STATUS, _TENSIONS, _n, _roles, _status
+from factweave.plans.queries import _TENSIONS, _n, _roles, _status
 from factweave.plans.registry import query
 from factweave.sinks import events
 from factweave.sources import readers

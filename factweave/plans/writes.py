@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from factweave.functions import payload
 from factweave.functions import text as T
 from factweave.operators import chunk, epistemic, evaluate, extract, graph, review, search, seam
-from factweave.plans.queries import _CLOSURE, _STATUS, _status
+from factweave.plans.queries import _STATUS, _status
 from factweave.plans.registry import query
 from factweave.sinks import events, export
 from factweave.sources import readers
