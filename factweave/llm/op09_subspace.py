@@ -27,9 +27,10 @@ BLOCKS = 4
 CHUNK = 8_192
 #: Copies of vectors handed on at a time, about.
 DEALT = 20_000
-#: Rows of one side compared at a time.
-TILE = 512
+#: Rows and columns of one product of vectors.
+TILE, SPAN = 512, 1_024
 _MARGIN = 1e-4  # of squared distances in single precision
+_ROUNDING = 1e-12  # of those in double precision
 
 
 def rotation(d: int) -> np.ndarray:
@@ -93,45 +94,56 @@ def _join(raw: np.ndarray, side: np.ndarray, block: int, same: bool, weight: np.
     d = raw.shape[1]
     rotated = _rotated(raw)
     bounds, most = edges_of(d), budgets(d, cosine)
-    parts = [rotated[:, a:b].astype(np.float32) for a, b in zip(bounds, bounds[1:], strict=False)]
     unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
     left = np.arange(len(raw)) if same else np.flatnonzero(side == 0)
     right = left if same else np.flatnonzero(side == 1)
     links, union = np.zeros(len(raw), np.int64), _Union(len(raw))
+
+    def within(p: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        gap = ((rotated[p, bounds[k] : bounds[k + 1]] - rotated[q, bounds[k] : bounds[k + 1]]) ** 2).sum(1)
+        return gap <= most[k] + _ROUNDING
+
+    def confirm(p: np.ndarray, q: np.ndarray) -> None:
+        ok = np.einsum("ij,ij->i", unit[p], unit[q]) >= cosine - 1e-12
+        p, q = p[ok], q[ok]
+        ok = np.einsum("ij,ij->i", raw[p], raw[q]) / (np.linalg.norm(raw[p], axis=1) * np.linalg.norm(raw[q], axis=1)) >= cosine
+        p, q = p[ok], q[ok]
+        # A pair counts in the first block that has it within its budget.
+        ok = within(p, q, block)
+        for earlier in range(block):
+            ok &= ~within(p, q, earlier)
+        p, q = p[ok], q[ok]
+        if not len(p):
+            return
+        np.add.at(links, p, weight[q])
+        np.add.at(links, q, weight[p])
+        order = np.argsort(p, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], p[order][1:] != p[order][:-1]]))
+        for s, e in zip(starts, [*starts[1:], len(p)], strict=True):
+            union.link(int(p[order[s]]), q[order[s:e]])
+
     # Along the first coordinate, only what is within the radius can match.
     first = rotated[:, bounds[block]]
     right = right[np.argsort(first[right], kind="stable")]
     left = left[np.argsort(first[left], kind="stable")]
     reach = np.sqrt(most[block] + _MARGIN)
+    # With squares as further coordinates, one product gives squared distances.
+    part = rotated[:, bounds[block] : bounds[block + 1]].astype(np.float32)
+    squares, ones = (part**2).sum(1)[:, None], np.ones((len(part), 1), np.float32)
+    rows, columns = np.hstack([-2 * part, squares, ones])[left], np.hstack([part, ones, squares])[right]
     for at in range(0, len(left), TILE):
         a = left[at : at + TILE]
         low, high = np.searchsorted(first[right], [first[a[0]] - reach, first[a[-1]] + reach], side="left")
-        b = right[low : high + 1]
-        if not len(b):
-            continue
-        squares = (parts[block][b] ** 2).sum(1)
-        near = (parts[block][a] ** 2).sum(1)[:, None] + squares - 2 * parts[block][a] @ parts[block][b].T <= most[block] + _MARGIN
-        if same:
-            near &= a[:, None] < b[None, :]
-        x, y = np.nonzero(near)
-        for k in range(0, len(x), 200_000):
-            p, q = a[x[k : k + 200_000]], b[y[k : k + 200_000]]
-            ok = np.einsum("ij,ij->i", unit[p], unit[q]) >= cosine - 1e-12
-            p, q = p[ok], q[ok]
-            dots = np.einsum("ij,ij->i", raw[p], raw[q]) / (np.linalg.norm(raw[p], axis=1) * np.linalg.norm(raw[q], axis=1))
-            ok = dots >= cosine
-            for earlier in range(block):
-                gap = ((rotated[p, bounds[earlier] : bounds[earlier + 1]] - rotated[q, bounds[earlier] : bounds[earlier + 1]]) ** 2).sum(1)
-                ok &= gap > most[earlier]
-            p, q = p[ok], q[ok]
-            if not len(p):
-                continue
-            np.add.at(links, p, weight[q])
-            np.add.at(links, q, weight[p])
-            order = np.argsort(p, kind="stable")
-            starts = np.flatnonzero(np.concatenate([[True], p[order][1:] != p[order][:-1]]))
-            for s, e in zip(starts, [*starts[1:], len(p)], strict=True):
-                union.link(int(p[order[s]]), q[order[s:e]])
+        high = min(high + 1, len(right))
+        # Within one chunk a pair is met from the row that comes first in order.
+        for start in range(at if same else low, high, SPAN):
+            b = right[start : min(start + SPAN, high)]
+            near = rows[at : at + TILE] @ columns[start : start + len(b)].T <= most[block] + _MARGIN
+            if same and start < at + TILE:
+                near &= np.arange(at, at + len(a))[:, None] < np.arange(start, start + len(b))
+            x, y = np.divmod(np.flatnonzero(near), len(b))
+            for k in range(0, len(x), 200_000):
+                confirm(a[x[k : k + 200_000]], b[y[k : k + 200_000]])
     return links, np.asarray([union.find(i) for i in range(len(raw))])
 
 

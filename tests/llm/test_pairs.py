@@ -153,3 +153,16 @@ def test_subspace_keys_repeat(spark):
     duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
     duck.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in rows])
     assert found == sorted(duck.execute(oracles.OP9).fetchall(), key=str)
+
+
+def test_subspace_counts_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(op09_subspace, "CHUNK", 150)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=64)
+    vectors = (centre + rng.normal(size=(420, 64)) * 0.33).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: r["n_links"] for r in op09_subspace.linked(frame).collect()}
+    wide = vectors.astype(float)
+    unit = wide / np.linalg.norm(wide, axis=1)[:, None]
+    wanted = (unit @ unit.T >= 0.9).sum(1) - 1
+    assert 1_000 < wanted.sum() < 170_000 and [found[i] for i in range(420)] == wanted.tolist()
