@@ -120,3 +120,16 @@ def chunks(docs: DataFrame, key: str, text: str, target: int = TARGET, least: in
 
     out = rows.mapInPandas(work, f"key {rows.schema['key'].dataType.simpleString()}, chunk_id string, char_start long, char_end long, heading_path array<string>, content string")
     return out.withColumnRenamed("key", key)
+
+
+def overlap_chunks(docs: DataFrame, key: str, text: str, target: int = 3_000, overlap: int = 200) -> DataFrame:
+    """(key, place, content) of the overlapping chunks of each text; a null text has none."""
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+
+    def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            made = [(k, i, c) for k, t in zip(part["key"], part["text"], strict=True) for i, c in enumerate(overlapping(t, target, overlap))]
+            yield pd.DataFrame(made, columns=["key", "place", "content"])
+
+    out = rows.mapInPandas(work, f"key {rows.schema['key'].dataType.simpleString()}, place int, content string")
+    return out.withColumnRenamed("key", key)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factweave.functions import text as T
+
 # Forms of a declared alias, long name first or short name first.
 LONG_FIRST = r"\b([A-Z][^\(\)\n]{4,80}?)\s+\(([A-Z][A-Z0-9\-]{1,15})\)"
 SHORT_FIRST = r"\b([A-Z][A-Z0-9\-]{1,15})\s+\(([A-Z][^\(\)\n]{4,80}?)\)"
@@ -90,3 +92,12 @@ def gloss(roles: Column, sense: Column) -> Column:
     agent, theme = F.try_element_at(roles, F.lit("Agent")), F.try_element_at(roles, F.lit("Theme"))
     names = F.transform(F.slice(F.array_sort(F.map_keys(roles)), 1, 2), lambda k: roles[k])
     return F.when(agent.isNotNull() & theme.isNotNull(), F.concat(agent, F.lit(" ["), sense, F.lit("] "), theme)).otherwise(F.concat(F.lit("["), sense, F.lit("] "), F.array_join(names, ", ")))
+
+
+def coreferences(mentions: DataFrame) -> DataFrame:
+    """Mentions (doc_id, place, name) with ``target``: a certain anaphor stands for the
+    last name before it in its document that is none, other mentions for themselves; null
+    where nothing stands before."""
+    marked = mentions.withColumn("own", F.when(~T.anaphor(F.col("name"))["is_certain"], F.col("name")))
+    before = F.last("own", ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("place"))
+    return marked.withColumn("target", F.coalesce("own", before)).drop("own")

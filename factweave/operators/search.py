@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factweave.functions.text import fold
@@ -69,3 +69,29 @@ def predicate_relevance(predicates: DataFrame, source_text: str, limit: int) ->
     have = F.split(text, r"[^a-z0-9]+")
     score = F.size(F.filter(F.array_intersect(words, have), lambda w: w != "")) + F.when(text.contains(F.lower("label")), 5).otherwise(0)
     return predicates.withColumn("score", score).orderBy(F.desc("score"), "predicate_id").limit(limit)
+
+
+def request_errors(ids: Column, filters: Column, limit: Column) -> Column:
+    """What is wrong with a request: exactly one of ``ids`` (array of texts) is given, one
+    filter at least, and the limit is 1 to 200."""
+    given = lambda a: F.size(F.filter(a, lambda x: F.coalesce(F.trim(x), F.lit("")) != ""))
+    checks = [F.when(given(ids) != 1, "one_id"), F.when(given(filters) < 1, "one_filter"), F.when(~F.coalesce(limit.between(1, 200), F.lit(False)), "limit")]
+    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+
+
+def relevance(texts: DataFrame, predicates: DataFrame, limit: int) -> DataFrame:
+    """(text_id, predicate_id, score) of the ``limit`` most relevant predicates of each
+    text (text_id, text), as ``predicate_relevance`` scores them; predicates (predicate_id,
+    label) that share no word take no part. Ties go to the lesser id.
+
+    Texts and labels meet on words, so each pair is counted once a shared word; a label
+    that stands in a text as a whole shares its words with it."""
+    words = lambda c: F.filter(F.array_distinct(F.split(F.lower(c), r"[^a-z0-9]+")), lambda w: w != "")
+    left = texts.select("text_id", F.explode(words("text")).alias("word"))
+    right = predicates.select("predicate_id", F.explode(words("label")).alias("word"))
+    shared = left.join(right, "word").groupBy("text_id", "predicate_id").agg(F.count("*").alias("n"))
+    whole = shared.join(texts, "text_id").join(predicates, "predicate_id")
+    score = F.col("n") + F.when(F.contains(F.lower("text"), F.lower("label")), 5).otherwise(0)
+    place = F.row_number().over(Window.partitionBy("text_id").orderBy(F.desc("score"), "predicate_id"))
+    scored = whole.select("text_id", "predicate_id", score.alias("score"))
+    return scored.withColumn("place", place).where(F.col("place") <= limit).drop("place")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Codes of findings and their default severity.
@@ -186,3 +186,8 @@ def profile_rules(pack_rules: DataFrame, own_rules: DataFrame, pack_predicates:
     # One row with the size of the list decides for all predicates.
     either = pack_predicates.select("predicate").distinct().withColumn("one", F.lit(1)).join(some.withColumn("one", F.lit(1)), "one").where("n = 0").select("predicate")
     return rules, listed.union(either)
+
+
+def ordered(found: DataFrame) -> DataFrame:
+    """Findings with ``place``, counting those of a payload in order of code and path."""
+    return found.withColumn("place", F.row_number().over(Window.partitionBy("payload_id").orderBy("code", "path")))

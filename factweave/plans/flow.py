@@ -335,6 +335,16 @@ def _j27(t: Tables) -> DataFrame:
     return repair.judged(k.withColumn("guarded", F.col("k") % 4 == 2), judgments, ["k"]).select("k", "label")
 
 
+@query("J20_extract_and_submit", """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'pending_review' ELSE 'accepted' END AS review_status FROM orders WHERE o_orderkey % 6 <> 5 AND (o_orderkey % 5 = 0 OR o_orderkey % 6 <> 3) AND o_orderkey % 7 > 0""", plain=True)
+def _j20(t: Tables) -> DataFrame:
+    """Recorded responses to candidates; what the judge does not support goes, the rest is
+    accepted, but where the source is reviewed by hand."""
+    found = repair.candidates(_responses(t), "k", "response").withColumn("guarded", F.col("k") % 7 == 0)
+    judgments = found.select("k", "position", F.when((F.col("predicate") == "r") & (F.col("k") % 5 > 0), "unsupported").otherwise("supported").alias("label"))
+    kept = repair.judged(found, judgments, ["k", "position"]).where("label = 'supported'")
+    return kept.select("k", F.when(F.col("k") % 5 == 0, "pending_review").otherwise("accepted").alias("review_status"))
+
+
 # Profiles ------------------------------------------------------------------------------
 
 

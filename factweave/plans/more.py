@@ -121,14 +121,6 @@ def _f7(t: Tables) -> DataFrame:
     return j.select("entity_id", F.coalesce(F.when(F.col("membership_kind") == "canonical", F.col("display_label")), "name", "display_label", "entity_id").alias("label"))
 
 
-@query("F10_predicate_relevance")
-def _f10(t: Tables) -> DataFrame:
-    from factweave.operators import search
-
-    p = t.raw("part").select(F.col("p_name").alias("label")).distinct().withColumn("predicate_id", F.md5("label"))
-    return search.predicate_relevance(p, "A small ring and a red bolt", 10).select("label", "score")
-
-
 @query("H6_alias_tokens", "SELECT DISTINCT p_name AS name, array_to_string(list_filter(string_split(lower(p_name), ' '), lambda w: w NOT IN ('a', 'an', 'and', 'at', 'for', 'from', 'in', 'of', 'on', 'the', 'to', 'with')), ' ') AS tokens FROM part", plain=True)
 def _h6(t: Tables) -> DataFrame:
     return t.raw("part").select(F.col("p_name").alias("name")).distinct().select("name", F.array_join(T.alias_tokens(F.col("name")), " ").alias("tokens"))

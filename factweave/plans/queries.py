@@ -108,11 +108,18 @@ def _d15(t: Tables) -> DataFrame:
     return o.join(F.broadcast(aliases), "key", "left").select("order_key", "canonical")
 
 
-@query("D16_lemma_probe")
+@query("D16_lemma_probe", """WITH w AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS verb FROM documents), lex AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS lemma FROM benchmark),
+c AS (SELECT verb, unnest(range(7)) AS pos, unnest([verb, CASE WHEN verb LIKE '%ing' AND length(verb) > 4 THEN left(verb, -3) END, CASE WHEN verb LIKE '%ing' AND length(verb) > 4 THEN left(verb, -3) || 'e' END, CASE WHEN verb LIKE '%ed' AND length(verb) > 3 THEN left(verb, -2) END,
+  CASE WHEN verb LIKE '%ed' AND length(verb) > 3 THEN left(verb, -2) || 'e' END, CASE WHEN verb LIKE '%es' AND length(verb) > 3 THEN left(verb, -2) END, CASE WHEN verb LIKE '%s' AND length(verb) > 2 THEN left(verb, -1) END]) AS lemma FROM w WHERE verb <> '')
+SELECT verb, arg_min(lemma, pos) AS lemma FROM c JOIN lex USING (lemma) WHERE lemma <> '' GROUP BY 1""", plain=True)
 def _d16(t: Tables) -> DataFrame:
-    words = t.raw("documents").where("lang = 'en'").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("verb")).where("verb <> ''").distinct()
-    forms = words.select("verb", F.posexplode(T.lemma_candidates(F.col("verb"))).alias("pos", "lemma"))
-    hit = forms.join(words.where("length(verb) <= 4").withColumnRenamed("verb", "lemma"), "lemma")
+    """Words of all documents by their lemmas in a lexicon, the words of the benchmark."""
+
+    def words(name: str) -> DataFrame:
+        return t.raw(name).select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("verb")).where("verb <> ''").distinct()
+
+    forms = words("documents").select("verb", F.posexplode(T.lemma_candidates(F.col("verb"))).alias("pos", "lemma"))
+    hit = forms.join(words("benchmark").withColumnRenamed("verb", "lemma"), "lemma")
     return hit.groupBy("verb").agg(F.min_by("lemma", "pos").alias("lemma"))
 
 

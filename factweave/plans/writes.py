@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factweave.functions import payload
 from factweave.functions import text as T
-from factweave.operators import chunk, epistemic, evaluate, extract, graph, review, search, seam
-from factweave.plans.queries import _STATUS, _status
+from factweave.operators import chunk, epistemic, evaluate, extract, graph, review, search, seam, validate
+from factweave.plans.queries import _CLOSURE, _STATUS, _status
 from factweave.plans.registry import query
 from factweave.sinks import events, export
 from factweave.sources import readers
@@ -464,3 +464,148 @@ def _j9(t: Tables) -> DataFrame:
     c = t.candidates().withColumn("decision", decision)
     legal = review.review_is_legal(F.col("review_status"), F.col("validation_status"), F.col("decision"))
     return c.select("candidate_id", "decision", F.when(legal, F.col("decision")).otherwise("refused").alias("outcome"))
+
+
+# Stores, fixtures and requests ---------------------------------------------------------
+
+
+@query("A1_store_scan", "SELECT candidate_id, predicate FROM cand WHERE review_status = 'accepted'")
+def _a1(t: Tables) -> DataFrame:
+    """Two appends to a table partitioned by status, and a scan of one partition."""
+    path = _folder(t, "store")
+    c = t.candidates().select("candidate_id", "predicate", "review_status", "o_orderkey")
+    for part in (c.where("o_orderkey % 2 = 0"), c.where("o_orderkey % 2 = 1")):
+        events.append(part.drop("o_orderkey"), path, ["review_status"])
+    return t.spark.read.parquet(path).where("review_status = 'accepted'").select("candidate_id", "predicate")
+
+
+@query("B20_schema_versions", "SELECT n_nationkey, n_name, CASE WHEN n_nationkey >= 10 THEN n_regionkey END AS n_regionkey FROM nation", plain=True)
+def _b20(t: Tables) -> DataFrame:
+    """Rows of before and after a column was added."""
+    path, n = _folder(t, "versions"), t.raw("nation")
+    events.append(n.where("n_nationkey < 10").select("n_nationkey", "n_name"), path)
+    events.append(n.where("n_nationkey >= 10"), path)
+    return readers.merged(t.spark, path).select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("A18_fixtures", "SELECT (row_number() OVER (ORDER BY n_nationkey) - 1)::INTEGER AS place, n_nationkey AS id, n_name AS label FROM nation", plain=True)
+def _a18(t: Tables) -> DataFrame:
+    path = _folder(t, "fixtures")
+    cases = F.sort_array(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("label"))))
+    t.raw("nation").agg(F.to_json(F.struct(cases.alias("cases"))).alias("value")).coalesce(1).write.text(path)
+    return readers.fixtures(t.spark, f"{path}/*.txt", "cases", "id: int, label: string")
+
+
+@query("A19_hierarchy_scan", "SELECT child, ancestor, depth::BIGINT AS depth FROM clo", recursive=_CLOSURE)
+def _a19(t: Tables) -> DataFrame:
+    return graph.closure(t.type_edges()).select("child", "ancestor", F.col("depth").cast(N).alias("depth"))
+
+
+@query("A20_predicate_canon", "SELECT p_brand AS predicate_id, p_type AS slot, min(p_size)::BIGINT AS position FROM part GROUP BY 1, 2", plain=True)
+def _a20(t: Tables) -> DataFrame:
+    path, p = _folder(t, "canon"), t.raw("part")
+    export.json_lines(p.select(F.col("p_brand").alias("predicate_id")).distinct(), f"{path}/predicates")
+    export.json_lines(p.groupBy(F.col("p_brand").alias("predicate_id"), F.col("p_type").alias("slot")).agg(F.min("p_size").cast("long").alias("position")), f"{path}/role_slots")
+    predicates = readers.json_lines(t.spark, f"{path}/predicates", "predicate_id string")
+    return predicates.join(readers.json_lines(t.spark, f"{path}/role_slots", "predicate_id string, slot string, position long"), "predicate_id")
+
+
+@query("A25_search_roots", "SELECT r_regionkey FROM region", plain=True)
+def _a25(t: Tables) -> DataFrame:
+    """The pack is in the second of two roots."""
+    roots = [_folder(t, "root"), _folder(t, "root")]
+    t.raw("region").select("r_regionkey").write.json(f"{roots[1]}/pack/1.0/manifest.yaml")
+    return readers.json_lines(t.spark, readers.first_root(t.spark, roots, "pack", "1.0") + "/manifest.yaml", "r_regionkey int")
+
+
+@query("A26_snapshot_signatures", "SELECT assertion_id, predicate, string_agg(DISTINCT role_id || ':entity:' || entity_id, '|' ORDER BY role_id || ':entity:' || entity_id) AS signature FROM fil GROUP BY 1, 2")
+def _a26(t: Tables) -> DataFrame:
+    none = F.lit(None).cast("string")
+    filler = F.struct(F.lit("entity").alias("kind"), F.col("entity_id"), none.alias("name"), none.alias("normalized"), none.alias("value"), none.alias("raw"))
+    return t.fillers().groupBy("assertion_id", "predicate").agg(F.array_join(F.array_sort(F.collect_set(payload.role_signature(F.col("role_id"), filler))), "|").alias("signature"))
+
+
+@query("B18_chunk_manifest", "SELECT doc_id, length(text)::BIGINT AS last FROM documents WHERE trim(text) <> ''", plain=True)
+def _b18(t: Tables) -> DataFrame:
+    docs = t.raw("documents").select("doc_id", F.rpad(F.regexp_replace("text", r"\n[ \t]*\n+", "\n"), F.length("text"), "x").alias("text"))
+    manifest = export.chunk_files(chunk.chunks(docs, "doc_id", "text"), "doc_id", _folder(t, "chunks"))
+    return manifest.groupBy("doc_id").agg(F.max("char_end").cast(N).alias("last"))
+
+
+@query("B22_json_rows", """SELECT '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"note":null}' AS value FROM nation""", plain=True)
+def _b22(t: Tables) -> DataFrame:
+    return export.json_rows(t.raw("nation").select("n_nationkey", "n_name", F.lit(None).cast("string").alias("note")))
+
+
+@query("C37_request_errors", "SELECT p_partkey AS k, concat_ws(',', CASE WHEN p_partkey % 3 <> 1 THEN 'one_id' END, CASE WHEN p_size % 2 = 0 THEN 'one_filter' END, CASE WHEN p_partkey > 200 OR p_partkey < 1 THEN 'limit' END) AS errors FROM part", plain=True)
+def _c37(t: Tables) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    ids = F.array(F.when(k > 0, "a"), F.when(k == 2, "b").otherwise(" "))
+    errors = search.request_errors(ids, F.array(F.when(F.col("p_size") % 2 == 1, F.col("p_name"))), F.col("p_partkey"))
+    return t.raw("part").select(F.col("p_partkey").alias("k"), F.array_join(errors, ",").alias("errors"))
+
+
+@query("F10_predicate_relevance", """WITH texts AS (SELECT p_partkey AS text_id, p_name || ' AND ' || p_type AS text FROM part), labels AS (SELECT DISTINCT p_name AS predicate_id, p_name AS label FROM part),
+w AS (SELECT DISTINCT text_id, unnest(string_split(lower(text), ' ')) AS word FROM texts), l AS (SELECT DISTINCT predicate_id, unnest(string_split(label, ' ')) AS word FROM labels),
+s AS (SELECT text_id, predicate_id, count(*) + CASE WHEN contains(lower(any_value(text)), any_value(predicate_id)) THEN 5 ELSE 0 END AS score FROM w JOIN l USING (word) JOIN texts USING (text_id) GROUP BY 1, 2)
+SELECT text_id, predicate_id, score::BIGINT AS score FROM s QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY score DESC, predicate_id) <= 3""", plain=True)
+def _f10(t: Tables) -> DataFrame:
+    p = t.raw("part")
+    texts = p.select(F.col("p_partkey").alias("text_id"), F.concat("p_name", F.lit(" AND "), "p_type").alias("text"))
+    labels = p.select(F.col("p_name").alias("predicate_id"), F.col("p_name").alias("label")).distinct()
+    return search.relevance(texts, labels, 3).select("text_id", "predicate_id", F.col("score").cast(N).alias("score"))
+
+
+@query("F14_finding_order", "SELECT l_orderkey AS payload_id, l_returnflag AS code, l_linestatus || l_linenumber || '.' || l_partkey AS path, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_linestatus || l_linenumber || '.' || l_partkey)::BIGINT AS place FROM lineitem", plain=True)
+def _f14(t: Tables) -> DataFrame:
+    found = t.raw("lineitem").select(F.col("l_orderkey").alias("payload_id"), F.col("l_returnflag").alias("code"), F.concat("l_linestatus", "l_linenumber", F.lit("."), "l_partkey").alias("path"))
+    return validate.ordered(found).withColumn("place", F.col("place").cast(N))
+
+
+@query("H19_overlap_chunks", "SELECT p_partkey AS k, CASE WHEN p_size % 6 + 1 <= 2 THEN 1 ELSE (p_size % 6 + 2) // 2 END::BIGINT AS chunks FROM part", plain=True)
+def _h19(t: Tables) -> DataFrame:
+    """Up to six paragraphs of 1,000 characters: two of them fill a chunk."""
+    text = F.array_join(F.array_repeat(F.repeat(F.lit("x"), F.lit(1_000)), F.col("p_size") % 6 + 1), "\n\n")
+    rows = chunk.overlap_chunks(t.raw("part").select(F.col("p_partkey").alias("k"), text.alias("text")), "k", "text")
+    return rows.groupBy("k").agg(F.count("*").cast(N).alias("chunks"))
+
+
+@query("J13_identity_list", """SELECT identity_id, max(entity_id) FILTER (membership_kind = 'canonical') AS canonical, count(*) FILTER (membership_kind = 'alias')::BIGINT AS aliases, coalesce(max(r.n), 0)::BIGINT AS attached FROM mem LEFT JOIN (SELECT identity_id, count(*) AS n FROM ref WHERE reference_status = 'attached' GROUP BY 1) r USING (identity_id) GROUP BY 1""")
+def _j13(t: Tables) -> DataFrame:
+    """Identities with their canonical member, number of aliases and attached references."""
+    canonical = F.max(F.when(F.col("membership_kind") == "canonical", F.col("entity_id")))
+    own = t.memberships().groupBy("identity_id").agg(canonical.alias("canonical"), F.count_if(F.col("membership_kind") == "alias").cast(N).alias("aliases"))
+    refs = t.references().where("reference_status = 'attached'").groupBy("identity_id").agg(F.count("*").alias("n"))
+    return own.join(refs, "identity_id", "left").select("identity_id", "canonical", "aliases", F.coalesce("n", F.lit(0)).cast(N).alias("attached"))
+
+
+@query("J10_overlay_applications", """SELECT p_partkey AS proposal_id, CASE WHEN p_size > 40 THEN 'unchanged' WHEN p_size > 30 THEN 'conflict' ELSE 'inserted' END AS outcome FROM part""", plain=True)
+def _j10(t: Tables) -> DataFrame:
+    """Applications recorded before with the same overlay, with another one, and new ones."""
+    p = t.raw("part")
+    rows = p.select(F.col("p_partkey").alias("proposal_id"), F.col("p_brand").alias("overlay"))
+    old = p.where("p_size > 30").select(F.col("p_partkey").alias("proposal_id"), F.when(F.col("p_size") > 40, F.col("p_brand")).otherwise("other").alias("overlay"))
+    return events.keyed_insert(rows, old, ["proposal_id"], ["overlay"]).select("proposal_id", "outcome")
+
+
+@query("J19_coreferences", """SELECT doc_id, place, CASE WHEN odd THEN name ELSE last_value(CASE WHEN odd THEN name END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY place ROWS UNBOUNDED PRECEDING) END AS target FROM (
+ SELECT l_orderkey AS doc_id, k AS place, k % 2 = 1 AS odd, CASE WHEN k % 2 = 1 THEN 'Part ' || l_partkey END AS name FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) + l_orderkey % 2 AS k FROM lineitem))""", plain=True)
+def _j19(t: Tables) -> DataFrame:
+    """Every other mention of an order is a pronoun; some come first."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
+    k = (F.row_number().over(order) + F.col("l_orderkey") % 2).cast("long")
+    name = F.when(F.col("place") % 2 == 1, F.concat(F.lit("Part "), "l_partkey")).otherwise("They")
+    rows = t.raw("lineitem").withColumn("place", k).select(F.col("l_orderkey").alias("doc_id"), "place", name.alias("name"))
+    return extract.coreferences(rows).select("doc_id", "place", "target")
+
+
+@query("K3_proposal_sink", "SELECT p_name AS value, min(p_partkey) AS first_key FROM part GROUP BY 1", plain=True)
+def _k3(t: Tables) -> DataFrame:
+    """Two runs into one sink; the second adds what the first did not have."""
+    path = _folder(t, "sink")
+    p = t.raw("part").select(F.col("p_name").alias("value"), F.col("p_partkey").alias("first_key"))
+    half = p.where("first_key <= 100")
+    events.append(events.new_rows(half, p.limit(0), ["value"], ["first_key"]), path)
+    known = t.spark.read.schema(p.schema).parquet(path)
+    events.append(events.new_rows(p, known, ["value"], ["first_key"]), path)
+    return t.spark.read.schema(p.schema).parquet(path)

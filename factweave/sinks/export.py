@@ -32,3 +32,17 @@ def assertion_json(assertions: DataFrame, fillers: DataFrame) -> DataFrame:
     nested = roles.groupBy("assertion_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("role_id", "e")))).alias("roles"))
     both = assertions.join(nested, "assertion_id", "left")
     return both.select("assertion_id", F.to_json(F.struct("assertion_id", "predicate", "roles", F.array(F.col("candidate_id")).alias("provenance_refs"))).alias("json"))
+
+
+def json_rows(rows: DataFrame) -> DataFrame:
+    """(value): each row as one JSON text with keys in alphabetical order, nulls kept."""
+    return rows.select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def chunk_files(chunks: DataFrame, key: str, path: str) -> DataFrame:
+    """Write chunks (key, chunk_id, char_start, char_end, content, ..) and their manifest
+    below ``path``, which must not be there yet; the manifest as it stands on disk."""
+    chunks.write.mode("errorifexists").json(f"{path}/chunks")
+    manifest = chunks.select(key, "chunk_id", "char_start", "char_end", F.sha2("content", 256).alias("sha256"))
+    manifest.write.mode("errorifexists").json(f"{path}/manifest")
+    return chunks.sparkSession.read.schema(manifest.schema).json(f"{path}/manifest")

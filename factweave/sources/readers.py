@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -134,3 +135,29 @@ def compiled_vocabulary(predicates: DataFrame, slots: DataFrame) -> dict[str, Da
         "role_types": own.groupBy("role_id").agg(F.min("label").alias("label")),
         "predicate_role_edges": own.groupBy("predicate_id", "role_id").agg(F.min("position").alias("position")),
     }
+
+
+def merged(spark: SparkSession, path: str) -> DataFrame:
+    """A table whose files were written under several versions of its schema; what an
+    older file lacks is null."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def fixtures(spark: SparkSession, path: str, field: str, schema: StructType | str) -> DataFrame:
+    """Entries of the list ``field`` of JSON fixture files, one row each, in their order
+    (``place``)."""
+    kind = schema if isinstance(schema, str) else schema.simpleString()
+    whole = whole_documents(spark, path)
+    listed = F.from_json("text", f"`{field}` array<struct<{kind}>>", {"mode": "FAILFAST"})[field]
+    return whole.select(F.posexplode(listed).alias("place", "entry")).select("place", "entry.*")
+
+
+def first_root(spark: SparkSession, roots: Sequence[str], pack: str, version: str, manifest: str = "manifest.yaml") -> str:
+    """Folder of a pack in the first of ``roots`` that holds its manifest."""
+    context = spark.sparkContext
+    for root in roots:
+        folder = f"{root.rstrip('/')}/{pack}/{version}"
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{manifest}")
+        if path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path):
+            return folder
+    raise FileNotFoundError(f"{pack}@{version} in none of {list(roots)}")
