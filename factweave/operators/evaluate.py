@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,12 +74,12 @@ def failure_bucket(error: Column, reasoning: Column) -> Column:
     return out.otherwise(F.when(first != "", "other_failure"))
 
 
-def micro(cases: DataFrame, empty: float = 0.0) -> DataFrame:
-    """One row of sums of (matched, expected, observed) over cases with precision, recall
-    and F1, rounded to four places."""
-    sums = cases.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("matched", "expected", "observed")])
+def micro(cases: DataFrame, empty: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
+    """Sums of (matched, expected, observed) over cases, or over those of each group, with
+    precision, recall and F1, rounded to four places."""
+    sums = cases.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("matched", "expected", "observed")])
     p, r, f = precision_recall(F.col("matched"), F.col("expected"), F.col("observed"), empty)
-    return sums.select("matched", "expected", "observed", F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(f, 4).alias("f1"))
+    return sums.select(*by, "matched", "expected", "observed", F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(f, 4).alias("f1"))
 
 
 def fidelity(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factweave.functions import text as T
-from factweave.operators import bridges, extract, flow, graph, repair, rules, semantic, validate
+from factweave.operators import bridges, evaluate, extract, flow, graph, repair, repository, rules, seam, semantic, validate
 from factweave.plans.registry import query
 from factweave.sources import readers
 from factweave.sources.bridge import Tables
@@ -345,6 +345,39 @@ def _j20(t: Tables) -> DataFrame:
     return kept.select("k", F.when(F.col("k") % 5 == 0, "pending_review").otherwise("accepted").alias("review_status"))
 
 
+@query("J21_recorded_experiment", """SELECT variant, matched, expected, observed, CASE WHEN observed = 0 THEN 0.0 ELSE round(matched / observed, 4) END AS precision, round(matched / expected, 4) AS recall, CASE WHEN matched = 0 THEN 0.0 ELSE 1.0 END AS f1 FROM (
+ SELECT o_orderkey % 6 AS variant, sum((o_orderkey % 6 < 2)::INTEGER)::BIGINT AS matched, count(*)::BIGINT AS expected, sum((o_orderkey % 6 < 5)::INTEGER)::BIGINT AS observed FROM orders GROUP BY 1)""", plain=True)
+def _j21(t: Tables) -> DataFrame:
+    """Recorded responses of six prompt variants against one expected candidate a case."""
+    o = t.raw("orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 6).alias("variant"))
+    expected = o.select("k", "variant", F.lit("p").alias("predicate"), F.concat(F.lit("n"), "k").alias("name"))
+    found = repair.candidates(_responses(t), "k", "response")
+    observed = found.select("k", "predicate", F.col("roles")["a"][0]["name"].alias("name")).join(o, "k")
+    cases = evaluate.multiset_match(expected, observed.na.fill("", ["name"]), ["k", "variant", "predicate", "name"])
+    return evaluate.micro(cases.select("variant", F.col("n_matched").alias("matched"), F.col("n_expected").alias("expected"), F.col("n_observed").alias("observed")), by=["variant"])
+
+
+@query("K5_replayed_calls", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'seen ' || event_type END AS response FROM events""", plain=True)
+def _k5(t: Tables) -> DataFrame:
+    """Prompts changed line by line, answered from what is recorded for the changed ones."""
+    e = t.raw("events").select("event_id", "event_type", F.lit("p").alias("ref"), F.concat(F.lit("Note: x\nAsk "), "event_id", F.lit("\n\nRules:\nold rule "), "event_type").alias("content"))
+    changed = e.withColumn("ask", repository.mutated(F.col("content"), ["Note:"], ["Rules:"], {"old rule": "new rule"}))
+    wanted = e.where("event_id % 3 = 0").withColumn("ask", F.concat(F.lit("Ask "), "event_id", F.lit("\nRules:\nnew rule")))
+    known = wanted.select(seam.request_key("ref", "ask").alias("request_key"), F.concat(F.lit("seen "), "event_type").alias("response"), F.lit(1).alias("recorded_at"))
+    return seam.recorded(changed.withColumn("request_key", seam.request_key("ref", "ask")), known).select("event_id", "response")
+
+
+@query("A23_repository_units", """SELECT p_partkey AS k, place, heading, facts FROM part, LATERAL (SELECT 0 AS place, 'overview' AS heading, '' AS facts WHERE p_size % 2 = 0 UNION ALL SELECT 1, p_name, '- Table row: a=' || p_partkey || ', b=' || p_type || '.' UNION ALL SELECT 2, 'End', '')""", plain=True)
+def _a23(t: Tables) -> DataFrame:
+    """Sections of Markdown and the rows of their tables; some have nothing before the
+    first heading."""
+    intro = F.when(F.col("p_size") % 2 == 0, F.lit("Intro | no table\n")).otherwise(F.lit("\n"))
+    table = F.concat(F.lit("| a | b |\n|---|---|\n| "), "p_partkey", F.lit(" | "), "p_type", F.lit(" |\n| - |  |\n| one |\ntext\n"))
+    text = F.concat(intro, F.lit("## "), "p_name", F.lit("\n"), table, F.lit("## End\nof it"))
+    units = repository.markdown_sections(t.raw("part").select(F.col("p_partkey").alias("k"), text.alias("text")), "k", "text")
+    return units.select("k", "place", "heading", F.array_join(repository.table_facts(F.col("body")), "|").alias("facts"))
+
+
 # Profiles ------------------------------------------------------------------------------
 
 
@@ -394,7 +427,7 @@ def _a15(t: Tables) -> DataFrame:
 @query("D30_call_surfaces", """SELECT u AS call_key, field, l IS NOT DISTINCT FROM r AS equal FROM (SELECT user_id AS u, arg_max(event_type, (ts, event_id)) FILTER (value > 50) AS t1, arg_max(props, (ts, event_id)) FILTER (value > 50) AS p1, arg_max(event_type, (ts, event_id)) FILTER (value <= 50) AS t2, arg_max(props, (ts, event_id)) FILTER (value <= 50) AS p2,
  count(*) FILTER (value > 50) AS a, count(*) FILTER (value <= 50) AS b FROM events GROUP BY 1), LATERAL (SELECT 'event_type' AS field, t1 AS l, t2 AS r UNION ALL SELECT 'props', p1, p2) WHERE a > 0 AND b > 0""", plain=True)
 def _d30(t: Tables) -> DataFrame:
-    from factweave.operators import evaluate, review
+    from factweave.operators import review
 
     e = t.raw("events").select(F.col("user_id").alias("call_key"), "ts", "event_id", "event_type", "props", "value")
     live = review.latest(e.where("value > 50").drop("value"), "call_key", "ts", "event_id")

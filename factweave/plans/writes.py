@@ -34,6 +34,14 @@ def _a2(t: Tables) -> DataFrame:
     return readers.json_lines(t.spark, path, "n_nationkey int, n_name string")
 
 
+@query("A3_objects", "SELECT r_regionkey::VARCHAR AS id, r_name AS name FROM region", plain=True)
+def _a3(t: Tables) -> DataFrame:
+    path = _folder(t, "objects")
+    t.raw("region").select("r_regionkey", F.to_json(F.struct(F.col("r_name").alias("name"), F.col("r_regionkey").alias("id"))).alias("value")).repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    found = readers.yaml_objects(t.spark, f"{path}/*/*.txt")
+    return found.select(F.get_json_object("json", "$.id").alias("id"), F.get_json_object("json", "$.name").alias("name"))
+
+
 @query("A4_text_files", "SELECT item_id, text FROM benchmark", plain=True)
 def _a4(t: Tables) -> DataFrame:
     path = _folder(t, "texts")
@@ -293,6 +301,15 @@ def _h18(t: Tables) -> DataFrame:
     return both.select("doc_id", (F.col("covered") + F.col("whole") - F.col("n")).cast(N).alias("covered"), ((F.col("covered") == F.col("n")) & (F.col("first") == 0) & (F.col("last") == F.col("n"))).alias("gapless"))
 
 
+@query("H11_token_sort_ratios", "SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 100.0 WHEN p_partkey % 3 = 1 THEN round(200.0 * length(p_name) / (2 * length(p_name) + 1), 4) ELSE 0.0 END AS score FROM part", plain=True)
+def _h11(t: Tables) -> DataFrame:
+    """Words in another order, one more character, and nothing in common."""
+    k = F.col("p_partkey") % 3
+    turned = F.array_join(F.reverse(F.split("p_name", " ")), "  ")
+    other = F.when(k == 0, turned).when(k == 1, F.concat("p_name", F.lit("z"))).otherwise("0123")
+    return t.raw("part").select(F.col("p_partkey").alias("k"), F.round(T.token_sort_ratio(F.col("p_name"), other), 4).alias("score"))
+
+
 # Joins, aggregates and reports ---------------------------------------------------------
 
 

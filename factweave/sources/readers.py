@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -161,3 +162,23 @@ def first_root(spark: SparkSession, roots: Sequence[str], pack: str, version: st
         if path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path):
             return folder
     raise FileNotFoundError(f"{pack}@{version} in none of {list(roots)}")
+
+
+def yaml_objects(spark: SparkSession, path: str) -> DataFrame:
+    """(source_ref, json): the object of each YAML file below ``path`` as JSON text with
+    sorted keys, parsed on the executors; JSON files are YAML too. A file that holds no
+    object is an error. Without a YAML parser, JSON alone is read."""
+
+    def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            from yaml import safe_load as load
+        except ImportError:
+            load = json.loads
+        for part in parts:
+            found = [load(text) for text in part["text"]]
+            for ref, value in zip(part["source_ref"], found, strict=True):
+                if not isinstance(value, dict):
+                    raise ValueError(f"{ref} is not an object")
+            yield pd.DataFrame({"source_ref": part["source_ref"], "json": [json.dumps(v, sort_keys=True, default=str) for v in found]})
+
+    return whole_documents(spark, path).mapInPandas(work, "source_ref string, json string")
