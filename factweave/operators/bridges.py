@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from factweave.functions import text as T
 from factweave.operators.graph import components
+from factweave.storage import cut
 
 
 def _edges(rows: DataFrame, u: str, v: str) -> DataFrame:
@@ -37,7 +38,9 @@ def person_edges(mentions: DataFrame) -> DataFrame:
     """
     names = mentions.where("family = 'person'").select("root", T.person_name(F.col("name")).alias("p")).where("p.surname is not null")
     one = names.groupBy("root").agg(F.min("p.surname").alias("surname"), F.count_distinct("p.surname").alias("n")).where("n = 1").select("root", "surname")
+    # Both tables are read by all rules below: written once, their names are taken apart once.
     own = names.join(one, "root").select("root", "surname", F.col("p.given").alias("given"), F.col("p.initial").alias("initial"), F.col("p.titled").alias("titled"), F.col("p.surname_only").alias("alone"))
+    own = cut(own)
     group = own.groupBy("surname", "root").agg(
         F.max(F.col("given").isNotNull()).alias("full"),
         F.max(F.col("titled") & F.col("given").isNotNull()).alias("titled_full"),
@@ -46,7 +49,7 @@ def person_edges(mentions: DataFrame) -> DataFrame:
         F.max(F.col("initial").isNotNull()).alias("any_initial"),
     )
     by_surname = group.groupBy("surname").agg(F.count_if("titled_full").alias("n_titled"), F.count_if("full").alias("n_full"))
-    known = group.join(by_surname, "surname")
+    known = cut(group.join(by_surname, "surname"))
     pool = known.where("titled_full or (n_titled = 0 and n_full = 1 and full)")
     anchors = pool.select("surname", F.col("root").alias("anchor"), "titled_initial")
     spelled = own.join(pool.select("surname", "root", "titled_initial"), ["surname", "root"])

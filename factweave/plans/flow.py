@@ -345,7 +345,7 @@ def _j20(t: Tables) -> DataFrame:
     return kept.select("k", F.when(F.col("k") % 5 == 0, "pending_review").otherwise("accepted").alias("review_status"))
 
 
-@query("J21_recorded_experiment", """SELECT variant, matched, expected, observed, CASE WHEN observed = 0 THEN 0.0 ELSE round(matched / observed, 4) END AS precision, round(matched / expected, 4) AS recall, CASE WHEN matched = 0 THEN 0.0 ELSE 1.0 END AS f1 FROM (
+@query("J21_recorded_experiment", """SELECT variant, matched, expected, observed, CASE WHEN observed = 0 THEN 0.0::DOUBLE ELSE round(matched / observed, 4) END AS precision, round(matched / expected, 4) AS recall, CASE WHEN matched = 0 THEN 0.0::DOUBLE ELSE round(2 * (matched / observed) * (matched / expected) / (matched / observed + matched / expected), 4) END AS f1 FROM (
  SELECT o_orderkey % 6 AS variant, sum((o_orderkey % 6 < 2)::INTEGER)::BIGINT AS matched, count(*)::BIGINT AS expected, sum((o_orderkey % 6 < 5)::INTEGER)::BIGINT AS observed FROM orders GROUP BY 1)""", plain=True)
 def _j21(t: Tables) -> DataFrame:
     """Recorded responses of six prompt variants against one expected candidate a case."""
