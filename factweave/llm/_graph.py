@@ -27,7 +27,9 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _canonical(edges: DataFrame) -> DataFrame:
-    return edges.where("u > v").select("u", "v").union(edges.where("u < v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    """Each edge once, the greater end first. ``edges`` is read a single time: which
+    spanning links a task gives, and which way round, may differ between two readings."""
+    return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
 def _in_one_task(edges: DataFrame) -> DataFrame:
