@@ -19,6 +19,7 @@ MODULES = {
     "op08_fmindex": "op8_fmindex",
     "op09_subspace": "op9_subspace",
     "op10_sharding": "op10_sharding",
+    "op12_whitening": "op12_whitening",
 }
 
 
