@@ -20,6 +20,7 @@ MODULES = {
     "op09_subspace": "op9_subspace",
     "op10_sharding": "op10_sharding",
     "op12_whitening": "op12_whitening",
+    "op13_chat": "op13_chat",
 }
 
 
