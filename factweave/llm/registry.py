@@ -19,6 +19,7 @@ MODULES = {
     "op08_fmindex": "op8_fmindex",
     "op09_subspace": "op9_subspace",
     "op10_sharding": "op10_sharding",
+    "op11_spelling": "op11_spelling",
     "op12_whitening": "op12_whitening",
     "op13_chat": "op13_chat",
 }
@@ -29,6 +30,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    from factweave.llm import op10_sharding, oracles
+    from factweave.llm import op10_sharding, op11_spelling, oracles
 
-    return {"op3_setsketch": oracles.OP3, "op8_fmindex": oracles.OP8, "op9_subspace": oracles.OP9, "op10_sharding": op10_sharding.op10_sql()}
+    return {"op3_setsketch": oracles.OP3, "op8_fmindex": oracles.OP8, "op9_subspace": oracles.OP9, "op10_sharding": op10_sharding.op10_sql(), "op11_spelling": op11_spelling.OP11}
