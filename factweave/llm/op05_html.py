@@ -37,17 +37,24 @@ STOP_WORDS = frozenset(
 # Thresholds of the block rules (characters and shares).
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.30, 0.32, 0.2
 # Elements.
-_RAW = frozenset("script style noscript template textarea title iframe svg math canvas object audio video xmp noembed noframes".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml canvas object audio video xmp noembed noframes".split())
 _OUT = frozenset("head nav footer aside form button select option label fieldset menu dialog datalist".split())
 _IN = frozenset("article main".split())
 #: What may stand in a head; any other element, or text, ends a head that is left open.
 _HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+# Formulas are part of the text they stand in.
+_MATH = frozenset("math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+_INLINE = _MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 _NESTING = frozenset("div section article main nav header footer aside form ul ol dl table tbody thead tr td th fieldset figure body html head details dialog menu button select blockquote label".split())
 # Words of class, id and role that mark what is not the article.
 _WORDS_OUT = frozenset("ad ads adv nav navbar menu social share sharing related promo tags login signup search skip legal copyright complementary navigation contentinfo dialog alert alertdialog hidden toc".split())
-_STEMS_OUT = ("advert", "comment", "sidebar", "cookie", "consent", "newsletter", "subscri", "sponsor", "breadcrumb", "footer", "banner", "popup", "modal", "notice", "notif", "widget", "disqus", "replies", "toolbar", "masthead", "paginat", "outbrain", "taboola", "gdpr", "dropdown", "recommend")
+#: Words that mark it alone, in the plural, or put together with one that names a container.
+_MARKS_OUT = re.compile(
+    r"(?:advert(?:s|ise|isement|isements|ising)?|adsense|comments?|commenters?|sidebars?|cookies?|consent|newsletters?|subscri(?:be|bed|ber|bers|ption|ptions)|sponsor(?:s|ed|ship)?|breadcrumbs?|footers?|banners?|popups?|modals?"
+    r"|notices?|notif(?:y|ication|ications)|widgets?|disqus|replies|toolbars?|masthead|paginat(?:e|ion|or)|outbrain|taboola|gdpr|dropdowns?|recommend(?:ed|ation|ations)|promos?|menus?|navbars?)"
+    r"(?:area|bar|block|body|box|container|content|count|dialog|feed|form|group|holder|inner|item|items|link|links|list|lists|outer|overlay|panel|region|root|row|section|slot|text|thread|tree|unit|widget|wrap|wrapper|zone)?"
+)
 _HEADER_OUT = frozenset("header topbar".split())
 _ARTICLE_WORDS = frozenset("article post entry content story body main".split())
 
@@ -86,7 +93,7 @@ def _excluded(name: str, attributes: str, article: int) -> bool:
                 return True
             continue
         parts = [p.lower() for p in _PART.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value))]
-        if any(p in _WORDS_OUT or p.startswith(_STEMS_OUT) for p in parts):
+        if any(p in _WORDS_OUT or _MARKS_OUT.fullmatch(p) for p in parts):
             return True
         if not article and any(p in _HEADER_OUT for p in parts) and not any(p in _ARTICLE_WORDS for p in parts):
             return True
@@ -198,7 +205,7 @@ def blocks(page: str) -> list[Block]:
         if name == "a":
             in_link = 0 if closing else 1
         if name in _RAW and not closing:
-            if name in ("svg", "math") and attributes.rstrip().endswith("/"):
+            if name in ("svg", "annotation", "annotation-xml") and attributes.rstrip().endswith("/"):
                 continue
             found = None if name in unclosed else _CLOSERS[name].search(page, at)
             if found is None:
@@ -246,9 +253,8 @@ def _first_pass(block: Block) -> str:
     n = len(block.text)
     density = block.linked / n
     if block.article:
-        if density > 0.5:
-            return "bad" if n > SHORT or density > 0.9 else ""
-        return "good" if n >= SHORT or not block.linked else ""
+        # Lists of linked references are part of an article; what is no part of it is marked as such.
+        return "good" if n >= SHORT or density <= 0.5 else ""
     if density > LINKS and (n < LONG or density > 0.5):
         return "bad"
     if n < SHORT:
@@ -296,7 +302,7 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of each page. A null or empty page gives an empty
-    text; broken, unclosed or cut-off markup is read as far as it goes. Every row is on
+    text; a page of any length is read whole by one task, in some ten times its bytes; broken, unclosed or cut-off markup is read as far as it goes. Every row is on
     its own, whatever its key; further columns are not read."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"))
 

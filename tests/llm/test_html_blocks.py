@@ -130,3 +130,29 @@ def test_pages_repeat(spark):
     found = sorted((tuple(r) for r in op.extract(pages).collect()), key=str)
     assert found == [(1, "u", "", 0), (1, "u", "", 0), (None, None, "Hi", 2)]
     assert op.extract(pages.limit(0)).collect() == []
+
+
+def _page(inside, around=""):
+    return f"<html><head><title>t</title></head><body>{around}<article>{inside}</article></body></html>"
+
+
+LONG = "There is a great deal to be said for reading the whole of it before one says what it is about, and so it is with this."
+
+
+def test_words_that_begin_like_marks_are_no_marks():
+    for word in ("commentary", "modality", "noticed", "bannerman", "sponsorable", "cookiecutter", "adventure"):
+        assert op.main_text(_page(f'<div class="{word}"><p>{LONG}</p></div>')) == LONG, word
+    for word in ("comments", "comment-list", "commentList", "commentlist", "modal", "cookie-notice", "newsletter-signup", "sponsored"):
+        assert op.main_text(_page(f'<p>{LONG}</p><div class="{word}"><p>{LONG} And more.</p></div>')) == LONG, word
+
+
+def test_formulas_and_linked_references_stay():
+    assert op.main_text(_page("<p>We have <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></math> and so it is.</p>")) == "We have x=2 and so it is."
+    listed = "".join(f'<li><a href="#{i}">Reference number {i}: a title that is long enough to be a block of its own in a list, with its year 19{i}0</a></li>' for i in range(5))
+    found = op.main_text(_page(f"<p>{LONG}</p><ol>{listed}</ol>"))
+    assert all(f"Reference number {i}:" in found for i in range(5))
+
+
+def test_no_page_with_an_article_is_empty(spark):
+    rows = op.extract(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).where("n_chars = 0")
+    assert rows.count() == 0
