@@ -5,7 +5,7 @@ or more are within 2 - 2c in squared distance, so in one block at least they are
 that block's share of it. Each block is a range join over strips of its first
 coordinate, as wide as the block's radius: what is in reach lies in the same strip or
 the next. Strips are cut into chunks, and pairs of chunks are the units of work, so no
-task holds more than two chunks. A pair is counted in the first block that finds it,
+task holds more than two chunks, which are bounded in components. A pair is counted in the first block that finds it,
 after its cosine has been computed in double precision; a unit returns counts and
 spanning links of its vectors, never pairs.
 """
@@ -23,8 +23,8 @@ from factweave.llm._graph import components
 from factweave.llm._store import forget, written
 
 BLOCKS = 4
-#: Vectors of one chunk, about.
-CHUNK = 8_192
+#: Vectors of one chunk, about, and their components at most.
+CHUNK, CHUNK_COMPONENTS = 8_192, 1 << 21
 #: Copies of vectors handed on at a time, about.
 DEALT = 20_000
 #: Rows and columns of one product of vectors.
@@ -69,7 +69,21 @@ def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for d in np.unique(sizes):
         rows = np.flatnonzero(sizes == d)
         data = b"".join(column.take(pa.array(rows)).to_pylist())
-        yield rows, np.frombuffer(data, "<f8" if len(data) == 8 * d * len(rows) else "<f4").reshape(len(rows), d).astype(np.float64)
+        yield rows, _scaled(np.frombuffer(data, "<f8" if len(data) == 8 * d * len(rows) else "<f4").reshape(len(rows), d).astype(np.float64))
+
+
+def _scaled(raw: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two that brings the largest magnitude of each near 1: exact,
+    and no square of it leaves the range of doubles. Components 2**-500 times as large as the
+    largest count as 0."""
+    _, exponent = np.frexp(np.abs(raw).max(1, initial=0))
+    half = -exponent // 2
+    return np.ldexp(np.ldexp(raw, half[:, None]), (-exponent - half)[:, None])
+
+
+def _most_rows(d: int) -> int:
+    """Vectors of one chunk."""
+    return min(CHUNK, max(64, CHUNK_COMPONENTS // max(d, 1)))
 
 
 class _Union:
@@ -152,7 +166,7 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
 
     Links join vectors of the same number of dimensions with a cosine of at least
     ``cosine``, in double precision. Null, empty and zero vectors and those with a null
-    or non-finite component link with nothing; a row with a null key has no links, a
+    or non-finite component link with nothing, those of any magnitude else do; a row with a null key has no links, a
     null component and kept false. Every row is a vector of its own, also where keys
     repeat: rows of one key link with each other if their vectors do, each has its own
     count and component, and a component's id is the least key among its rows. Equal
@@ -163,8 +177,9 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
         raise ValueError("cosine must be above 0 and 1 at most")
     narrow = vectors.schema[vector].dataType.simpleString() == "array<float>"
     rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v"))
-    total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    good = F.col("key").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()) & (total > 0) & (total < float("inf")) & ~F.isnan(total)
+    # NaN is above infinity in Spark's order.
+    largest = F.array_max(F.transform("v", F.abs))
+    good = F.col("key").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()) & (largest > 0) & (largest < float("inf"))
     hashed = rows.withColumn("h1", F.when(good, F.xxhash64("v"))).withColumn("h2", F.when(F.col("h1").isNotNull(), F.xxhash64(F.lit(9), "v")))
     grouped = hashed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("key").alias("key"), F.count("*").alias("m"), F.first("v").alias("v"))
     classes = written(grouped.withColumn("id", F.monotonically_increasing_id()))
@@ -187,7 +202,7 @@ def linked(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", c
     packed = written(classes.mapInArrow(pack, f"id long, m long, d int, v binary, strips array<long>"))
     # A few strips for each block and number of dimensions, however many vectors.
     tally = packed.select("d", F.posexplode("strips").alias("block", "strip")).groupBy("d", "block", "strip").count()
-    chunks = {(r["d"], r["block"], r["strip"]): -(-r["count"] // CHUNK) for r in tally.collect()}
+    chunks = {(r["d"], r["block"], r["strip"]): -(-r["count"] // _most_rows(r["d"])) for r in tally.collect()}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
