@@ -17,14 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factweave.llm import _words
-from factweave.llm._store import bounded_batches
+from factweave.llm._store import bounded_batches, written
 
 DIMENSIONS = 1024
 ORDER = 3
 #: Prototypes are learned from about this many texts of each language at most.
 SAMPLE_ROWS = 3_000
-#: Languages that are learned at most, those of most rows.
-MOST_LANGUAGES = 512
+#: Prototypes that one pass over the texts compares them with; more take further passes.
+BLOCK = 4_096
+#: Languages whose partial prototypes one task holds at a time.
+HELD = 1_024
+#: Frequent languages up to which their shares are broadcast.
+BROADCAST_LANGUAGES = 100_000
 #: Steepness of the score: share of exp(SCALE x cosine) among the languages.
 SCALE = 40.0
 
@@ -104,62 +108,109 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
-    """Prototype of each language of ``docs``.
+def _sums(batches: Iterator[tuple[list[str], np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Sums of vectors for each name, of HELD names at a time."""
+    held: dict[str, np.ndarray] = {}
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["lang", "vector"])
+
+    for names, vectors in batches:
+        order = np.argsort(np.asarray(names, object), kind="stable")
+        named = [names[i] for i in order]
+        starts = [i for i, n in enumerate(named) if not i or n != named[i - 1]]
+        for a, b in zip(starts, [*starts[1:], len(named)], strict=True):
+            if named[a] not in held and len(held) >= HELD:
+                yield flush()
+                held.clear()
+            held[named[a]] = held.get(named[a], 0) + vectors[order[a:b]].sum(0, dtype=np.float64)
+    if held:
+        yield flush()
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(lang, vector) with the prototype of each language of ``docs``, a row each.
 
     Rows with a null text or language are left out, and a text that repeats within a
     language counts once. Of a language with more than ``sample_rows`` rows, those whose
-    hashed text is small are taken, about that many at most. The MOST_LANGUAGES languages
-    of most rows are learned (ties: that which sorts first), so a column full of stray
-    values costs no more; what comes to the driver is one vector for each language and
-    task of the sample.
+    hashed text is small are taken, about that many at most. Every language is learned,
+    however many there are: tasks sum their texts' vectors by language, HELD languages at
+    a time, and the sums meet by language.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    frequent = written(labelled.groupBy("lang").count().where(F.col("count") > sample_rows))
+    if frequent.count() <= BROADCAST_LANGUAGES:
+        frequent = F.broadcast(frequent)
     share = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
-    sample = labelled.join(F.broadcast(counts), "lang").where(share * F.col("count") < sample_rows).select("lang", "text").distinct().repartition(16)
+    sample = labelled.join(frequent, "lang", "left").where(F.col("count").isNull() | (share * F.col("count") < sample_rows)).select("lang", "text").distinct()
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for chunk in _words.chunks(batch, "text"):
-                vectors = _unit(encode(chunk.column("text"))[0])
-                names = np.asarray(chunk.column("lang").to_pylist(), object)
-                for name in set(names.tolist()):
-                    sums[name] = sums.get(name, 0) + vectors[names == name].sum(0, dtype=np.float64)
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "vector"])
+        chunks = (chunk for batch in batches for chunk in _words.chunks(batch, "text"))
+        return _sums((chunk.column("lang").to_pylist(), _unit(encode(chunk.column("text"))[0])) for chunk in chunks)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sums((b.column("lang").to_pylist(), np.frombuffer(b"".join(b.column("vector").to_pylist()), np.float64).reshape(-1, DIMENSIONS)) for b in batches if b.num_rows)
+
+    # A task has a language's rows side by side, so it holds few at a time and ends each once.
+    partial = bounded_batches(sample).mapInArrow(bundle, "lang string, vector binary")
+    met = partial.repartition("lang").sortWithinPartitions("lang").mapInArrow(total, "lang string, vector binary")
+    return written(met)
+
 
+def prototypes(learned: DataFrame, after: str | None = None) -> dict[str, np.ndarray]:
+    """The next BLOCK prototypes in order of language."""
+    rows = learned if after is None else learned.where(F.col("lang") > after)
     out: dict[str, np.ndarray] = {}
-    for row in bounded_batches(sample).mapInArrow(bundle, "lang string, vector array<double>").collect():  # at most 16 rows a language
-        out[row["lang"]] = out.get(row["lang"], 0) + np.asarray(row["vector"])
-    return {k: out[k] for k in sorted(out)}
-
-
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``. A null text and one without a letter
-    is ``und`` with score 0; with no prototypes every text is. Ties go to the language
-    that sorts first. Columns of these two names are replaced."""
-    names = [*prototypes]
-    matrix = _unit(np.stack([prototypes[n] for n in names])).astype(np.float32) if names else np.zeros((0, DIMENSIONS), np.float32)
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).cast("string").alias("text"))
+    for row in rows.orderBy("lang").limit(BLOCK).toLocalIterator():
+        out[row["lang"]] = np.frombuffer(row["vector"], np.float64)
+    return out
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in _words.chunks(batch, "text"):
-                vectors, has = encode(chunk.column("text"))
-                found, score = np.full(len(has), "und", object), np.zeros(len(has))
-                if names and len(has):
-                    cosine = _unit(vectors) @ matrix.T
-                    best = cosine.argmax(1)
-                    share = np.exp(SCALE * (cosine - cosine.max(1, keepdims=True)))
-                    found[has] = np.asarray(names, object)[best[has]]
-                    score[has] = (1 / share.sum(1))[has]
-                yield pa.RecordBatch.from_arrays([chunk.column("row"), pa.array(found.tolist(), pa.string()), pa.array(np.clip(score, 0, 1))], ["row", "lang_pred", "score"])
 
-    out = bounded_batches(rows).mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
-    return out.select("row.*", "lang_pred", "score")
+def predict(docs: DataFrame, learned: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``cosine``: the language of the nearest
+    prototype, its share of exp(SCALE x cosine) among all, and its cosine.
+
+    A null text and one without a letter is ``und`` with score and cosine 0; with no
+    prototypes every text is. Ties go to the language that sorts first. Columns of these
+    names are replaced. Texts are compared with BLOCK prototypes at a time (16 MB, which
+    each task holds); each further block reads the texts again. A text takes some 60 times
+    its bytes while it is encoded, whole.
+    """
+    made = ("lang_pred", "score", "cosine")
+    rest = [c for c in docs.columns if c not in made]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).cast("string").alias("text"))
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, text string, lang_pred string, best double, rest double"
+    # Nearest so far, its cosine, and the sum of exp(SCALE x (cosine - best)) so far.
+    now = rows.select("row", "text", F.lit(None).cast("string").alias("lang_pred"), F.lit(-2.0).alias("best"), F.lit(0.0).alias("rest"))
+
+    def against(names: list[str], matrix: np.ndarray):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for chunk in _words.chunks(batch, "text"):
+                    vectors, has = encode(chunk.column("text"))
+                    cosine = _unit(vectors) @ matrix.T
+                    near = cosine.argmax(1)
+                    here = cosine[np.arange(len(near)), near].astype(np.float64)
+                    sums = np.exp(SCALE * (cosine - here[:, None])).sum(1)
+                    old, before = chunk.column("best").to_numpy(), chunk.column("rest").to_numpy()
+                    best = np.maximum(old, here)
+                    found = np.where(here > old, np.asarray(names, object)[near], np.asarray(chunk.column("lang_pred").to_pylist(), object))
+                    total = before * np.exp(SCALE * (old - best)) + sums * np.exp(SCALE * (here - best))
+                    found[~has] = None
+                    yield pa.RecordBatch.from_arrays([chunk.column("row"), chunk.column("text"), pa.array(found.tolist(), pa.string()), pa.array(best), pa.array(total)], ["row", "text", "lang_pred", "best", "rest"])
+
+        return work
+
+    block = prototypes(learned)
+    while block:
+        names = list(block)
+        now = bounded_batches(now).mapInArrow(against(names, _unit(np.stack([block[n] for n in names])).astype(np.float32)), kind)
+        block = prototypes(learned, names[-1]) if len(names) == BLOCK else {}
+        if block:
+            now = written(now)
+    known = F.col("lang_pred").isNotNull()
+    score = F.when(known, F.least(F.lit(1.0), 1 / F.col("rest"))).otherwise(0.0)
+    return now.select("row.*", F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), score.alias("score"), F.when(known, F.col("best")).otherwise(0.0).alias("cosine"))
 
 
 def held_out(key: str, folds: int, fold: int) -> Column:
@@ -170,6 +221,6 @@ def held_out(key: str, folds: int, fold: int) -> Column:
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a fifth of them is held out of learning."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    prototypes = learn(docs.where(~held_out("doc_id", 5, 0)))
-    found = predict(docs.select("doc_id", "text"), prototypes)
+    learned = learn(docs.where(~held_out("doc_id", 5, 0)))
+    found = predict(docs.select("doc_id", "text"), learned)
     return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")

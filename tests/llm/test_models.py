@@ -52,10 +52,11 @@ def test_language_prediction_is_the_nearest_prototype(spark):
     for text, lang in {(t, lang) for _, t, lang in rows}:
         v = _vector(text)
         plain[lang] = plain.get(lang, 0) + v / np.linalg.norm(v)
-    assert sorted(prototypes) == sorted(plain) and all(np.allclose(prototypes[k], plain[k], rtol=1e-4, atol=1e-3) for k in plain)
+    learned, prototypes = prototypes, op04_language.prototypes(prototypes)
+    assert list(prototypes) == sorted(plain) and all(np.allclose(prototypes[k], plain[k], rtol=1e-4, atol=1e-3) for k in plain)
     test = [(i, " ".join(random.choices([w for v in words.values() for w in v.split()], k=6)), "own") for i in range(40)] + [(None, "lor " * 50_000, "own"), (3, None, "own"), (3, None, "own")]
-    found = op04_language.predict(spark.createDataFrame(test, "doc_id long, text string, score string"), prototypes).collect()
-    assert len(found) == len(test) and found[0].__fields__ == ["doc_id", "text", "lang_pred", "score"]
+    found = op04_language.predict(spark.createDataFrame(test, "doc_id long, text string, score string"), learned).collect()
+    assert len(found) == len(test) and found[0].__fields__ == ["doc_id", "text", "lang_pred", "score", "cosine"]
     for r in found:
         if r["text"] is None:
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
@@ -64,7 +65,23 @@ def test_language_prediction_is_the_nearest_prototype(spark):
         cosines = {k: v @ p / np.linalg.norm(v) / np.linalg.norm(p) for k, p in plain.items()}
         assert cosines[r["lang_pred"]] >= max(cosines.values()) - 1e-5
         share = math.exp(op04_language.SCALE * max(cosines.values())) / sum(math.exp(op04_language.SCALE * c) for c in cosines.values())
-        assert abs(r["score"] - share) < 1e-2
+        assert abs(r["score"] - share) < 1e-2 and abs(r["cosine"] - max(cosines.values())) < 1e-4
+
+
+def test_six_hundred_languages_in_blocks(spark, monkeypatch):
+    """None is left out, and blocks of prototypes and flushed sums change nothing."""
+    random.seed(8)
+    words = {f"l{i:03d}": ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6)] for i in range(600)}
+    docs = spark.createDataFrame([(i * 10 + k, " ".join(random.choices(w, k=8)), lang) for i, (lang, w) in enumerate(words.items()) for k in range(2)], "doc_id long, text string, lang string")
+    learned = op04_language.learn(docs)
+    whole = {r["doc_id"]: tuple(r)[3:] for r in op04_language.predict(docs, learned).collect()}
+    assert learned.count() == 600 and {r["lang_pred"] for r in op04_language.predict(docs, learned).select("lang_pred").distinct().collect()} == set(words)
+    monkeypatch.setattr(op04_language, "BLOCK", 70)
+    monkeypatch.setattr(op04_language, "BROADCAST_LANGUAGES", -1)
+    again = op04_language.learn(docs)
+    for r in op04_language.predict(docs, again).collect():
+        lang, score, cosine = whole[r["doc_id"]]
+        assert r["lang_pred"] == lang == r["lang"] and abs(r["score"] - score) < 1e-3 and abs(r["cosine"] - cosine) < 1e-5
 
 
 def test_quality_rules_equal_a_plain_reading(spark):
