@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from factweave.functions import lcs
+
 # Leading title abbreviations and what they stand for.
 TITLE_ABBREVIATIONS = {
     "gen.": "general", "lt. gen.": "lieutenant general", "maj. gen.": "major general", "brig. gen.": "brigadier general",
@@ -307,24 +310,17 @@ def canonical_json(text: Column) -> Column:
 
 
 @F.pandas_udf(DoubleType())
-def _token_sort(a: pd.Series, b: pd.Series) -> pd.Series:
-    def ratio(x: str | None, y: str | None) -> float:
-        x, y = (" ".join(sorted((t or "").split())) for t in (x, y))
-        if not x and not y:
-            return 100.0
-        row = [0] * (len(y) + 1)
-        for c in x:
-            diagonal = 0
-            for j, d in enumerate(y, 1):
-                above = row[j]
-                row[j] = diagonal + 1 if c == d else max(above, row[j - 1])
-                diagonal = above
-        return 200.0 * row[-1] / (len(x) + len(y))
-
-    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(lcs.ratios(pa.array(a, pa.string()), pa.array(b, pa.string())))
+
+
+def sorted_words(name: Column) -> Column:
+    """The words of a name in order, joined by a space; null counts as empty."""
+    words = F.filter(F.split(F.coalesce(name, F.lit("")), r"\s+"), lambda w: w != "")
+    return F.array_join(F.array_sort(words), " ")
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:
     """Likeness (0 to 100) of two names with their words sorted: twice the longest common
     subsequence over the summed lengths."""
-    return _token_sort(a, b)
+    return _likeness(sorted_words(a), sorted_words(b))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factweave.functions import text as T
 from factweave.operators.graph import components
+from factweave.operators.similarity import similar_names as similar_names
 
 
 def group_exact(entities: DataFrame) -> DataFrame:
@@ -16,22 +17,6 @@ def group_exact(entities: DataFrame) -> DataFrame:
     return keyed.groupBy("name_key").agg(F.count("*").alias("members"), F.min_by("entity_id", F.struct("ord", "entity_id")).alias("canonical"))
 
 
-def similar_names(names: DataFrame, threshold: float = 85.0) -> DataFrame:
-    """(a, b, score) of names of one family whose token-sort ratio reaches the threshold.
-
-    ``names`` has distinct (name, family). A ratio of t needs min / max of the lengths to
-    reach t / (200 - t), and a common subsequence that long, hence a shared character
-    pair is no safe key; blocks are family and length bands, which lose nothing.
-    """
-    low = threshold / (200.0 - threshold)
-    sized = names.withColumn("n", F.length("name"))
-    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.lit(-1.0) / F.log(F.lit(low))).cast("int")
-    left = sized.withColumn("band", band).select(F.col("name").alias("a"), F.col("n").alias("n_a"), "family", "band")
-    right = sized.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).select(F.col("name").alias("b"), F.col("n").alias("n_b"), "family", "band")
-    pairs = left.join(right, ["family", "band"]).where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= low * F.greatest("n_a", "n_b")))
-    return pairs.withColumn("score", T.token_sort_ratio(F.col("a"), F.col("b"))).where(F.col("score") >= threshold).select("family", "a", "b", "score")
-
-
 def clusters(names: DataFrame, pairs: DataFrame) -> DataFrame:
     """Every name with the least name of its cluster."""
     found = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))

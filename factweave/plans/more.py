@@ -139,12 +139,6 @@ def _h17(t: Tables) -> DataFrame:
     return t.fillers().groupBy("assertion_id", "role_id").agg(F.array_join(F.transform(rows, lambda r: r["entity_id"]), "|").alias("signature"))
 
 
-@query("I9_fuzzy_strategy")
-def _i9(t: Tables) -> DataFrame:
-    names = t.entities().where("entity_id like 'part%'").select(T.normalize_name(F.col("name")).alias("name"), T.type_family(F.col("entity_type")).alias("family")).distinct()
-    return identity.clusters(names.select("name").distinct(), identity.similar_names(names, 70.0))
-
-
 # Reports -------------------------------------------------------------------------------
 
 

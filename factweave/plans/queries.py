@@ -123,12 +123,6 @@ def _d16(t: Tables) -> DataFrame:
     return hit.groupBy("verb").agg(F.min_by("lemma", "pos").alias("lemma"))
 
 
-@query("D17_similar_names")
-def _d17(t: Tables) -> DataFrame:
-    names = t.entities().where("entity_id like 'part%'").select("name", T.type_family(F.col("entity_type")).alias("family")).distinct()
-    return identity.similar_names(names, 60.0).select("family", "a", "b", F.round("score", 4).alias("score"))
-
-
 @query("D18_signature_overlap", """SELECT DISTINCT least(a.name, b.name) AS a, greatest(a.name, b.name) AS b FROM (SELECT DISTINCT p_name AS name, unnest(string_split(p_name, ' ')) AS s FROM part) a
 JOIN (SELECT DISTINCT p_name AS name, unnest(string_split(p_name, ' ')) AS s FROM part) b ON a.s = b.s AND a.name < b.name""", plain=True)
 def _d18(t: Tables) -> DataFrame:
