@@ -4,8 +4,8 @@ One edit changes at most two bigrams of a word, so of the three bigrams of a wor
 rarest over the whole vocabulary one at least stands unchanged among the three rarest of
 any word one edit away, at the same position or, in a longer word, at the next one. And as
 the one edit lies on one side of that bigram, what is on its other side is the same in
-both. Words are joined on this: the bigram, its position, the length, and the part of the
-word up to or from it. What meets is then verified. All of it is DataFrame operations.
+both; if that is little, one half of the rest is the same too. Words are joined on this: the
+bigram, its position, the length, and what they share. What meets is then verified. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ DAMAGED = 97
 TIMES = 2
 #: Bigrams of a word that are joined: an edit changes two of them at most.
 RAREST = 3
+#: Known parts of words below this many code points are joined with half of the rest.
+SPLIT_BELOW = 5
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -60,24 +62,44 @@ def _prefixes(words: DataFrame) -> DataFrame:
     return rarest.select("word", "n", F.length("word").alias("size"), F.explode("rarest").alias("g")).select("word", "n", "size", "g.gram", "g.at")
 
 
-def _near(a: Column, b: Column) -> Column:
-    return F.levenshtein(a, b, 1) == 1
+def _keys(size: Column, at: Column, longer: bool) -> Column:
+    """What a word of ``size`` whose bigram stands at ``at`` shares with its near words: keys
+    of an edit behind the bigram and of one before it. A part of fewer than SPLIT_BELOW
+    code points is shared by too many words, so one half of the rest joins it: the edit
+    is in the other. ``longer`` says that the word is the longer one of the two."""
+    word = F.col("word")
+
+    def side(mark: str, known: Column, rest: Column, n: Column) -> Column:
+        # Halves of the shorter word's rest, which has one code point fewer.
+        half = F.floor((n - int(longer)) / 2).cast("int")
+        first, last = rest.substr(F.lit(1), half), rest.substr(half + 1 + int(longer), n)
+        named = lambda part, of: F.concat(F.lit(mark + part), known, F.lit("|"), of)
+        halves = F.array(named("1+" if longer else "1", first), named("2+" if longer else "2", last))
+        return F.when(F.length(known) < SPLIT_BELOW, halves).otherwise(F.array(F.concat(F.lit(mark), known)))
+
+    behind = side("<", word.substr(F.lit(1), at + 1), word.substr(at + 2, size), size - at - 1)
+    before = side(">", word.substr(at, size), word.substr(F.lit(1), at - 1), at - 1)
+    return F.concat(behind, before)
 
 
 def near(words: DataFrame) -> DataFrame:
     """(a, n_a, b, n_b) once for each two words of ``words`` (word, n) that differ by one
     inserted, deleted or replaced code point; a is the shorter or the lesser one."""
-    tokens = _prefixes(words)
-    head = F.concat(F.lit("<"), F.col("word").substr(F.lit(1), F.col("at") + 1))
-    tail = F.concat(F.lit(">"), F.col("word").substr(F.col("at"), F.col("size")))
-    held = written(tokens.withColumn("side", F.explode(F.array(head, tail))))
-    # An edit behind the bigram leaves it in place; one before it moves it if it lengthens the word.
-    before = F.col("side").startswith(">")
-    probes = F.array(F.struct(F.col("size").alias("to"), F.col("at").alias("place")), F.struct((F.col("size") + 1).alias("to"), (F.col("at") + before.cast("int")).alias("place")))
-    left = held.select(F.col("word").alias("a"), F.col("n").alias("n_a"), "size", "side", F.explode(probes).alias("p")).select("a", "n_a", "size", "side", "p.*")
-    right = held.select(F.col("word").alias("b"), F.col("n").alias("n_b"), "side", F.col("size").alias("to"), F.col("at").alias("place"))
-    ordered = (F.col("to") > F.col("size")) | (F.col("a") < F.col("b"))
-    pairs = left.join(right, ["side", "to", "place"]).where(ordered & _near(F.col("a"), F.col("b")))
+    tokens = written(_prefixes(words))
+    size, at = F.col("size"), F.col("at")
+    # As one of two words of a size, as the shorter and as the longer one; an edit before the
+    # bigram moves it on in the longer word. Keys differ by the longer word's size and place.
+    own = F.transform(_keys(size, at, False), lambda k: F.struct(k.alias("k"), size.alias("to"), at.alias("place")))
+    shorter = F.transform(_keys(size, at, False), lambda k: F.struct(F.when(k.rlike("^.[12]"), F.concat(F.substring(k, 1, 2), F.lit("+"), k.substr(F.lit(3), F.length(k)))).otherwise(k).alias("k"), (size + 1).alias("to"), (at + k.startswith(">").cast("int")).alias("place")))
+    longer = F.transform(F.filter(_keys(size, at, True), lambda k: k.rlike("^.[12]")), lambda k: F.struct(k.alias("k"), size.alias("to"), at.alias("place")))
+
+    def side(name: str, keys: Column) -> DataFrame:
+        spread = tokens.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"), F.explode(keys).alias("key"))
+        return spread.select(name, f"n_{name}", F.xxhash64("key.k", "key.to", "key.place").alias("key"))
+
+    a, b = F.col("a"), F.col("b")
+    ordered = (F.length(a) < F.length(b)) | ((F.length(a) == F.length(b)) & (a < b))
+    pairs = side("a", F.concat(own, shorter)).join(side("b", F.concat(own, longer)), "key").where(ordered & (F.levenshtein(a, b, 1) == 1))
     return pairs.select("a", "n_a", "b", "n_b").distinct()
 
 
