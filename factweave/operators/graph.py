@@ -117,3 +117,46 @@ def lineage_sql(spark: SparkSession, edges: DataFrame, root: str, levels: int =
             UNION ALL SELECT e.parent, e.child FROM factweave_edges e JOIN up ON e.child = up.parent)
         SELECT DISTINCT parent, child FROM up"""
     )
+
+
+def traces(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
+    """(seed, id, hop, path, edges): a shortest way from each seed (id) to all that is within
+    ``hops`` undirected edges, and the records of the edges it takes.
+
+    ``edges`` has (u, v, seq, record). Of several records of one direction the last by
+    ``seq`` counts (ties: the greater record), and a way from x to y takes the record of
+    (x, y), or where there is none that of (y, x). Of several shortest ways the one whose
+    ids sort first is kept, as its predecessor's is: a round joins what the last one found
+    with the edges, and an id keeps its least way by an aggregate.
+    """
+    last = edges.where("u <> v").groupBy("u", "v").agg(F.max(F.struct("seq", "record")).alias("r")).select("u", "v", F.col("r.record").alias("record"))
+    back = last.select(F.col("v").alias("u"), F.col("u").alias("v"), "record")
+    ways = cut(last.withColumn("own", F.lit(0)).union(back.withColumn("own", F.lit(1))).groupBy("u", "v").agg(F.min_by("record", "own").alias("record")))
+    kind = ways.schema["record"].dataType.simpleString()
+    start = seeds.select(F.col("id").alias("seed"), "id").where("id is not null").distinct()
+    front = cut(start.select("seed", "id", F.lit(0).alias("hop"), F.array("id").alias("path"), F.array().cast(f"array<{kind}>").alias("edges")))
+    found = front
+    for hop in range(1, hops + 1):
+        step = front.join(ways, F.col("id") == F.col("u")).select("seed", F.col("v").alias("id"), F.array_append("path", F.col("v")).alias("path"), F.array_append("edges", F.col("record")).alias("edges"))
+        least = step.groupBy("seed", "id").agg(F.min("path").alias("path"), F.min_by("edges", "path").alias("edges"))
+        front = cut(least.join(found.select("seed", "id"), ["seed", "id"], "left_anti").select("seed", "id", F.lit(hop).alias("hop"), "path", "edges"))
+        found = found.union(front)
+    return found
+
+
+def pointed(pointers: DataFrame) -> DataFrame:
+    """(id, end) where following ``pointers`` (id, target) ends: at an id that points at
+    nothing, or that has no row. Paths are halved every round, so one of n steps takes
+    log2(n) rounds; a cycle raises."""
+    now = cut(pointers.select("id", F.col("target").alias("end")).where("id is not null and end is not null"))
+    seen = None
+    while True:
+        on = now.select(F.col("id").alias("end"), F.col("end").alias("next"))
+        step = cut(now.join(on, "end", "left").select("id", F.coalesce("next", "end").alias("end"), F.col("next").isNotNull().alias("moved"), (F.col("id") == F.coalesce("next", "end")).alias("round")))
+        left = step.agg(F.count_if("moved"), F.count_if("round")).first()
+        if left[1] or (left[0] and left[0] == seen):
+            raise ValueError("pointers form a cycle")
+        drop(now)
+        now, seen = step.select("id", "end"), left[0]
+        if not left[0]:
+            return now
