@@ -70,6 +70,63 @@ def research_roles(position: Column) -> Column:
     return F.when(position < 2, F.concat(F.lit("ARG"), position)).otherwise(F.concat(F.lit("participant_"), position))
 
 
+# Predicates of claim types, and confidence by label and by corroboration.
+CLAIM_PREDICATES = {"fact_claim": "rv3:asserts_fact", "relationship_claim": "rv3:asserts_relationship", "financial_claim": "rv3:asserts_financial", "temporal_claim": "rv3:asserts_temporal"}
+
+
+def research_graph(claims: DataFrame, entities: DataFrame, types: dict[str, str], confidence: Column, graph_ref: str) -> DataFrame:
+    """Candidates of a research graph, one for each claim with a statement: (claim_id,
+    predicate, roles, confidence, corroboration, source_kind, source_ref, source_label,
+    retrieved_at, claim_text).
+
+    ``claims`` has (claim_id, statement, claim_type, entity_refs, source_url, source_type,
+    retrieved_at, corroboration), ``entities`` (entity_ref, schema, names), ``confidence`` is
+    an expression over claims. Entities fill roles by their place in ``entity_refs``, in
+    that order; one that the graph does not hold is a Thing named "unknown", one without a
+    name has its id. A claim type that is not known asserts a fact; without an address the
+    source is the graph itself."""
+    told = claims.where(F.coalesce("statement", F.lit("")) != "").withColumn("confidence", confidence)
+    refs = told.select("claim_id", F.posexplode("entity_refs").alias("pos", "entity_ref")).join(entities.withColumn("known", F.lit(True)), "entity_ref", "left")
+    name = F.coalesce(F.get("names", F.lit(0)), F.when(F.col("known"), F.col("entity_ref")), F.lit("unknown"))
+    filler = F.struct(F.lit("entity").alias("kind"), schema_type(F.coalesce("schema", F.lit("Thing")), types).alias("entity_type"), name.alias("name"))
+    roles = refs.groupBy("claim_id").agg(F.array_sort(F.collect_list(F.struct("pos", research_roles(F.col("pos")).alias("role_id"), filler.alias("filler")))).alias("r"))
+    roles = roles.select("claim_id", F.transform("r", lambda x: F.struct(x["role_id"].alias("role_id"), x["filler"].alias("filler"))).alias("roles"))
+    table = F.create_map(*[F.lit(x) for pair in CLAIM_PREDICATES.items() for x in pair])
+    rows = told.join(roles, "claim_id", "left")
+    return rows.select(
+        "claim_id",
+        F.coalesce(table[F.coalesce("claim_type", F.lit("fact_claim"))], F.lit("rv3:asserts_fact")).alias("predicate"),
+        F.coalesce("roles", F.array().cast(roles.schema["roles"].dataType)).alias("roles"),
+        "confidence", "corroboration",
+        F.concat(F.lit("research_v3:"), F.coalesce("source_type", F.lit("unknown"))).alias("source_kind"),
+        F.when(F.coalesce("source_url", F.lit("")) != "", F.col("source_url")).otherwise(F.lit(graph_ref)).alias("source_ref"),
+        F.concat(F.lit("research_v3 claim "), F.coalesce("claim_id", F.lit("unknown"))).alias("source_label"),
+        "retrieved_at", F.col("statement").alias("claim_text"),
+    )
+
+
+def entity_records(records: DataFrame, investigation: str | None = None, source_file: str = "entities.json", confidence: float = 0.5) -> DataFrame:
+    """Relationship facts of entity records (position, name, type, relationships: array of
+    (entity, type, detail)): (fact_id, number, from, relationship, to, investigation,
+    entity_type, confidence, source_file, detail).
+
+    Facts are numbered from 1 over all records, in order of position and place; an id is a
+    slug of the record's name and that number, of three digits or more. Names are trimmed, a
+    blank detail is null, a record without relationships gives nothing; none at all raises."""
+    rows = records.select("position", "name", "type", F.posexplode("relationships").alias("place", "r"))
+    counted = numbered(rows, ["position", "place"])
+    if counted.limit(1).isEmpty():
+        raise ValueError("the entity records hold no relationship")
+    slug = F.btrim(F.regexp_replace(F.lower("name"), "[^a-z0-9]+", "_"), F.lit("_"))
+    prefix = F.when(slug == "", "research_agent_rel").otherwise(F.concat(F.lit("ra_"), slug))
+    digits = F.when(F.col("number") < 100, F.lpad(F.col("number").cast("string"), 3, "0")).otherwise(F.col("number").cast("string"))
+    detail = F.trim("r.detail")
+    return counted.select(
+        F.concat_ws("_", prefix, digits).alias("fact_id"), "number", F.trim("name").alias("from"), F.trim("r.type").alias("relationship"), F.trim("r.entity").alias("to"),
+        F.lit(investigation).cast("string").alias("investigation"), F.col("type").alias("entity_type"), F.lit(confidence).alias("confidence"), F.lit(source_file).alias("source_file"), F.when(detail != "", detail).alias("detail"),
+    )
+
+
 def schema_type(ftm_schema: Column, known: dict[str, str]) -> Column:
     """Type of an entity schema, oc:<lower case> where none is known."""
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])

@@ -35,6 +35,13 @@ def write(df: DataFrame) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which is removed when the driver ends."""
+    path = f"{shared_folder(spark)}/graph/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` read back from such a table: its own size then stands in for the plan's
     estimates, which grow with every round of an iteration."""
