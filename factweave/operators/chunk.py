@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# What a heading and the break between two paragraphs look like.
 HEADING = re.compile(r"(?m)^(#{1,6})[ \t]+(.+?)\s*$")
 PARAGRAPH_BREAK = re.compile(r"\n[ \t]*\n+")
 #: Soft target, least useful and greatest length of a chunk.

@@ -1,12 +1,10 @@
 """Documents of a code repository as units of text: sections of Markdown, rows of its
-tables as sentences, declarations of Python files; and prompts changed line by line."""
+tables as sentences; and prompts changed line by line."""
 
 from __future__ import annotations
 
-import ast
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +30,7 @@ def table_facts(text: Column) -> Column:
     def cells(line: Column) -> Column:
         return F.transform(F.split(F.btrim(F.trim(line), F.lit("|")), r"\|"), lambda c: F.trim(c))
 
+    # The form of a sentence, "- Table row: a=1, b=2.".
     def facts(block: Column) -> Column:
         lines = F.split(F.btrim(block, F.lit("\n")), "\n")
         at = F.array_min(F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: F.coalesce(F.contains(F.get(lines, i + 1), F.lit("-")), F.lit(False))))
@@ -47,36 +46,6 @@ def table_facts(text: Column) -> Column:
     return F.flatten(F.transform(blocks, facts))
 
 
-def _declarations(source: str) -> list[str]:
-    try:
-        body = ast.parse(source).body
-    except (SyntaxError, ValueError):
-        return []
-    functions = (ast.FunctionDef, ast.AsyncFunctionDef)
-    out = []
-    for node in body:
-        if isinstance(node, functions):
-            out.append(f"def {node.name}({ast.unparse(node.args)})")
-        elif isinstance(node, ast.ClassDef):
-            out.append(f"class {node.name}({', '.join(map(ast.unparse, node.bases)) or 'object'})")
-            out += [f"  def {inner.name}({ast.unparse(inner.args)})" for inner in node.body if isinstance(inner, functions)]
-    return out
-
-
-def python_declarations(files: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, place, declaration) of the classes, their methods and the functions of Python
-    files; a file that does not parse has none."""
-    rows = files.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-
-    def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            made = [(k, i, d) for k, t in zip(part["key"], part["text"], strict=True) for i, d in enumerate(_declarations(t))]
-            yield pd.DataFrame(made, columns=["key", "place", "declaration"])
-
-    out = rows.mapInPandas(work, f"key {rows.schema['key'].dataType.simpleString()}, place int, declaration string")
-    return out.withColumnRenamed("key", key)
-
-
 def mutated(content: Column, remove: Sequence[str] = (), unspaced: Sequence[str] = (), replace: Mapping[str, str] | None = None) -> Column:
     """Text with lines replaced (by the first prefix that fits), lines removed by prefix,
     and the blank line before a line with a prefix of ``unspaced`` taken out, in that

@@ -96,3 +96,25 @@ def requested(rows: DataFrame, ids: list[str], key: str) -> DataFrame:
     if len(have) < len(ids):
         raise LookupError(f"not found: {sorted(set(ids) - have)}")
     return found
+
+
+def appended(requests: DataFrame, candidates: DataFrame, existing: DataFrame) -> DataFrame:
+    """``requests`` (request_id, candidate_id, decision, actor_id, requested_at) with
+    ``outcome``: which reviews are recorded.
+
+    The first legal request of a candidate without a review is ``recorded``; later ones, and
+    those of a candidate that has one (``existing``: candidate_id), are
+    ``already_reviewed``; to accept what is invalid is ``illegal``; a candidate that is not
+    in ``candidates`` (candidate_id, validation_status) is ``unknown``. Requests count in
+    order of time and id, so a retry of the same requests gives the same."""
+    known = candidates.select("candidate_id", "validation_status").dropDuplicates(["candidate_id"])
+    rows = requests.join(known.withColumn("_known", F.lit(True)), "candidate_id", "left").join(existing.select("candidate_id", F.lit(True).alias("_had")).distinct(), "candidate_id", "left")
+    legal = F.coalesce(F.col("_known") & review_is_legal(F.lit("pending_review"), F.col("validation_status"), F.col("decision")), F.lit(False))
+    rows = rows.withColumn("_legal", legal)
+    first = rows.where(F.col("_legal") & F.col("_had").isNull()).groupBy("candidate_id").agg(F.min(F.struct("requested_at", "request_id")).alias("_first"))
+    told = rows.join(first, "candidate_id", "left")
+    outcome = (
+        F.when(F.col("_known").isNull(), "unknown").when(F.col("_had").isNotNull(), "already_reviewed").when(~F.col("_legal"), "illegal")
+        .when(F.struct("requested_at", "request_id") == F.col("_first"), "recorded").otherwise("already_reviewed")
+    )
+    return told.select(*requests.columns, outcome.alias("outcome"))

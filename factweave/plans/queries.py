@@ -646,19 +646,10 @@ def _c4(t: Tables) -> DataFrame:
 def _c5(t: Tables) -> DataFrame:
     from factweave.functions import payload
 
-    # Wherever an item of five words or more stands, its second to fourth words stand between
-    # the same spaces: an equi-join on them finds all candidates. Shorter items meet every document.
-    b = t.raw("benchmark").select("item_id", F.col("text").alias("span"), F.split("text", " ").alias("w"))
-    d = t.raw("documents").select("doc_id", "text")
-    words = F.split("text", " ")
-    keys = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " "))
-    long = b.where(F.size("w") > 4).select("item_id", "span", F.array_join(F.slice("w", 2, 3), " ").alias("key"))
-    short = b.where(F.size("w") <= 4).select("item_id", "span")
-    met = d.withColumn("key", F.explode(F.array_distinct(keys))).join(long, "key").select("doc_id", "text", "item_id", "span")
-    rows = met.union(d.join(short, F.contains("text", "span")).select("doc_id", "text", "item_id", "span"))
+    found = payload.occurring(t.raw("documents").select("doc_id", "text"), t.raw("benchmark").select("item_id", F.col("text").alias("span")))
     at = F.position("span", "text") - 1
     ok = payload.span_ok(F.col("text"), at, at + F.length("span"), F.col("span")) | (F.col("span") == "")
-    return rows.where(at >= 0).select("doc_id", "item_id", ok.alias("ok"))
+    return found.select("doc_id", "item_id", ok.alias("ok"))
 
 
 @query("C8_review_guard", "SELECT candidate_id, review_status = 'pending_review' AND validation_status <> 'invalid' AS legal FROM cand")
@@ -746,9 +737,11 @@ def _h10(t: Tables) -> DataFrame:
     return a.join(b, "n_regionkey").where("i < j").select("a", "b", F.levenshtein("a", "b").alias("d"))
 
 
-@query("H12_lemmas")
+@query("H12_lemmas", """SELECT verb, array_to_string(list_filter([verb, CASE WHEN verb LIKE '%ing' AND length(verb) > 4 THEN left(verb, -3) END, CASE WHEN verb LIKE '%ing' AND length(verb) > 4 THEN left(verb, -3) || 'e' END, CASE WHEN verb LIKE '%ed' AND length(verb) > 3 THEN left(verb, -2) END,
+  CASE WHEN verb LIKE '%ed' AND length(verb) > 3 THEN left(verb, -2) || 'e' END, CASE WHEN verb LIKE '%es' AND length(verb) > 3 THEN left(verb, -2) END, CASE WHEN verb LIKE '%s' AND length(verb) > 2 THEN left(verb, -1) END], lambda x: x IS NOT NULL), ',') AS lemmas
+FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS verb FROM documents) WHERE verb <> ''""", plain=True)
 def _h12(t: Tables) -> DataFrame:
-    words = t.raw("documents").where("lang = 'en'").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("verb")).where("verb <> ''").distinct()
+    words = t.raw("documents").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("verb")).where("verb <> ''").distinct()
     return words.select("verb", F.array_join(T.lemma_candidates(F.col("verb")), ",").alias("lemmas"))
 
 
@@ -790,11 +783,13 @@ def _i3(t: Tables) -> DataFrame:
     return graph.components(n.select(F.col("n_nationkey").alias("u"), ((F.col("n_nationkey") + 5) % 25).alias("v")))
 
 
-@query("I7_page_rank")
+@query("I7_page_rank", """SELECT id, round(rank, 5) AS rank, true AS settled FROM step WHERE i = 80 ORDER BY round(rank, 5) DESC, id LIMIT 15""", recursive="""b AS (SELECT DISTINCT 's' || s_nationkey AS u, 'c' || c_nationkey AS v FROM supplier JOIN customer ON s_suppkey = c_custkey UNION SELECT DISTINCT 'c' || c_nationkey, 's' || s_nationkey FROM supplier JOIN customer ON s_suppkey = c_custkey),
+way AS (SELECT u, v, 1.0 / count(*) OVER (PARTITION BY u) AS share FROM b), node AS (SELECT u AS id, CASE WHEN u IN ('s0', 's1') THEN 1.0 / (SELECT count(DISTINCT u) FROM b WHERE u IN ('s0', 's1')) ELSE 0.0 END::DOUBLE AS p FROM b GROUP BY u),
+step AS (SELECT id, p AS rank, p, 0 AS i FROM node UNION ALL SELECT n.id, 0.85 * sum(CASE WHEN w.v = n.id THEN s.rank * w.share ELSE 0 END) + 0.15 * n.p, n.p, s.i + 1 FROM step s JOIN way w ON w.u = s.id CROSS JOIN node n WHERE s.i < 80 GROUP BY n.id, n.p, s.i)""")
 def _i7(t: Tables) -> DataFrame:
     e = t.raw("supplier").join(t.raw("customer"), F.col("s_suppkey") == F.col("c_custkey")).select(F.concat(F.lit("s"), "s_nationkey").alias("u"), F.concat(F.lit("c"), "c_nationkey").alias("v"))
     seeds = t.spark.createDataFrame([("s0",), ("s1",)], "id string")
-    return graph.page_rank(e, seeds).drop("settled").orderBy(F.desc("rank"), "id").limit(15)
+    return graph.page_rank(e, seeds).orderBy(F.desc(F.round("rank", 5)), "id").limit(15).select("id", F.round("rank", 5).alias("rank"), "settled")
 
 
 @query("I8_ego_network", "SELECT id, min(hop)::INTEGER AS hop FROM (SELECT 's0' AS id, 0 AS hop UNION ALL SELECT v, 1 FROM b WHERE u = 's0' UNION ALL SELECT y.v, 2 FROM b x JOIN b y ON y.u = x.v WHERE x.u = 's0') GROUP BY 1", recursive="b AS (SELECT DISTINCT 's' || s_nationkey AS u, 'c' || c_nationkey AS v FROM supplier JOIN customer ON s_suppkey = c_custkey UNION SELECT DISTINCT 'c' || c_nationkey, 's' || s_nationkey FROM supplier JOIN customer ON s_suppkey = c_custkey)")

@@ -254,3 +254,49 @@ def _a14b(t: Tables) -> DataFrame:
     both = F.array(one(F.col("p_brand"), " made by", F.lit("  ")), one(F.concat(F.lit("size "), "p_size"), "sized", F.when(F.col("p_size") % 2 == 0, " even")))
     records = t.raw("part").select(F.col("p_partkey").alias("position"), F.col("p_name").alias("name"), F.col("p_type").alias("type"), F.slice(both, 1, F.when(F.col("p_size") > 10, 2).otherwise(1)).alias("relationships"))
     return readers.entity_records(records).select("fact_id", "number", "from", "relationship", "to", "detail", "entity_type")
+
+
+# Reviews, overlays, evidence -----------------------------------------------------------
+
+
+@query("B1_evidence_spans", """SELECT candidate_id, unnest([0, 1])::BIGINT AS span_index, unnest([6, 10 + length(o_orderkey::VARCHAR)])::BIGINT AS start, unnest([6 + length(o_orderkey::VARCHAR), 10 + length(o_orderkey::VARCHAR) + length(c_name)])::BIGINT AS "end", unnest([o_orderkey::VARCHAR, c_name]) AS text FROM cand JOIN customer ON c_custkey = o_custkey""")
+def _b1b(t: Tables) -> DataFrame:
+    """Rows of the evidence spans that go in with each candidate."""
+    from factweave.operators import bundles
+
+    rows = t.candidates().join(t.raw("customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    key = F.col("o_orderkey").cast("string")
+    return bundles.spans(rows.select("candidate_id", F.concat(F.lit("Order "), key, F.lit(" by "), "c_name").alias("source_text"), F.array(key, F.col("c_name")).alias("quotes"))).select("candidate_id", "span_index", "start", "end", "text")
+
+
+@query("B2_review_appends", """SELECT e.event_id AS request_id, CASE WHEN c.candidate_id IS NULL THEN 'unknown' WHEN c.o_orderkey % 4 = 0 THEN 'already_reviewed' WHEN NOT legal THEN 'illegal'
+ WHEN row_number() OVER (PARTITION BY e.cid, legal ORDER BY e.ts, e.event_id) = 1 THEN 'recorded' ELSE 'already_reviewed' END AS outcome FROM (
+ SELECT e.*, c.validation_status <> 'invalid' OR e.decision = 'rejected' AS legal FROM (SELECT event_id, ts, 'cand_' || (CASE WHEN event_id % 97 = 0 THEN -1 ELSE event_id // 3 END) AS cid, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'accepted' END AS decision FROM events) e LEFT JOIN cand c ON c.candidate_id = e.cid) e LEFT JOIN cand c ON c.candidate_id = e.cid""")
+def _b2b(t: Tables) -> DataFrame:
+    """Three requests a candidate, some for none, against candidates of which a quarter is
+    reviewed."""
+    from factweave.operators import review
+
+    e = F.col("event_id")
+    requests = t.raw("events").select(e.alias("request_id"), F.concat(F.lit("cand_"), F.when(e % 97 == 0, F.lit(-1)).otherwise(F.floor(e / 3))).alias("candidate_id"), F.when(F.col("event_type") == "error", "rejected").otherwise("accepted").alias("decision"), F.col("user_id").alias("actor_id"), F.col("ts").alias("requested_at"))
+    c = t.candidates()
+    return review.appended(requests, c, c.where("o_orderkey % 4 = 0")).select("request_id", "outcome")
+
+
+@query("J10_overlay_lists", """SELECT proposal_id, pack, predicate_id, row_number() OVER (PARTITION BY pack ORDER BY predicate_id, proposal_id) AS place, min(proposal_id) OVER (PARTITION BY pack, predicate_id) = proposal_id AND predicate_id NOT IN ('small_ring', 'red_bolt') AS adds FROM (
+ SELECT p_partkey AS proposal_id, p_brand AS pack, replace(p_name, ' ', '_') AS predicate_id FROM part WHERE p_size % 3 = 0 AND length(p_name) % 2 = 1 AND p_partkey % 5 <> 0)""", plain=True)
+def _j10b(t: Tables) -> DataFrame:
+    """Accepted proposals of parts applied to their brands' overlays, twice; which of them
+    add a line, and their list."""
+    from factweave.operators import overlays
+
+    p = t.raw("part")
+    proposals = p.select(F.col("p_partkey").alias("proposal_id"), F.col("p_brand").alias("pack"), F.concat(F.lit(" "), F.upper("p_name")).alias("value"), F.when(F.length("p_name") % 2 == 0, "record_only").otherwise("apply_to_overlay").alias("policy"))
+    reviews = p.select(F.col("p_partkey").alias("proposal_id"), F.when(F.col("p_size") % 3 == 0, "accepted").otherwise("rejected").alias("decision"), F.col("p_partkey").alias("reviewed_at"), F.col("p_partkey").alias("review_id"))
+    before = p.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("proposal_id"))
+    content = p.where("p_name in ('small ring', 'red bolt')").select(F.col("p_brand").alias("pack"), F.replace("p_name", F.lit(" "), F.lit("_")).alias("predicate_id"), F.col("p_name").alias("label"), F.col("p_partkey").alias("proposal_id"))
+    every = p.select(F.col("p_brand").alias("pack")).distinct().withColumn("predicate_id", F.explode(F.array(F.lit("small_ring"), F.lit("red_bolt")))).select("pack", "predicate_id", F.lit("").alias("label"), F.lit(-1).alias("proposal_id"))
+    lines, made = overlays.applied(proposals, reviews, content.union(every), before)
+    again, nothing = overlays.applied(proposals, reviews, content.union(every).union(lines), before.union(made.select("proposal_id")))
+    whole = overlays.listed(made.union(nothing)).join(lines.union(again).select("proposal_id", F.lit(True).alias("adds")), "proposal_id", "left")
+    return whole.select("proposal_id", "pack", "predicate_id", "place", F.coalesce("adds", F.lit(False)).alias("adds"))

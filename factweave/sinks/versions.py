@@ -21,15 +21,18 @@ class Versions:
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = BUCKETS):
         self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
 
-    def _manifests(self) -> dict[int, str]:
-        """Complete manifests by version."""
+    def _listed(self, folder: str) -> list[tuple[str, bool]]:
+        """Names in a folder, and whether each holds what a finished write leaves."""
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        home = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifests")
+        home = jvm.org.apache.hadoop.fs.Path(folder)
         files = home.getFileSystem(conf)
         if not files.exists(home):
-            return {}
-        found = [s.getPath() for s in files.listStatus(home)]
-        return {int(p.getName().removeprefix("v")): str(p) for p in found if files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+            return []
+        return [(s.getPath().getName(), files.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) for s in files.listStatus(home)]
+
+    def _manifests(self) -> dict[int, str]:
+        """Complete manifests by version."""
+        return {int(name.removeprefix("v")): f"{self.path}/manifests/{name}" for name, whole in self._listed(f"{self.path}/manifests") if whole}
 
     def current(self) -> int:
         """The newest version, 0 where there is none."""
@@ -56,7 +59,7 @@ class Versions:
         folder = f"{self.path}/data/v{version}"
         # A folder without a manifest is what a failed try left: its buckets are written over.
         rows.withColumn("bucket", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        written = {r["bucket"] for r in self.spark.read.parquet(folder).select("bucket").distinct().collect()} if touched else set()
+        written = {int(name.removeprefix("bucket=")) for name, _ in self._listed(folder) if name.startswith("bucket=")}
         held = {r["bucket"]: r["folder"] for r in self._manifest(version - 1)} if version > 1 else {}
         held |= {b: folder if b in written else None for b in touched}
         manifest = [(b, held.get(b), change) for b in range(self.buckets)]

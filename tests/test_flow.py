@@ -205,9 +205,6 @@ def test_repository_units(spark):
     tables = [("| a | b |\n|--|--|\n| 1 | 2 |\n| - | 3 |\n| x |\nno\n| c |\n|-|\n| 4 |", ["- Table row: a=1, b=2.", "- Table row: b=3.", "- Table row: c=4."]), ("| a | b |\n| c | d |", []), ("none", [])]
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(tables)], "k int, t string").select("k", repository.table_facts(F.col("t")).alias("f"))
     assert {r["k"]: r["f"] for r in frame.collect()} == {i: f for i, (_, f) in enumerate(tables)}
-    code = "class A(B, C):\n    def f(self, x=1): ...\nasync def g(*a): ...\nx = 1\n"
-    frame = spark.createDataFrame([(1, code), (2, "def ("), (3, None)], "k int, t string")
-    assert [r["declaration"] for r in repository.python_declarations(frame, "k", "t").orderBy("place").collect()] == ["class A(B, C)", "  def f(self, x=1)", "def g(*a)"]
 
 
 def test_failed_json_is_loud(spark, tmp_path):
