@@ -21,6 +21,8 @@ from factweave.llm._store import bounded_batches, written
 
 DIMENSIONS = 1024
 ORDER = 3
+#: Distinct n-grams whose vectors are held at a time.
+GRAMS = 8_192
 #: Prototypes are learned from about this many texts of each language at most.
 SAMPLE_ROWS = 3_000
 #: Prototypes that one pass over the texts compares them with; more take further passes.
@@ -90,17 +92,22 @@ def encode(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     unique, index = np.unique(grams, return_inverse=True)
     digits = [(unique // len(alphabet) ** (ORDER - 1 - i)) % len(alphabet) for i in range(ORDER)]
     base = np.stack([_vector(int(a)) for a in alphabet])
-    vectors = np.ones((len(unique), DIMENSIONS), np.int8)
-    for i in range(ORDER):
-        vectors *= np.roll(base, i, axis=1)[digits[i]]
-    vectors = vectors.astype(np.float32)
-    step = max(1, 1_000_000 // max(1, len(unique)))
-    edges = np.searchsorted(of, np.arange(0, texts + step, step))
-    for k in range(len(edges) - 1):
-        first, last = k * step, min(texts, (k + 1) * step)
-        part = slice(edges[k], edges[k + 1])
-        counts = np.bincount((of[part] - first) * len(unique) + index[part], minlength=(last - first) * len(unique)).astype(np.float32)
-        out[first:last] = counts.reshape(last - first, len(unique)) @ vectors
+    rolled = [np.roll(base, i, axis=1) for i in range(ORDER)]
+    for low in range(0, len(unique), GRAMS):
+        high = min(low + GRAMS, len(unique))
+        vectors = rolled[0][digits[0][low:high]]
+        for i in range(1, ORDER):
+            vectors *= rolled[i][digits[i][low:high]]
+        vectors = vectors.astype(np.float32)
+        here = slice(None) if len(unique) <= GRAMS else np.flatnonzero((index >= low) & (index < high))
+        own, gram, wide = of[here], index[here] - low, high - low
+        step = max(1, 1_000_000 // wide)
+        edges = np.searchsorted(own, np.arange(0, texts + step, step))
+        for k in range(len(edges) - 1):
+            first, last = k * step, min(texts, (k + 1) * step)
+            part = slice(edges[k], edges[k + 1])
+            counts = np.bincount((own[part] - first) * wide + gram[part], minlength=(last - first) * wide).astype(np.float32)
+            out[first:last] += counts.reshape(last - first, wide) @ vectors
     return out, has
 
 
@@ -178,10 +185,10 @@ def predict(docs: DataFrame, learned: DataFrame, text: str = "text") -> DataFram
     """
     made = ("lang_pred", "score", "cosine")
     rest = [c for c in docs.columns if c not in made]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).cast("string").alias("text"))
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, text string, lang_pred string, best double, rest double"
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, best double, rest double"
     # Nearest so far, its cosine, and the sum of exp(SCALE x (cosine - best)) so far.
-    now = rows.select("row", "text", F.lit(None).cast("string").alias("lang_pred"), F.lit(-2.0).alias("best"), F.lit(0.0).alias("rest"))
+    now = rows.select("row", F.lit(None).cast("string").alias("lang_pred"), F.lit(-2.0).alias("best"), F.lit(0.0).alias("rest"))
 
     def against(names: list[str], matrix: np.ndarray):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,14 +204,15 @@ def predict(docs: DataFrame, learned: DataFrame, text: str = "text") -> DataFram
                     found = np.where(here > old, np.asarray(names, object)[near], np.asarray(chunk.column("lang_pred").to_pylist(), object))
                     total = before * np.exp(SCALE * (old - best)) + sums * np.exp(SCALE * (here - best))
                     found[~has] = None
-                    yield pa.RecordBatch.from_arrays([chunk.column("row"), chunk.column("text"), pa.array(found.tolist(), pa.string()), pa.array(best), pa.array(total)], ["row", "text", "lang_pred", "best", "rest"])
+                    yield pa.RecordBatch.from_arrays([chunk.column("row"), pa.array(found.tolist(), pa.string()), pa.array(best), pa.array(total)], ["row", "lang_pred", "best", "rest"])
 
         return work
 
     block = prototypes(learned)
     while block:
         names = list(block)
-        now = bounded_batches(now).mapInArrow(against(names, _unit(np.stack([block[n] for n in names])).astype(np.float32)), kind)
+        told = now.select("*", F.col("row").getField(text).cast("string").alias("text"))
+        now = bounded_batches(told).mapInArrow(against(names, _unit(np.stack([block[n] for n in names])).astype(np.float32)), kind)
         block = prototypes(learned, names[-1]) if len(names) == BLOCK else {}
         if block:
             now = written(now)
