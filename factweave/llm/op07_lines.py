@@ -28,9 +28,9 @@ from factweave.llm._store import forget, written
 
 #: Runs of fewer words are left alone.
 MIN_WORDS = 30
-#: Documents with removed lines whose ranges are broadcast at most (some 100 bytes
-#: each); beyond that the texts are shuffled to them.
-BROADCAST_ROWS = 200_000
+#: Documents with removed lines, and ranges of those, that are broadcast at most (some 100
+#: and 8 bytes each); beyond that the texts are shuffled to them.
+BROADCAST_ROWS, BROADCAST_RANGES = 200_000, 1_000_000
 
 
 BLANK = " \t\r\x0b\f"
@@ -165,7 +165,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__ranges"))
     )
     cut = written(ranges.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), "__ranges"))
-    if cut.count() <= BROADCAST_ROWS:
+    size = cut.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("__ranges")), F.lit(0)).alias("ranges")).first()
+    if size["rows"] <= BROADCAST_ROWS and size["ranges"] <= BROADCAST_RANGES:
         cut = F.broadcast(cut)
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed", "removed")]
     joined = docs.select(*[f"`{c}`" for c in rest]).join(cut, (F.col(key) == F.col("__doc")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__copy")), "left")

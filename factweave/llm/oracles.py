@@ -34,8 +34,8 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(pos.n_hit, 0)::BIGINT AS
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 #: Every row is a vector of its own, whatever its id. Those of extreme magnitude are scaled first.
-OP9 = f"""WITH RECURSIVE x AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-top AS (SELECT *, list_max(list_transform(e, lambda v: abs(v))) AS m FROM x WHERE vec_id IS NOT NULL AND len(list_filter(e, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+OP9 = f"""WITH RECURSIVE x AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda v: coalesce(v, 'nan'::DOUBLE)) AS e FROM embeddings),
+top AS (SELECT *, list_max(list_transform(e, lambda v: abs(v))) AS m FROM x WHERE vec_id IS NOT NULL AND len(list_filter(e, lambda v: NOT isfinite(v))) = 0),
 mid AS (SELECT r, CASE WHEN m BETWEEN 1e-100 AND 1e100 THEN e ELSE list_transform(e, lambda v: v / m) END AS e FROM top WHERE m > 0),
 u AS (SELECT r, e, sqrt(list_inner_product(e, e)) AS n FROM mid),
 l AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r < b.r AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
