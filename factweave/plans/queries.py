@@ -130,7 +130,9 @@ def _d18(t: Tables) -> DataFrame:
     return own.join(own.withColumnRenamed("a", "b"), "s").where("a < b").select("a", "b").distinct()
 
 
-@query("D19_near_duplicates")
+@query("D19_near_duplicates", """WITH n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT n_name FROM nation), p AS (SELECT a.name AS a, b.name AS b, lower(a.name) AS x, lower(b.name) AS y FROM n a JOIN n b ON a.name < b.name)
+SELECT a, b, method FROM (SELECT a, b, CASE WHEN contains(x, y) OR contains(y, x) THEN CASE WHEN least(length(x), length(y)) >= 3 AND least(length(x), length(y)) >= 0.5 * greatest(length(x), length(y)) THEN 'substring' END
+ WHEN greatest(length(x), length(y)) <= 30 AND levenshtein(x, y) <= 1 THEN 'edit' END AS method FROM p) WHERE method IS NOT NULL""", plain=True)
 def _d19(t: Tables) -> DataFrame:
     names = t.raw("part").select(F.col("p_name").alias("name")).union(t.raw("nation").select("n_name")).distinct().withColumn("kind", F.lit("Object"))
     return identity.near_duplicates(names)
@@ -669,7 +671,7 @@ def _c12(t: Tables) -> DataFrame:
     return t.entities().select("entity_id", T.type_family(F.col("entity_type")).alias("family"))
 
 
-@query("C13_name_family")
+@query("C13_name_family", "SELECT entity_id, CASE WHEN entity_id LIKE 'part%' THEN 'organization' ELSE 'entity' END AS family FROM ent")
 def _c13(t: Tables) -> DataFrame:
     return t.entities().select("entity_id", T.name_family(F.lit("oc:entity"), F.col("name")).alias("family"))
 
@@ -725,7 +727,7 @@ def _h5(t: Tables) -> DataFrame:
     return t.raw("events").select("event_id", F.get_json_object("props", "$.k").cast(N).alias("k"))
 
 
-@query("H7_acronyms")
+@query("H7_acronyms", "SELECT name, lower(left(name, 1) || left(split_part(name, ' ', 2), 1)) AS signatures, upper(left(name, 1) || left(split_part(name, ' ', 2), 1)) AS acronym FROM (SELECT DISTINCT p_name AS name FROM part)", plain=True)
 def _h7(t: Tables) -> DataFrame:
     return t.raw("part").select("p_name").distinct().select(F.col("p_name").alias("name"), F.array_join(T.acronym_signatures(F.col("p_name")), ",").alias("signatures"), T.acronym(F.col("p_name")).alias("acronym"))
 
