@@ -103,3 +103,19 @@ def unique_bridge(weak: DataFrame, anchors: DataFrame, key: Column) -> DataFrame
     with several roots bridges nothing."""
     roots = anchors.withColumn("k", key).groupBy("k").agg(F.min("root").alias("v"), F.count_distinct("root").alias("n")).where("n = 1")
     return weak.withColumn("k", key).join(roots, "k").select(F.col("root").alias("u"), "v").where("u <> v")
+
+
+def signature_counts(names: DataFrame) -> DataFrame:
+    """(name, n_signatures, others): with how many other names each name (name, signatures: an
+    array) shares a signature, without forming pairs.
+
+    By inclusion and exclusion over the sets of its signatures: a name of r signatures gives
+    2^r - 1 rows, and a signature that very many names have is one row of counts. Repeated
+    signatures count once; a null array has none; names must be distinct."""
+    own = names.select("name", F.array_sort(F.array_distinct(F.coalesce("signatures", F.array().cast("array<string>")))).alias("s"))
+    empty = F.array(F.array().cast("array<string>"))
+    sets = F.filter(F.aggregate("s", empty, lambda done, x: F.concat(done, F.transform(done, lambda d: F.concat(d, F.array(x))))), lambda d: F.size(d) > 0)
+    keyed = own.select("name", F.explode(sets).alias("d")).select("name", F.xxhash64("d").alias("h1"), F.hash("d").alias("h2"), F.when(F.size("d") % 2 == 1, 1).otherwise(-1).alias("sign"))
+    sizes = keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    shared = keyed.join(sizes, ["h1", "h2"]).groupBy("name").agg(F.sum(F.col("sign") * F.col("n")).alias("with"))
+    return own.join(shared, "name", "left").select("name", F.size("s").alias("n_signatures"), F.coalesce(F.col("with") - 1, F.lit(0)).cast("long").alias("others"))

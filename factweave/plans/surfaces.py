@@ -300,3 +300,58 @@ def _j10b(t: Tables) -> DataFrame:
     again, nothing = overlays.applied(proposals, reviews, content.union(every).union(lines), before.union(made.select("proposal_id")))
     whole = overlays.listed(made.union(nothing)).join(lines.union(again).select("proposal_id", F.lit(True).alias("adds")), "proposal_id", "left")
     return whole.select("proposal_id", "pack", "predicate_id", "place", F.coalesce("adds", F.lit(False)).alias("adds"))
+
+
+@query("D18_signature_counts", """SELECT a.name, (SELECT count(DISTINCT x) FROM unnest(string_split(a.name, ' ')) t(x))::INTEGER AS n_signatures, (SELECT count(DISTINCT b.name) FROM n b WHERE b.name <> a.name AND len(list_intersect(string_split(a.name, ' '), string_split(b.name, ' '))) > 0)::BIGINT AS others FROM n a""", recursive="n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT p_brand || ' ' || p_type || ' ' || p_name FROM part)")
+def _d18b(t: Tables) -> DataFrame:
+    """Names of two and of four words: with how many others each shares one."""
+    from factweave.operators import identity
+
+    p = t.raw("part")
+    names = p.select(F.col("p_name").alias("name")).union(p.select(F.concat_ws(" ", "p_brand", "p_type", "p_name"))).distinct()
+    return identity.signature_counts(names.withColumn("signatures", F.split("name", " ")))
+
+
+_ARTIFACTS = """artifact AS (SELECT DISTINCT 'art_' || conv_id || '_' || turn AS artifact_id, CASE conv_id % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'derived_dataset' ELSE 'analysis_result' END AS kind FROM conversations)"""
+
+
+def _artifacts(t: Tables) -> DataFrame:
+    c = F.col("conv_id") % 3
+    return t.raw("conversations").select(F.concat_ws("_", F.lit("art"), "conv_id", "turn").alias("artifact_id"), F.when(c == 0, "source").when(c == 1, "derived_dataset").otherwise("analysis_result").alias("kind"), "conv_id", "turn").distinct()
+
+
+@query("J14_lineage_edges", """SELECT DISTINCT 'art_' || conv_id || '_' || (turn - 1) AS parent, 'art_' || conv_id || '_' || turn AS child, CASE WHEN conv_id % 2 = 0 THEN 'exists' ELSE 'recorded' END AS outcome FROM conversations WHERE turn > 0
+ UNION ALL SELECT DISTINCT 'art_' || conv_id || '_1', 'art_' || conv_id || '_0', 'cycle' FROM conversations WHERE turn = 1 AND conv_id % 10 = 0 UNION ALL SELECT DISTINCT 'art_' || conv_id || '_0', 'art_' || conv_id || '_0', 'self' FROM conversations WHERE turn = 0 AND conv_id % 7 = 0
+ UNION ALL SELECT DISTINCT 'ghost', 'art_' || conv_id || '_0', 'unknown_artifact' FROM conversations WHERE turn = 0 AND conv_id % 9 = 0""", plain=True)
+def _j14b(t: Tables) -> DataFrame:
+    """Edges of turns, of which those of even conversations are there; some the other way
+    round, to themselves, or from what is not registered."""
+    from factweave.operators import lineage
+
+    a, name = _artifacts(t), lambda k: F.concat_ws("_", F.lit("art"), "conv_id", k)
+    zero, one = F.lit(0), F.lit(1)
+    told = a.where("turn > 0").select(name(F.col("turn") - 1).alias("parent"), name(F.col("turn")).alias("child"))
+    odd = a.where("turn = 1 and conv_id % 10 = 0").select(name(one), name(zero)).union(a.where("turn = 0 and conv_id % 7 = 0").select(name(zero), name(zero))).union(a.where("turn = 0 and conv_id % 9 = 0").select(F.lit("ghost"), name(zero)))
+    existing = a.where("turn > 0 and conv_id % 2 = 0").select(name(F.col("turn") - 1).alias("parent"), name(F.col("turn")).alias("child"))
+    return lineage.edges(told.union(odd), existing, a)
+
+
+@query("J14_lineage_links", """SELECT l.candidate_id, l.artifact_id, l.support_kind, CASE WHEN c.candidate_id IS NULL THEN 'unknown_candidate' WHEN a.kind IS NULL THEN 'unknown_artifact' WHEN NOT (a.kind = 'source' AND l.support_kind = 'quoted_from' OR a.kind = 'derived_dataset' AND l.support_kind = 'supported_by_dataset') THEN 'illegal' WHEN l.k % 4 = 0 THEN 'exists' ELSE 'recorded' END AS outcome
+ FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN 'nobody' ELSE 'cand_' || o_orderkey END AS candidate_id, 'art_' || (o_orderkey % 25) || '_' || (o_orderkey % 30) AS artifact_id, CASE WHEN o_orderkey % 2 = 0 THEN 'quoted_from' ELSE 'supported_by_dataset' END AS support_kind FROM orders WHERE o_orderkey % 11 <> 0 OR o_orderkey = 0) l
+ LEFT JOIN cand c USING (candidate_id) LEFT JOIN artifact a USING (artifact_id)""", recursive=_ARTIFACTS)
+def _j14c(t: Tables) -> DataFrame:
+    """Links of orders to artifacts of all kinds; a quarter is there from before."""
+    from factweave.operators import lineage
+
+    k = F.col("o_orderkey")
+    rows = t.raw("orders").where((k % 11 != 0) | (k == 0)).select(k, F.when(k % 11 == 0, "nobody").otherwise(F.concat(F.lit("cand_"), k)).alias("candidate_id"), F.concat_ws("_", F.lit("art"), k % 25, k % 30).alias("artifact_id"), F.when(k % 2 == 0, "quoted_from").otherwise("supported_by_dataset").alias("support_kind"))
+    return lineage.links(rows, _artifacts(t), t.candidates(), rows.where(k % 4 == 0))
+
+
+@query("J26_lineage_facade", """SELECT candidate_id, n_artifacts::BIGINT AS artifacts, n_edges::BIGINT AS edges, (SELECT string_agg(DISTINCT artifact, ',' ORDER BY artifact) FROM up u WHERE u.candidate_id = g.candidate_id AND NOT EXISTS (SELECT 1 FROM lin WHERE lin.child = u.artifact)) AS sources FROM grown g""", recursive=_PARTS_SQL)
+def _j26b(t: Tables) -> DataFrame:
+    """Lineage reports of candidates: how much they rest on, and the artifacts that derive
+    from nothing."""
+    _, parts = _parts(t)
+    sources = F.array_except("artifacts", F.transform("lineage_edges", lambda e: e["child"]))
+    return parts["lineage"].select("candidate_id", F.size("artifacts").cast(N).alias("artifacts"), F.size("lineage_edges").cast(N).alias("edges"), F.array_join(F.array_sort(sources), ",").alias("sources"))
