@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,3 +110,34 @@ def cluster_answers(questions: DataFrame, clusters: DataFrame, truth: DataFrame)
     out = questions.join(found, "mention", "left").join(ids, "cluster", "left")
     right = F.col("low").eqNullSafe(F.col("gold")) & F.col("high").eqNullSafe(F.col("gold"))
     return out.select("question_id", "mention", F.when(F.col("n").isNull(), "unanswered").when(F.col("n") > 1, "ambiguous").when(right, "right").otherwise("wrong").alias("status"))
+
+
+def evaluator(edges: DataFrame, base: float = 0.8) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``score`` to rows (picked, wanted, ..) of types, by their places
+    in a hierarchy of ``edges`` (child, parent): see ``ancestor_score``. A type that is not
+    in the hierarchy has depth 0 and no relatives; a null pick scores 0."""
+    from factweave.operators.graph import closure
+    from factweave.storage import cut
+
+    above = cut(closure(edges))
+    depth = above.groupBy("child").agg(F.max("depth").alias("d"))
+
+    def score(rows: DataFrame) -> DataFrame:
+        up = above.select(F.col("child").alias("wanted"), F.col("ancestor").alias("picked"), F.lit("coarser").alias("up"))
+        down = above.select(F.col("child").alias("picked"), F.col("ancestor").alias("wanted"), F.lit("finer").alias("down"))
+        told = rows.join(up, ["wanted", "picked"], "left").join(down, ["wanted", "picked"], "left")
+        told = told.join(depth.select(F.col("child").alias("picked"), F.col("d").alias("dp")), "picked", "left").join(depth.select(F.col("child").alias("wanted"), F.col("d").alias("dw")), "wanted", "left")
+        relation = F.coalesce("up", "down", F.lit("other"))
+        found = ancestor_score(F.col("picked"), F.col("wanted"), F.coalesce("dp", F.lit(0)), F.coalesce("dw", F.lit(0)), relation, base)
+        return told.withColumn("score", F.coalesce(found, F.lit(0.0))).select(*rows.columns, "score")
+
+    return score
+
+
+def metrics(parts: dict[str, DataFrame]) -> DataFrame:
+    """(metric, value) of one-row aggregates of one column each; a null is 0."""
+    out = None
+    for name, part in parts.items():
+        row = part.select(F.lit(name).alias("metric"), F.coalesce(F.col(part.columns[0]).cast("double"), F.lit(0.0)).alias("value"))
+        out = row if out is None else out.union(row)
+    return out

@@ -191,3 +191,13 @@ def profile_rules(pack_rules: DataFrame, own_rules: DataFrame, pack_predicates:
 def ordered(found: DataFrame) -> DataFrame:
     """Findings with ``place``, counting those of a payload in order of code and path."""
     return found.withColumn("place", F.row_number().over(Window.partitionBy("payload_id").orderBy("code", "path")))
+
+
+def loosened(constraints: DataFrame, keep: DataFrame, role: str = "agent", narrow: str = "Human", wide: str = "CognitiveAgent") -> DataFrame:
+    """``constraints`` (predicate, sense, abstract_role, type_constraint) with ``before`` and
+    ``changed``: of a role's constraints those that are ``narrow`` become ``wide``, but for
+    the senses in ``keep`` (sense). What changed can be counted first, as a dry run."""
+    kept = keep.select("sense").where("sense is not null").distinct().withColumn("_kept", F.lit(True))
+    rows = constraints.join(kept, "sense", "left")
+    changed = F.coalesce((F.col("abstract_role") == role) & (F.col("type_constraint") == narrow), F.lit(False)) & F.col("_kept").isNull()
+    return rows.withColumns({"before": F.col("type_constraint"), "changed": changed, "type_constraint": F.when(changed, wide).otherwise(F.col("type_constraint"))}).select(*constraints.columns, "before", "changed")

@@ -355,3 +355,76 @@ def _j26b(t: Tables) -> DataFrame:
     _, parts = _parts(t)
     sources = F.array_except("artifacts", F.transform("lineage_edges", lambda e: e["child"]))
     return parts["lineage"].select("candidate_id", F.size("artifacts").cast(N).alias("artifacts"), F.size("lineage_edges").cast(N).alias("edges"), F.array_join(F.array_sort(sources), ",").alias("sources"))
+
+
+# Small surfaces ------------------------------------------------------------------------
+
+
+@query("H5_json_objects", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'array' WHEN event_id % 3 = 1 THEN 'object' ELSE 'other' END AS kind, len(json_keys(props))::INTEGER AS n_keys, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE props IS NOT NULL""", plain=True)
+def _h5b(t: Tables) -> DataFrame:
+    """Objects with their keys, and values of all kinds."""
+    from factweave.functions import payload
+
+    e, at = t.raw("events").where("props is not null"), F.col("event_id").cast("string")
+    any_ = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("["), "props", F.lit("]"))).when(F.col("event_id") % 3 == 1, F.col("props")).otherwise(F.lit("7"))
+    told = e.select("event_id", payload.json_object(F.col("props"), at).alias("o"), F.schema_of_variant(payload.json_value(any_, at)).alias("s"))
+    kind = F.when(F.col("s").startswith("ARRAY"), "array").when(F.col("s").startswith("OBJECT"), "object").otherwise("other")
+    return told.select("event_id", kind.alias("kind"), F.size(F.json_object_keys(F.to_json("o"))).alias("n_keys"), F.variant_get("o", "$.k", "bigint").alias("k"))
+
+
+@query("K2_evaluator_callable", """SELECT p.k, round(CASE WHEN p.picked IS NULL THEN 0 WHEN p.picked = p.wanted THEN 1.0 WHEN u.child IS NOT NULL THEN 0.8 * greatest((coalesce(dp.d, 0) + 1) / (coalesce(dw.d, 0) + 1), 0.05) WHEN w.child IS NOT NULL THEN least(1.0, 0.8 + 0.2 * (1 - CASE WHEN coalesce(dp.d, 0) > 0 THEN coalesce(dw.d, 0) / dp.d ELSE 1 END)) ELSE 0 END, 6)::DOUBLE AS score
+ FROM (SELECT p_partkey AS k, CASE p_partkey % 6 WHEN 0 THEN p_type WHEN 1 THEN p_brand WHEN 2 THEN 'part' WHEN 3 THEN 'world' WHEN 4 THEN 'nowhere' END AS picked, CASE WHEN p_partkey % 6 = 0 AND p_size % 2 = 0 THEN 'part' ELSE p_type END AS wanted FROM part) p
+ LEFT JOIN clo u ON u.child = p.wanted AND u.ancestor = p.picked LEFT JOIN clo w ON w.child = p.picked AND w.ancestor = p.wanted LEFT JOIN dep dp ON dp.child = p.picked LEFT JOIN dep dw ON dw.child = p.wanted""",
+       recursive="up AS (SELECT child, parent AS ancestor, 1 AS depth FROM edge UNION SELECT up.child, e.parent, depth + 1 FROM up JOIN edge e ON e.child = up.ancestor), clo AS (SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2), dep AS (SELECT child, max(depth) AS d FROM clo GROUP BY 1)")
+def _k2b(t: Tables) -> DataFrame:
+    """Picks that are equal, coarser, finer, on another branch, unknown and missing."""
+    from factweave.operators import evaluate
+
+    k = F.col("p_partkey") % 6
+    picked = F.when(k == 0, F.col("p_type")).when(k == 1, F.col("p_brand")).when(k == 2, "part").when(k == 3, "world").when(k == 4, "nowhere")
+    rows = t.raw("part").select(F.col("p_partkey").alias("k"), picked.alias("picked"), F.when((k == 0) & (F.col("p_size") % 2 == 0), "part").otherwise(F.col("p_type")).alias("wanted"))
+    return evaluate.evaluator(t.type_edges())(rows).select("k", F.round("score", 6).alias("score"))
+
+
+@query("E15_review_metrics", """SELECT 'candidates' AS metric, count(*)::DOUBLE AS value FROM cand UNION ALL SELECT 'accepted', count(*) FILTER (review_status = 'accepted') FROM cand UNION ALL SELECT 'pending', count(*) FILTER (review_status = 'pending_review') FROM cand
+ UNION ALL SELECT 'invalid', count(*) FILTER (validation_status = 'invalid') FROM cand UNION ALL SELECT 'assertions', count(*) FROM asr UNION ALL SELECT 'entities', count(DISTINCT entity_id) FROM fil UNION ALL SELECT 'merged_identities', count(*) FROM (SELECT identity_id FROM mem GROUP BY 1 HAVING count(*) > 1)
+ UNION ALL SELECT 'attached_references', count(*) FILTER (reference_status = 'attached') FROM ref UNION ALL SELECT 'mean_confidence', round(avg(confidence_score), 6) FROM conf""")
+def _e15b(t: Tables) -> DataFrame:
+    from factweave.operators import evaluate
+
+    c = t.candidates()
+    count = lambda df, cond="true": df.agg(F.count_if(F.expr(cond)))
+    return evaluate.metrics({
+        "candidates": count(c), "accepted": count(c, "review_status = 'accepted'"), "pending": count(c, "review_status = 'pending_review'"), "invalid": count(c, "validation_status = 'invalid'"),
+        "assertions": count(t.assertions()), "entities": t.fillers().agg(F.count_distinct("entity_id")), "merged_identities": count(t.memberships().groupBy("identity_id").count().where("count > 1")),
+        "attached_references": count(t.references(), "reference_status = 'attached'"), "mean_confidence": t.confidences().agg(F.round(F.avg("confidence_score"), 6)),
+    })
+
+
+@query("B19_role_label_json", """SELECT p_brand AS predicate, '{' || string_agg('"' || p_type || '":"' || label || '"', ',' ORDER BY p_type) || '}' AS labels FROM (SELECT p_brand, p_type, min(upper(p_name)) AS label FROM part WHERE p_size > 5 GROUP BY 1, 2) GROUP BY 1""", plain=True)
+def _b19b(t: Tables) -> DataFrame:
+    from factweave.sinks import export
+
+    label = F.when(F.col("p_size") > 5, F.concat(F.lit(" "), F.upper("p_name"))).when(F.col("p_size") > 3, " ")
+    return export.role_labels(t.raw("part").select(F.col("p_brand").alias("predicate"), F.col("p_type").alias("slot"), label.alias("label")))
+
+
+@query("B21_loosened_constraints", """SELECT p_partkey AS sense, CASE WHEN c THEN 'CognitiveAgent' ELSE tc END AS type_constraint, c AS changed FROM (SELECT p_partkey, tc, coalesce(r = 'agent' AND tc = 'Human', false) AND p_partkey % 7 <> 0 AS c FROM (SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'agent' WHEN 1 THEN 'theme' END AS r, CASE p_partkey % 3 WHEN 0 THEN 'Human' WHEN 1 THEN 'Artifact' END AS tc FROM part))""", plain=True)
+def _b21b(t: Tables) -> DataFrame:
+    """Constraints of agents, themes and no role; every seventh sense is kept."""
+    from factweave.operators import validate
+
+    p, size = t.raw("part"), F.col("p_size") % 3
+    rows = p.select(F.col("p_brand").alias("predicate"), F.col("p_partkey").alias("sense"), F.when(size == 0, "agent").when(size == 1, "theme").alias("abstract_role"), F.when(F.col("p_partkey") % 3 == 0, "Human").when(F.col("p_partkey") % 3 == 1, "Artifact").alias("type_constraint"))
+    return validate.loosened(rows, p.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("sense"))).select("sense", "type_constraint", "changed")
+
+
+@query("E14_identity_summary", """SELECT count(DISTINCT m.identity_id)::BIGINT AS identities, count(*)::BIGINT AS members, count(*) FILTER (membership_kind = 'alias')::BIGINT AS aliases, (SELECT count(*) FROM ref WHERE reference_status = 'attached')::BIGINT AS attached, (SELECT count(*) FROM ref WHERE reference_status <> 'attached')::BIGINT AS unresolved FROM mem m""")
+def _e14c(t: Tables) -> DataFrame:
+    """Identities with members and references, from one row an identity."""
+    from factweave.operators import bundles
+
+    m, r = t.memberships(), t.references()
+    whole = bundles.governed(m.select("identity_id").distinct(), [m.groupBy("identity_id").agg(F.count("*").alias("members"), F.count_if(F.col("membership_kind") == "alias").alias("aliases")), r.groupBy("identity_id").agg(F.count_if(F.col("reference_status") == "attached").alias("attached"), F.count_if(F.col("reference_status") != "attached").alias("unresolved"))], "identity_id")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast(N).alias(c)
+    return whole.agg(F.count("*").cast(N).alias("identities"), *[total(c) for c in ("members", "aliases", "attached", "unresolved")])

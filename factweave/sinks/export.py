@@ -46,3 +46,11 @@ def chunk_files(chunks: DataFrame, key: str, path: str) -> DataFrame:
     manifest = chunks.select(key, "chunk_id", "char_start", "char_end", F.sha2("content", 256).alias("sha256"))
     manifest.write.mode("errorifexists").json(f"{path}/manifest")
     return chunks.sparkSession.read.schema(manifest.schema).json(f"{path}/manifest")
+
+
+def role_labels(slots: DataFrame) -> DataFrame:
+    """(predicate, labels): for each predicate of ``slots`` (predicate, slot, label) a JSON
+    object of its slots' labels, in order of the slots. A blank label is left out, a
+    predicate without one too; of several labels of a slot the least is taken."""
+    told = slots.where(F.trim(F.coalesce("label", F.lit(""))) != "").groupBy("predicate", "slot").agg(F.min(F.trim("label")).alias("label"))
+    return told.groupBy("predicate").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("slot", "label"))))).alias("labels"))

@@ -9,7 +9,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from factweave.functions import text as T
 
@@ -20,8 +20,20 @@ LABEL_SCORES = {"high": 0.9, "medium": 0.7, "low": 0.4}
 PACK_TABLES = ("predicate_types", "role_types", "predicate_role_edges", "constraints", "hierarchy_edges", "aliases", "source_mappings", "entity_types", "value_types")
 
 
-def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """JSON lines of a known schema; blank lines are skipped, a broken one is an error."""
+def json_lines(spark: SparkSession, path: str, schema: StructType | str, check: bool = True) -> DataFrame:
+    """JSON lines of a known schema; blank lines are skipped, a broken one is an error.
+
+    ``check`` reads the files once before, so that the error names the file and the number
+    of the line; without it a broken line fails when it is read."""
+    if check:
+        kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        told = spark.read.schema(StructType([*kind.fields, StructField("_broken", StringType())])).option("columnNameOfCorruptRecord", "_broken").json(path)
+        # All columns are kept: Spark parses only what is asked for.
+        bad = told.select("*", F.col("_metadata.file_path").alias("_file")).where("_broken is not null").first()
+        if bad is not None:
+            # Lines of one file come in order; only a file with a broken line is counted.
+            number = spark.read.text(bad["_file"]).rdd.map(lambda r: r[0]).zipWithIndex().filter(lambda x: x[0] == bad["_broken"]).first()[1] + 1
+            raise ValueError(f"{bad['_file']}, line {number}: not a JSON object of the schema: {bad['_broken'][:80]}")
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 

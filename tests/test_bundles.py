@@ -117,3 +117,55 @@ def test_overlays_are_applied_once(spark):
     assert [r["proposal_id"] for r in overlays.listed(made, "q").collect()] == [4]
     again, nothing = overlays.applied(proposals, reviews, content.union(lines), made.select("proposal_id"))
     assert again.collect() == [] and nothing.collect() == []
+
+
+def test_lineage_edges_and_links(spark):
+    from factweave.operators import lineage
+
+    artifacts = spark.createDataFrame([(a, k, None) for a, k in (("a", "source"), ("b", "derived_dataset"), ("c", "analysis_result"), ("d", "source"))], "artifact_id string, kind string, label string")
+    kind = "parent string, child string"
+    existing = spark.createDataFrame([("a", "b"), ("b", "c")], kind)
+    new = spark.createDataFrame([("a", "b"), ("c", "a"), ("a", "a"), ("a", "z"), ("c", "d"), ("c", "d"), ("a", "d"), (None, "a")], kind)
+    found = {(r["parent"], r["child"]): r["outcome"] for r in lineage.edges(new, existing, artifacts).collect()}
+    assert found == {("a", "b"): "exists", ("c", "a"): "cycle", ("a", "a"): "self", ("a", "z"): "unknown_artifact", ("c", "d"): "recorded", ("a", "d"): "recorded", (None, "a"): "unknown_artifact"}
+    # Two new edges that close a cycle together are both refused.
+    both = lineage.edges(spark.createDataFrame([("a", "d"), ("d", "a"), ("a", "c")], kind), existing.limit(0), artifacts)
+    assert {(r["parent"], r["child"]): r["outcome"] for r in both.collect()} == {("a", "d"): "cycle", ("d", "a"): "cycle", ("a", "c"): "recorded"}
+    kind = "candidate_id string, artifact_id string, support_kind string"
+    links = spark.createDataFrame([("x", "a", "quoted_from"), ("x", "b", "quoted_from"), ("y", "a", "quoted_from"), ("x", "q", "quoted_from"), ("x", "b", "supported_by_dataset")], kind)
+    told = lineage.links(links, artifacts, spark.createDataFrame([("x",)], "candidate_id string"), links.where("support_kind = 'supported_by_dataset'"))
+    assert {tuple(r)[:3]: r["outcome"] for r in told.collect()} == {("x", "a", "quoted_from"): "recorded", ("x", "b", "quoted_from"): "illegal", ("y", "a", "quoted_from"): "unknown_candidate", ("x", "q", "quoted_from"): "unknown_artifact", ("x", "b", "supported_by_dataset"): "exists"}
+    again = lineage.registered(spark.createDataFrame([("a", "source", None), ("b", "other", None), ("n", "source", "L"), (None, "k", None)], "artifact_id string, kind string, label string"), artifacts)
+    assert {r["artifact_id"]: r["outcome"] for r in again.collect()} == {"a": "unchanged", "b": "conflict", "n": "inserted"}
+
+
+def test_signature_counts(spark):
+    from factweave.operators import identity
+
+    rows = [("p", ["x", "y"]), ("q", ["x", "y", "x"]), ("r", ["y"]), ("s", ["z"]), ("t", []), ("u", None), ("v", ["x", "z", "w"])]
+    found = {r["name"]: (r["n_signatures"], r["others"]) for r in identity.signature_counts(spark.createDataFrame(rows, "name string, signatures array<string>")).collect()}
+    sets = {n: set(s or []) for n, s in rows}
+    assert found == {n: (len(s), sum(1 for m, o in sets.items() if m != n and s & o)) for n, s in sets.items()}
+
+
+def test_json_values_are_loud(spark):
+    frame = spark.createDataFrame([(1, '{"a": 1}'), (2, None)], "k int, t string")
+    assert [r[0] for r in frame.select(F.to_json(payload.json_object(F.col("t"), F.lit("c")))).collect()] == ['{"a":1}', None]
+    for text, function, said in (("[1]", payload.json_object, "no JSON object in row 3"), ("{a", payload.json_object, "no JSON in row 3"), ("x", payload.json_value, "no JSON in row 3")):
+        with pytest.raises(Exception, match=said):
+            spark.createDataFrame([(text,)], "t string").select(F.to_json(function(F.col("t"), F.lit("row 3")))).collect()
+
+
+def test_small_surfaces(spark):
+    from factweave.operators import evaluate, validate
+    from factweave.sinks import export
+
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "a")], "child string, parent string")
+    rows = spark.createDataFrame([("c", "c"), ("b", "c"), ("c", "b"), ("d", "c"), (None, "c"), ("zz", "c")], "picked string, wanted string")
+    found = {(r["picked"], r["wanted"]): round(r["score"], 6) for r in evaluate.evaluator(edges)(rows).collect()}
+    assert found == {("c", "c"): 1.0, ("b", "c"): round(0.8 * 2 / 3, 6), ("c", "b"): round(0.8 + 0.2 * 0.5, 6), ("d", "c"): 0.0, (None, "c"): 0.0, ("zz", "c"): 0.0}
+    slots = spark.createDataFrame([("p", "ARG1", "b"), ("p", "ARG0", " a "), ("p", "ARG0", "c"), ("q", "ARG0", " "), ("q", "ARG0", None)], "predicate string, slot string, label string")
+    assert [tuple(r) for r in export.role_labels(slots).collect()] == [("p", '{"ARG0":"a","ARG1":"b"}')]
+    rules = spark.createDataFrame([("p", 1, "agent", "Human"), ("p", 2, "agent", "Human"), ("p", 3, "theme", "Human"), ("p", None, "agent", "Human"), ("p", 5, None, None)], "predicate string, sense int, abstract_role string, type_constraint string")
+    told = {r["sense"]: (r["type_constraint"], r["changed"]) for r in validate.loosened(rules, spark.createDataFrame([(2,), (None,)], "sense int")).collect()}
+    assert told == {1: ("CognitiveAgent", True), 2: ("Human", False), 3: ("Human", False), None: ("CognitiveAgent", True), 5: (None, False)}

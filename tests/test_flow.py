@@ -209,8 +209,12 @@ def test_repository_units(spark):
 
 def test_failed_json_is_loud(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n{broken\n')
-    with pytest.raises(Exception):
-        readers.json_lines(spark, str(tmp_path / "x.jsonl"), "a int").collect()
+    with pytest.raises(ValueError, match="x.jsonl, line 2: .*{broken"):
+        readers.json_lines(spark, str(tmp_path / "x.jsonl"), "a int")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.json_lines(spark, str(tmp_path / "x.jsonl"), "a int", check=False).collect()
+    (tmp_path / "z.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert [r["a"] for r in readers.json_lines(spark, str(tmp_path / "z.jsonl"), "a int").collect()] == [1, 2]
     (tmp_path / "y.json").write_text("[1]")
     with pytest.raises(Exception):
         readers.yaml_objects(spark, str(tmp_path / "y.json")).collect()
