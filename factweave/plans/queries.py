@@ -786,8 +786,8 @@ def _i3(t: Tables) -> DataFrame:
 
 
 @query("I7_page_rank", """SELECT id, round(rank, 5) AS rank, true AS settled FROM step WHERE i = 80 ORDER BY round(rank, 5) DESC, id LIMIT 15""", recursive="""b AS (SELECT DISTINCT 's' || s_nationkey AS u, 'c' || c_nationkey AS v FROM supplier JOIN customer ON s_suppkey = c_custkey UNION SELECT DISTINCT 'c' || c_nationkey, 's' || s_nationkey FROM supplier JOIN customer ON s_suppkey = c_custkey),
-way AS (SELECT u, v, 1.0 / count(*) OVER (PARTITION BY u) AS share FROM b), node AS (SELECT u AS id, CASE WHEN u IN ('s0', 's1') THEN 1.0 / (SELECT count(DISTINCT u) FROM b WHERE u IN ('s0', 's1')) ELSE 0.0 END::DOUBLE AS p FROM b GROUP BY u),
-step AS (SELECT id, p AS rank, p, 0 AS i FROM node UNION ALL SELECT n.id, 0.85 * sum(CASE WHEN w.v = n.id THEN s.rank * w.share ELSE 0 END) + 0.15 * n.p, n.p, s.i + 1 FROM step s JOIN way w ON w.u = s.id CROSS JOIN node n WHERE s.i < 80 GROUP BY n.id, n.p, s.i)""")
+way AS (SELECT u, v, 1.0 / count(*) OVER (PARTITION BY u) AS share FROM b), node AS (SELECT id, CASE WHEN id IN ('s0', 's1') THEN 0.5 ELSE 0.0 END::DOUBLE AS p FROM (SELECT u AS id FROM b UNION SELECT unnest(['s0', 's1']))),
+step AS (SELECT id, p AS rank, p, 0 AS i FROM node UNION ALL SELECT n.id, 0.85 * (sum(CASE WHEN w.v = n.id THEN s.rank * w.share ELSE 0 END) + n.p * sum(CASE WHEN w.u IS NULL THEN s.rank ELSE 0 END)) + 0.15 * n.p, n.p, s.i + 1 FROM step s LEFT JOIN way w ON w.u = s.id CROSS JOIN node n WHERE s.i < 80 GROUP BY n.id, n.p, s.i)""")
 def _i7(t: Tables) -> DataFrame:
     e = t.raw("supplier").join(t.raw("customer"), F.col("s_suppkey") == F.col("c_custkey")).select(F.concat(F.lit("s"), "s_nationkey").alias("u"), F.concat(F.lit("c"), "c_nationkey").alias("v"))
     seeds = t.spark.createDataFrame([("s0",), ("s1",)], "id string")

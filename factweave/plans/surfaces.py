@@ -428,3 +428,45 @@ def _e14c(t: Tables) -> DataFrame:
     whole = bundles.governed(m.select("identity_id").distinct(), [m.groupBy("identity_id").agg(F.count("*").alias("members"), F.count_if(F.col("membership_kind") == "alias").alias("aliases")), r.groupBy("identity_id").agg(F.count_if(F.col("reference_status") == "attached").alias("attached"), F.count_if(F.col("reference_status") != "attached").alias("unresolved"))], "identity_id")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast(N).alias(c)
     return whole.agg(F.count("*").cast(N).alias("identities"), *[total(c) for c in ("members", "aliases", "attached", "unresolved")])
+
+
+# Passes --------------------------------------------------------------------------------
+
+
+@query("J18_mapped_events", """SELECT o_orderkey AS event_id, CASE WHEN v = 0 THEN (SELECT 'promo:' || min(p_brand) FROM part WHERE p_type = 'PROMO') WHEN v < 4 AND k % 3 = 0 THEN (SELECT CASE v WHEN 1 THEN 'small:' WHEN 2 THEN 'large:' ELSE 'standard:' END || min(p_brand) FROM part WHERE lower(p_type) = CASE v WHEN 1 THEN 'small' WHEN 2 THEN 'large' ELSE 'standard' END) END AS predicate_id,
+ CASE WHEN v = 0 THEN 'Agent=b' || k || ',Theme=a' || k WHEN v < 4 AND k % 3 = 0 THEN 'Theme=x' || k ELSE '' END AS roles, CASE WHEN v = 0 THEN 'single_sense' WHEN v < 4 AND k % 3 = 0 THEN 'picked' ELSE 'unresolved' END AS method FROM (SELECT o_orderkey, o_orderkey AS k, o_orderkey % 5 AS v FROM orders)""", plain=True)
+def _j18b(t: Tables) -> DataFrame:
+    """Orders as events of five verbs: one of a single sense, three of several, one of none;
+    answers that pick, that pick what is not there, and that are no JSON."""
+    from factweave.operators import passes
+
+    p, k = t.raw("part"), F.col("o_orderkey")
+    least = p.groupBy("p_type").agg(F.min("p_brand").alias("least"))
+    senses = p.select("p_type", "p_brand").distinct().join(least, "p_type").where("p_type <> 'PROMO' or p_brand = least").select(F.lower("p_type").alias("lemma"), F.concat_ws(":", F.lower("p_type"), "p_brand").alias("predicate_id"), F.col("p_brand").alias("sense_id"), F.lit(0.9).alias("confidence"), F.array(F.lit("Agent"), F.lit("Theme")).alias("slots"))
+    verb = F.element_at(F.array(*map(F.lit, ("promoed", "Smalling", "larges", "standard", "nothing"))), (k % 5 + 1).cast("int"))
+    one = lambda role, name: F.struct(F.lit(role).alias("proto_role"), F.concat(F.lit(name), k).alias("name"))
+    events = t.raw("orders").select(k.alias("event_id"), verb.alias("verb"), F.array(one("Theme", "a"), one("Agent", "b")).alias("participants"))
+    kind = F.element_at(F.array(*map(F.lit, ("PROMO", "SMALL", "LARGE", "STANDARD", "PROMO"))), (k % 5 + 1).cast("int"))
+    named = t.raw("orders").select(k.alias("event_id"), kind.alias("p_type"), k.alias("k")).join(least, "p_type")
+    answer = F.concat(F.lit('```json\n{"predicate_id": "'), F.when(F.col("k") % 2 == 0, F.col("least")).otherwise(F.concat_ws(":", F.lower("p_type"), "least")), F.lit('", "role_mapping": {"Theme": "x'), F.col("k"), F.lit('"}}\n```'))
+    answers = named.select("event_id", F.when(F.col("k") % 3 == 0, answer).when(F.col("k") % 3 == 1, F.lit('{"predicate_id": "other"}')).otherwise("no idea").alias("response"))
+    found = passes.mapped(events, senses, answers, {})
+    roles = F.array_join(F.array_sort(F.transform(F.map_entries("roles"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return found.select("event_id", "predicate_id", roles.alias("roles"), "method")
+
+
+@query("J18_refined_types", """SELECT k AS event_id, CASE WHEN leaf THEN coarse WHEN (a = coarse OR EXISTS (SELECT 1 FROM sub s WHERE s.top = coarse AND s.t = a)) AND (NOT narrow OR EXISTS (SELECT 1 FROM sub s WHERE s.top = cons AND s.t = a)) THEN a ELSE coarse END AS refined_type, CASE WHEN leaf THEN 'leaf_early_exit' WHEN narrow THEN 'subtree_pick' ELSE 'no_constraint' END AS method FROM (
+ SELECT *, NOT EXISTS (SELECT 1 FROM edge WHERE parent = coarse) AS leaf, coalesce(cons <> 'Entity', false) AND EXISTS (SELECT 1 FROM sub x JOIN sub y ON x.t = y.t WHERE x.top = coarse AND y.top = cons) AS narrow FROM (
+ SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN 'part' WHEN 2 THEN p_type ELSE 'unheard' END AS coarse, CASE p_partkey % 3 WHEN 1 THEN 'part' WHEN 2 THEN CASE WHEN p_size % 2 = 0 THEN 'world' ELSE 'Entity' END END AS cons, CASE p_partkey % 5 WHEN 0 THEN p_type WHEN 1 THEN p_brand WHEN 2 THEN 'world' WHEN 3 THEN 'part' END AS a FROM part))""",
+       recursive="up AS (SELECT child, parent AS ancestor FROM edge UNION SELECT up.child, e.parent FROM up JOIN edge e ON e.child = up.ancestor), sub AS (SELECT ancestor AS top, child AS t FROM up UNION SELECT child, child FROM edge UNION SELECT parent, parent FROM edge)")
+def _j18c(t: Tables) -> DataFrame:
+    """Fillers of coarse types under constraints of all kinds, answered or not."""
+    from factweave.operators import passes
+
+    k = F.col("p_partkey")
+    coarse = F.when(k % 4 == 0, F.col("p_brand")).when(k % 4 == 1, "part").when(k % 4 == 2, F.col("p_type")).otherwise("unheard")
+    constraint = F.when(k % 3 == 1, "part").when(k % 3 == 2, F.when(F.col("p_size") % 2 == 0, "world").otherwise("Entity"))
+    answer = F.when(k % 5 == 0, F.col("p_type")).when(k % 5 == 1, F.col("p_brand")).when(k % 5 == 2, "world").when(k % 5 == 3, "part")
+    fillers = t.raw("part").select(k.alias("event_id"), F.lit("ARG0").alias("role"), coarse.alias("coarse_type"), constraint.alias("constraint"))
+    answers = t.raw("part").select(k.alias("event_id"), F.lit("ARG0").alias("role"), answer.alias("refined_type"))
+    return passes.refined(fillers, t.type_edges(), answers).select("event_id", "refined_type", "method")
