@@ -226,7 +226,7 @@ def _b17b(t: Tables) -> DataFrame:
 
 @query("A9_research_graph", """SELECT 'c' || conv_id || '_' || turn AS claim_id, CASE turn % 5 WHEN 0 THEN 'rv3:asserts_fact' WHEN 1 THEN 'rv3:asserts_relationship' WHEN 2 THEN 'rv3:asserts_financial' WHEN 3 THEN 'rv3:asserts_temporal' ELSE 'rv3:asserts_fact' END AS predicate,
  'ARG0=entity:' || CASE conv_id % 25 % 3 WHEN 0 THEN 'oc:organization' WHEN 1 THEN 'oc:vessel' ELSE 'oc:thing' END || ':' || (SELECT CASE WHEN n_nationkey % 4 = 3 THEN 'n' || n_nationkey ELSE n_name END FROM nation WHERE n_nationkey = conv_id % 25) || ',ARG1=entity:oc:thing:unknown,participant_2=entity:' || CASE turn % 3 WHEN 0 THEN 'oc:organization' WHEN 1 THEN 'oc:vessel' ELSE 'oc:thing' END || ':' || (SELECT CASE WHEN n_nationkey % 4 = 3 THEN 'n' || n_nationkey ELSE n_name END FROM nation WHERE n_nationkey = turn) AS roles,
- CASE WHEN turn % 2 = 0 THEN 0.9 ELSE 0.5 END::DOUBLE AS confidence, 'research_v3:' || CASE WHEN turn % 2 = 0 THEN role ELSE 'unknown' END AS source_kind, CASE WHEN turn % 2 = 0 THEN 'http://s/' || conv_id ELSE 'graph.yaml' END AS source_ref, sha256(text) AS claim_sha256 FROM conversations WHERE text <> '' AND turn < 25""", plain=True)
+ CASE WHEN turn % 2 = 0 THEN 0.9 ELSE 0.5 END::DOUBLE AS confidence, 'research:' || CASE WHEN turn % 2 = 0 THEN role ELSE 'unknown' END AS source_kind, CASE WHEN turn % 2 = 0 THEN 'http://s/' || conv_id ELSE 'graph.yaml' END AS source_ref, sha256(text) AS claim_sha256 FROM conversations WHERE text <> '' AND turn < 25""", plain=True)
 def _a9b(t: Tables) -> DataFrame:
     """Turns as claims on nations: of three references the second is not in the graph, and
     every fourth nation has no name."""

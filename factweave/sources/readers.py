@@ -86,7 +86,7 @@ def research_roles(position: Column) -> Column:
 CLAIM_PREDICATES = {"fact_claim": "rv3:asserts_fact", "relationship_claim": "rv3:asserts_relationship", "financial_claim": "rv3:asserts_financial", "temporal_claim": "rv3:asserts_temporal"}
 
 
-def research_graph(claims: DataFrame, entities: DataFrame, types: dict[str, str], confidence: Column, graph_ref: str) -> DataFrame:
+def research_graph(claims: DataFrame, entities: DataFrame, types: dict[str, str], confidence: Column, graph_ref: str, producer: str = "research") -> DataFrame:
     """Candidates of a research graph, one for each claim with a statement: (claim_id,
     predicate, roles, confidence, corroboration, source_kind, source_ref, source_label,
     retrieved_at, claim_text).
@@ -94,9 +94,9 @@ def research_graph(claims: DataFrame, entities: DataFrame, types: dict[str, str]
     ``claims`` has (claim_id, statement, claim_type, entity_refs, source_url, source_type,
     retrieved_at, corroboration), ``entities`` (entity_ref, schema, names), ``confidence`` is
     an expression over claims. Entities fill roles by their place in ``entity_refs``, in
-    that order; one that the graph does not hold is a Thing named "unknown", one without a
-    name has its id. A claim type that is not known asserts a fact; without an address the
-    source is the graph itself."""
+    that order; an entity that the graph does not hold is a Thing named "unknown", one
+    without a name has its id. A claim type that is not known asserts a fact; without an
+    address the source is the graph itself. ``producer`` names who made the graph."""
     told = claims.where(F.coalesce("statement", F.lit("")) != "").withColumn("confidence", confidence)
     refs = told.select("claim_id", F.posexplode("entity_refs").alias("pos", "entity_ref")).join(entities.withColumn("known", F.lit(True)), "entity_ref", "left")
     name = F.coalesce(F.get("names", F.lit(0)), F.when(F.col("known"), F.col("entity_ref")), F.lit("unknown"))
@@ -110,9 +110,9 @@ def research_graph(claims: DataFrame, entities: DataFrame, types: dict[str, str]
         F.coalesce(table[F.coalesce("claim_type", F.lit("fact_claim"))], F.lit("rv3:asserts_fact")).alias("predicate"),
         F.coalesce("roles", F.array().cast(roles.schema["roles"].dataType)).alias("roles"),
         "confidence", "corroboration",
-        F.concat(F.lit("research_v3:"), F.coalesce("source_type", F.lit("unknown"))).alias("source_kind"),
+        F.concat(F.lit(f"{producer}:"), F.coalesce("source_type", F.lit("unknown"))).alias("source_kind"),
         F.when(F.coalesce("source_url", F.lit("")) != "", F.col("source_url")).otherwise(F.lit(graph_ref)).alias("source_ref"),
-        F.concat(F.lit("research_v3 claim "), F.coalesce("claim_id", F.lit("unknown"))).alias("source_label"),
+        F.concat(F.lit(f"{producer} claim "), F.coalesce("claim_id", F.lit("unknown"))).alias("source_label"),
         "retrieved_at", F.col("statement").alias("claim_text"),
     )
 

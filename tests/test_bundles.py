@@ -74,8 +74,8 @@ def test_research_graph(spark):
     found = {r["claim_id"]: r for r in readers.research_graph(claims, entities, {"Company": "oc:organization"}, F.lit(0.5), "graph.yaml").collect()}
     assert set(found) == {"1", "3", None}
     assert [(r["role_id"], r["filler"]["entity_type"], r["filler"]["name"]) for r in found["1"]["roles"]] == [("ARG0", "oc:organization", "Acme"), ("ARG1", "oc:thing", "b"), ("participant_2", "oc:thing", "unknown")]
-    assert (found["1"]["predicate"], found["1"]["source_ref"], found["1"]["source_kind"]) == ("rv3:asserts_financial", "graph.yaml", "research_v3:unknown")
-    assert found["3"]["predicate"] == "rv3:asserts_fact" and found["3"]["roles"] == [] and found[None]["source_label"] == "research_v3 claim unknown"
+    assert (found["1"]["predicate"], found["1"]["source_ref"], found["1"]["source_kind"]) == ("rv3:asserts_financial", "graph.yaml", "research:unknown")
+    assert found["3"]["predicate"] == "rv3:asserts_fact" and found["3"]["roles"] == [] and found[None]["source_label"] == "research claim unknown"
 
 
 def test_entity_records(spark):
