@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,9 @@ _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = range(5)
 #: White space of the splitting pattern outside general category Z.
 _CONTROLS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85)
 _CONTRACTION = re.compile("'(?:s|t|re|ve|m|ll|d)")
-#: Remembered pieces; beyond this many the memory starts anew.
-_MOST_PIECES = 600_000
-#: Pieces encoded at once: the library's encodings take about a kilobyte each.
+#: Remembered pieces, about 40 bytes each; beyond this many the memory starts anew.
+_MOST_PIECES = 1_500_000
+#: Pieces encoded at once, as one list of words: the library's objects last until its ids are read.
 _PIECES_AT_ONCE = 2_000
 
 
@@ -43,6 +44,13 @@ def _classes() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, stage: int) -> Encoder:
+    """The encoder that a Python worker keeps for the tasks of one stage, so that the pieces
+    met in one task are known in the next. Another stage starts anew."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids of texts by the tokenizer file at ``path``, without special tokens added."""
 
@@ -55,12 +63,22 @@ class Encoder:
         self._whole = Tokenizer.from_file(path)
         self._special = sorted(t.content for t in self._whole.get_added_tokens_decoder().values())
         self._class = _classes()
+        self._bytes = self._token_bytes()
         self._forget()
 
     @property
     def vocabulary(self) -> int:
         return self._whole.get_vocab_size()
 
+    def _token_bytes(self) -> np.ndarray:
+        """Bytes of text that each id stands for: a byte-level token has one character a byte."""
+        added = {i: len(t.content.encode()) for i, t in self._whole.get_added_tokens_decoder().items()}
+        vocabulary = self._whole.get_vocab()
+        out = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            out[i] = added.get(i, len(token))
+        return out
+
     def _forget(self) -> None:
         self._keys = np.zeros(0, np.uint64)
         self._at = np.zeros(0, np.int64)
@@ -139,10 +157,10 @@ class Encoder:
             for k in range(0, len(missing), _PIECES_AT_ONCE):
                 part = missing[k : k + _PIECES_AT_ONCE]
                 pieces = [string[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)]
-                found = [e.ids for e in self._whole.encode_batch(pieces, add_special_tokens=False)]
-                made.append(np.asarray([i for f in found for i in f], np.uint32))
-                sizes += [len(f) for f in found]
-            lengths = np.asarray(sizes, np.int64)
+                found, counts = self._pieces(pieces)
+                made.append(found)
+                sizes.append(counts)
+            lengths = np.concatenate(sizes)
             at = len(self._pool) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
             self._pool = np.concatenate(made)
             order = where[missing]
@@ -151,3 +169,16 @@ class Encoder:
             self._len = np.insert(self._len, order, lengths)
             where = np.searchsorted(self._keys, keys)
         return where
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and each piece's number of ids. The pieces go through the
+        library as the words of one text, which it never merges; where the ids' bytes do
+        not end where the pieces do (an encoder that is not byte-level), one by one."""
+        ids = np.asarray(self._whole.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.cumsum(self._bytes[ids])
+        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        at = np.searchsorted(ends, wanted)
+        if len(ends) and ends[-1] == wanted[-1] and np.array_equal(ends[at], wanted):
+            return ids, np.diff(at, prepend=-1)
+        found = [e.ids for e in self._whole.encode_batch(pieces, add_special_tokens=False)]
+        return np.asarray([i for f in found for i in f], np.uint32), np.asarray([len(f) for f in found], np.int64)

@@ -156,10 +156,10 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from factweave.llm._tokens import Encoder
+        from factweave.llm._tokens import encoder as kept
 
-        encoder = Encoder(tokenizer)
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get()
+        encoder, part = kept(tokenizer, task.stageId()), task.partitionId()
         seen, full_before = np.zeros(window, np.int64), 0
         for batch in batches:
             for piece in _words.chunks(batch, "text"):
