@@ -30,6 +30,12 @@ RAREST = 3
 SPLIT_BELOW = 5
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """``df`` to be joined by shuffle: Spark takes the compressed files of a table, as they are
+    before an explode, for the size of what it would broadcast."""
+    return df.hint("merge")
+
+
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(word) for each run of letters: A to Z lowered, one code point deleted from those
     that the hash of key and run picks. A null text has none, a null key counts as an
@@ -99,7 +105,7 @@ def near(words: DataFrame) -> DataFrame:
 
     a, b = F.col("a"), F.col("b")
     ordered = (F.length(a) < F.length(b)) | ((F.length(a) == F.length(b)) & (a < b))
-    pairs = side("a", F.concat(own, shorter)).join(side("b", F.concat(own, longer)), "key").where(ordered & (F.levenshtein(a, b, 1) == 1))
+    pairs = _apart(side("a", F.concat(own, shorter))).join(_apart(side("b", F.concat(own, longer))), "key").where(ordered & (F.levenshtein(a, b, 1) == 1))
     return pairs.select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -110,7 +116,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = written(forms.select("word", F.col("form").alias("root")))
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = written(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        step = written(now.join(_apart(on), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         forget(now)
         now = step.select("word", "root")
         if not step.where("moved").limit(1).count():
@@ -125,17 +131,17 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     them, of several as frequent the one that sorts first, if it occurs at least twice as
     often as the word; else null, and ``root`` is the word itself. A text of any length is
     one row, whose words take some 60 bytes each for a moment; the bigrams' frequencies
-    (8,100 at most) are broadcast. Further columns are not read.
+    (8,100 at most) are broadcast, nothing else is. Further columns are not read.
     """
     words = written(vocabulary(docs, key, text))
     pairs = written(near(words))
     both = pairs.select(F.col("a").alias("word"), "n_a", F.col("b").alias("other"), "n_b").union(pairs.select("b", "n_b", "a", "n_a"))
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("n_b")).alias("less"), F.col("other").alias("form"))).alias("best"))
-    found = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n"))
+    found = words.join(_apart(best), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n"))
     frequent = F.col("form_n") >= TIMES * F.col("n")
     found = written(found.withColumns({"form": F.when(frequent, F.col("form")), "form_n": F.when(frequent, F.col("form_n"))}))
     ends = roots(found.where("form is not null").select("word", "form"))
-    return found.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(_apart(ends), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

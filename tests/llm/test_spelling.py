@@ -79,6 +79,22 @@ def test_chains_of_forms_reach_their_end(spark):
     assert {r["root"] for r in op.roots(forms).collect()} == {"w100"}
 
 
+def test_only_the_frequencies_of_bigrams_are_broadcast(spark, monkeypatch):
+    plans, name = [], "spark.sql.autoBroadcastJoinThreshold"
+    old, store = spark.conf.get(name), op.written
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or store(df)
+    monkeypatch.setattr(op, "written", plan)
+    spark.conf.set(name, "1g")
+    try:
+        out = op.variants(spark.createDataFrame([(1, "colour color colours " * 9)], "doc_id long, text string"))
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set(name, old)
+    assert sum("SortMergeJoin" in p for p in plans) >= 4
+    # The one table that is broadcast has a row for each bigram.
+    assert [p.count("BroadcastHashJoin") for p in plans if "BroadcastHashJoin" in p] == [1]
+
+
 def test_odd_rows(spark):
     docs = [(1, None), (2, ""), (3, "ÉTUDE Étude étude " * 9), (None, "colour, COLOUR; colour×colour÷"), (4, "color " * 20), (4, "color " * 20), (5, "1234 ---"), (6, "longword" * 20_000), (7, "longword" * 20_000), (8, "longword" * 20_000 + " word" * 100_000)]
     assert _found(spark, docs) == _expected(docs)
