@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factweave.storage import apart
+
 # Codes of findings and their default severity.
 SEVERITY = {
     "oc:hard_missing_predicate": "hard",
@@ -73,7 +75,7 @@ def findings(payloads: DataFrame, roles: DataFrame, fillers: DataFrame, profile:
     allowed = _mark(profile.allowed.select("predicate"), "known")
     named = payloads.select("payload_id", F.when(~_blank(F.col("predicate")), F.trim("predicate")).alias("predicate")).join(allowed, "predicate", "left")
 
-    heads = named.join(_mark(roles.select("payload_id"), "with_roles"), "payload_id", "left")
+    heads = named.join(apart(_mark(roles.select("payload_id"), "with_roles")), "payload_id", "left")
     unknown = F.col("predicate").isNotNull() & has("with_roles") & ~has("known") & F.lit(profile.mode != "open")
     of_payloads = _found(
         heads,
@@ -82,7 +84,7 @@ def findings(payloads: DataFrame, roles: DataFrame, fillers: DataFrame, profile:
         _check(unknown, "oc:profile_unknown_predicate", F.lit("predicate")),
     )
     ruled = _mark(profile.role_rules.where("allowed").select("predicate"), "ruled")
-    own = roles.join(named, "payload_id", "left").join(ruled, "predicate", "left").join(profile.role_rules, ["predicate", "role_id"], "left")
+    own = roles.join(apart(named), "payload_id", "left").join(ruled, "predicate", "left").join(profile.role_rules, ["predicate", "role_id"], "left")
     off = has("known") & ((F.col("n") < F.col("min_count")) | (F.col("n") > F.col("max_count")))
     of_roles = _found(
         own,
@@ -92,14 +94,14 @@ def findings(payloads: DataFrame, roles: DataFrame, fillers: DataFrame, profile:
         _check(off, "oc:profile_role_cardinality_violation", role_path),
     )
     asked = profile.role_rules.where("required or min_count > 0")
-    absent = heads.where("known and with_roles").join(asked, "predicate").join(roles.select("payload_id", "role_id"), ["payload_id", "role_id"], "left_anti")
+    absent = heads.where("known and with_roles").join(asked, "predicate").join(apart(roles.select("payload_id", "role_id")), ["payload_id", "role_id"], "left_anti")
     of_absent = _found(
         absent,
         _check(F.col("required"), "oc:profile_missing_required_role", role_path),
         _check(F.col("min_count") > 0, "oc:profile_role_cardinality_violation", role_path),
     )
 
-    rows = fillers.join(named.select("payload_id", "predicate"), "payload_id", "left").join(profile.types, ["predicate", "role_id"], "left").join(profile.kinds, ["predicate", "role_id"], "left")
+    rows = fillers.join(apart(named.select("payload_id", "predicate")), "payload_id", "left").join(profile.types, ["predicate", "role_id"], "left").join(profile.kinds, ["predicate", "role_id"], "left")
     is_value = F.coalesce(F.col("kind") == "value", F.lit(False))
     no_id, no_type, no_kind = _blank(F.col("entity_id")), _blank(F.col("entity_type")), _blank(F.col("value_kind"))
     typed, valued = F.col("expected_type").isNotNull() & ~is_value, F.col("expected_kind").isNotNull()
@@ -137,7 +139,7 @@ def outcomes(payloads: DataFrame, found: DataFrame) -> DataFrame:
     """(payload_id, status, codes) with findings in order of code and path."""
     by = found.groupBy("payload_id").agg(F.count_if(F.col("severity") == "hard").alias("hard"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("code", "path"))), lambda s: s["code"]), ",").alias("codes"))
     status = F.when(F.col("hard") > 0, "invalid").when(F.col("hard").isNotNull(), "needs_review").otherwise("valid")
-    return payloads.select("payload_id").join(by, "payload_id", "left").select("payload_id", status.alias("status"), F.coalesce("codes", F.lit("")).alias("codes"))
+    return payloads.select("payload_id").join(apart(by), "payload_id", "left").select("payload_id", status.alias("status"), F.coalesce("codes", F.lit("")).alias("codes"))
 
 
 def alias_collisions(aliases: DataFrame) -> DataFrame:

@@ -117,7 +117,9 @@ SELECT a.assertion_id AS payload_id, CASE WHEN bool_or(code IN ('oc:hard_missing
 def _j8(t: Tables) -> DataFrame:
     fillers = t.fillers().join(t.entities().select("entity_id", "entity_type"), "entity_id", "left")
     f = fillers.select(F.col("assertion_id").alias("payload_id"), "role_id", F.col("filler_index").alias("idx"), F.lit("entity").alias("kind"), "entity_id", "entity_type", F.lit(None).cast("string").alias("value_kind"))
+    f = cut(f)  # both are read by each table of checks
     payloads = t.assertions().select(F.col("assertion_id").alias("payload_id"), "predicate")
+    payloads = cut(payloads)
     roles = f.groupBy("payload_id", "role_id").agg(F.count("*").alias("n"))
     names = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     make = t.spark.createDataFrame

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factweave.functions import text as T
+from factweave.storage import apart
 
 ROLE_LABELS = {"part": "ARG0", "supplier": "ARG1"}
 
@@ -50,7 +51,7 @@ class Tables:
         both = F.array(F.struct(F.lit("part").alias("role_id"), F.concat(F.lit("part_"), F.col("l_partkey")).alias("entity_id")), F.struct(F.lit("supplier").alias("role_id"), F.concat(F.lit("supp_"), F.col("l_suppkey")).alias("entity_id")))
         rows = items.select("l_orderkey", "filler_index", "l_quantity", F.explode(both).alias("f")).select("l_orderkey", "filler_index", "l_quantity", "f.*")
         keys = self.assertions().select("assertion_id", "promoted_at", "predicate", "o_orderkey")
-        return rows.join(keys, F.col("l_orderkey") == F.col("o_orderkey")).select("assertion_id", "promoted_at", "predicate", "role_id", "filler_index", "entity_id", "l_quantity")
+        return apart(rows).join(keys, F.col("l_orderkey") == F.col("o_orderkey")).select("assertion_id", "promoted_at", "predicate", "role_id", "filler_index", "entity_id", "l_quantity")
 
     def entities(self) -> DataFrame:
         part = self.raw("part").select(F.concat(F.lit("part_"), F.col("p_partkey")).alias("entity_id"), F.col("p_type").alias("entity_type"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord"))

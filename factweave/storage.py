@@ -48,6 +48,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write(df))
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` to be joined by shuffle and sort. Spark broadcasts what it takes for small, and
+    goes by compressed files, as they are before an explode; what grows with the input
+    must not be sized so. Measured sizes do not undo it."""
+    return df.hint("merge")
+
+
 def drop(*frames: DataFrame) -> None:
     """Remove tables that ``cut`` made and no later plan reads."""
     names = {f.rsplit("/", 2)[-2] for df in frames for f in df.inputFiles()}
