@@ -67,6 +67,30 @@ def test_exported_fillers_keep_what_their_kind_has(spark):
     assert found["a2"]["roles"] is None and found["a2"]["qualifiers"] == {} and found["a2"]["confidence"] is None
 
 
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_aliases_of_several_identities_whichever_way_they_are_joined(spark, monkeypatch, most):
+    monkeypatch.setattr(bundles, "MOST_MEMBERS", most)
+    monkeypatch.setattr(bundles, "CELLS", 3)
+    members = [("i", e) for e in "abcdef"] + [("j", e) for e in "efg"] + [("k", "h"), ("l", "é"), ("l", "z"), (None, "a")]
+    own = {e: sorted({o for i, o in members if i is not None and (i, e) in members} - {e}) for _, e in members}
+    ids = [*own, "x", None]
+    rows = [(f"a{i % 3}", f"r{i % 2}", i, "value" if i == 4 else "entity", e, None, None, ["own"] if i == 5 else None, None, None, None) for i, e in enumerate(ids)]
+    fillers = spark.createDataFrame(rows, "assertion_id string, role_id string, filler_index long, kind string, entity_id string, name string, entity_type string, alias_ids array<string>, value_kind string, normalized string, raw string")
+    assertions = spark.createDataFrame([(f"a{i}", "p", "c", None, None) for i in range(4)], "assertion_id string, predicate string, candidate_id string, valid_from string, valid_to string")
+    out = bundles.foundation(assertions, fillers, spark.createDataFrame(members, "identity_id string, entity_id string"), spark.createDataFrame([], "candidate_id string, confidence_score double"))
+    found = {}
+    for r in out.collect():
+        assert (r["roles"] is None) == (r["assertion_id"] == "a3")
+        for fs in (r["roles"] or {}).values():
+            found |= {f["entity_id"]: f["alias_ids"] for f in fs if f["kind"] == "entity"}
+    wanted = {e: sorted(own.get(e, []) + (["own"] if i == 5 else [])) or None for i, e in enumerate(ids) if i != 4}
+    assert found == wanted and wanted["b"] == ["a", "c", "d", "e", "f"] and len(wanted["f"]) == 7
+    if most:
+        # No shuffle carries aliases: they come above all exchanges.
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert -1 < plan.index("MapInArrow") < plan.index("Exchange")
+
+
 def test_research_graph(spark):
     kind = "claim_id string, statement string, claim_type string, entity_refs array<string>, source_url string, source_type string, retrieved_at string, corroboration string"
     claims = spark.createDataFrame([("1", "says", "financial_claim", ["a", "b", "c"], "", None, None, "unverified"), ("2", "", "fact_claim", ["a"], "u", "web", None, None), ("3", "s", None, None, "u", "web", "t", None), (None, "s", "odd", [], "u", "web", "t", None)], kind)
