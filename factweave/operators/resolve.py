@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from factweave.functions import text as T
 from factweave.operators import bridges
-from factweave.operators.graph import components
-from factweave.operators.similarity import similar_names
+from factweave.operators.similarity import kin
 from factweave.storage import cut
 
 #: Tokens of a request, likeness of the pre-filter, and mentions from which a family is filtered.
@@ -48,10 +47,8 @@ def proposals(mentions: DataFrame, likeness: float = LIKENESS, many: int = MANY)
     keyed = mentions.select("family", T.normalize_name(F.col("name")).alias("key"))
     large = keyed.groupBy("family").count().where(F.col("count") >= many).select("family")
     names = cut(keyed.join(large, "family", "left_semi").distinct())
-    pairs = similar_names(names.select("family", F.col("key").alias("name")), likeness)
-    node = lambda c: F.struct("family", F.col(c).alias("key"))
-    found = components(pairs.select(node("a").alias("u"), node("b").alias("v")))
-    joined = found.select("id.family", "id.key", F.col("component.key").alias("proposal"))
+    found = kin(names.select("family", F.col("key").alias("name")), likeness)
+    joined = found.select("family", F.col("name").alias("key"), F.col("component").alias("proposal"))
     return names.join(joined, ["family", "key"], "left").select("family", "key", F.coalesce("proposal", "key").alias("proposal"))
 
 
@@ -64,9 +61,9 @@ def batched(mentions: DataFrame, limit: int = TOKENS, likeness: float = LIKENESS
     A family of a single mention needs no request and has a null batch. A mention of more
     than half the limit raises: requests could not be filled.
     """
-    kin = proposals(mentions, likeness, many)
+    proposed = proposals(mentions, likeness, many)
     sized = mentions.withColumns({"key": T.normalize_name(F.col("name")), "tokens": tokens(F.col("entity_id"), F.col("name"), F.col("context"))})
-    placed = cut(sized.join(kin, ["family", "key"], "left").withColumn("proposal", F.coalesce("proposal", F.lit(""))).drop("key"))
+    placed = cut(sized.join(proposed, ["family", "key"], "left").withColumn("proposal", F.coalesce("proposal", F.lit(""))).drop("key"))
     most = placed.agg(F.max("tokens")).first()[0] or 0
     if 2 * most > limit:
         raise ValueError(f"a mention of {most} tokens is beyond half of the {limit} of a request")

@@ -13,11 +13,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factweave.functions import lcs
 from factweave.functions.text import sorted_words
+from factweave.operators.graph import components
 from factweave.storage import cut
 
 
@@ -58,9 +59,9 @@ def _indexed(names: DataFrame, size: int, threshold: float, least: float) -> Dat
     return own.select("family", "name", "sorted", "n", F.explode(F.slice("grams", F.lit(1), F.col("prefix"))).alias("g")).select("family", "name", "sorted", "n", F.concat_ws(":", F.lit(size), "g.k", "g.gram").alias("key"))
 
 
-def candidates(names: DataFrame, threshold: float) -> DataFrame:
-    """(family, a, b, sorted_a, sorted_b) of pairs of distinct (name, family) that may reach
-    the threshold; a is the lesser name. None that does is left out."""
+def _tables(names: DataFrame, threshold: float) -> tuple[DataFrame, list[tuple[DataFrame, float, float | None]]]:
+    """Distinct (name, family) with ``sorted``, and for each size of q-grams the index with
+    the bounds of both names' characters, [least, most), within which it tells pairs apart."""
     if not 0 < threshold <= 100:
         raise ValueError("the threshold lies above 0 and at 100 at most")
     named = cut(names.select("name", "family").distinct().where("name is not null").withColumn("sorted", sorted_words(F.col("name"))))
@@ -74,21 +75,91 @@ def candidates(names: DataFrame, threshold: float) -> DataFrame:
         least = 1.0 if size == 1 else size / slope
         keyed.append((_indexed(named, size, threshold, least), least, below))
         below = least
+    return named, keyed
+
+
+def _near(threshold: float, least: float | Column, most: float | Column | None) -> Column:
+    """Whether the lengths of two names lie within the bounds and allow the threshold."""
+    total = F.col("n_a") + F.col("n_b")
+    near = (total >= F.lit(least) - 1e-9) & (F.least("n_a", "n_b") * 200.0 >= threshold * total - 1e-6)
+    return near if most is None else near & (total < F.lit(most) - 1e-9)
+
+
+def _blank(named: DataFrame) -> DataFrame:
+    """Names without a word are alike, and like nothing else."""
+    empty = named.where("sorted = ''").select("family", F.col("name").alias("a"))
+    least_empty = empty.groupBy("family").agg(F.min("a").alias("first"))
+    return empty.join(least_empty, "family").where("a <> first").select("family", F.col("first").alias("a"), F.col("a").alias("b"), F.lit("").alias("sorted_a"), F.lit("").alias("sorted_b"))
+
+
+def candidates(names: DataFrame, threshold: float) -> DataFrame:
+    """(family, a, b, sorted_a, sorted_b) of pairs of distinct (name, family) that may reach
+    the threshold; a is the lesser name. None that does is left out."""
+    named, keyed = _tables(names, threshold)
     out = None
     for rows, least, most in keyed:
         left = rows.select("family", F.col("name").alias("a"), F.col("sorted").alias("sorted_a"), F.col("n").alias("n_a"), "key")
         right = rows.select("family", F.col("name").alias("b"), F.col("sorted").alias("sorted_b"), F.col("n").alias("n_b"), "key")
-        total = F.col("n_a") + F.col("n_b")
-        near = (F.col("a") < F.col("b")) & (total >= least - 1e-9) & (F.least("n_a", "n_b") * 200.0 >= threshold * total - 1e-6)
-        if most is not None:
-            near &= total < most - 1e-9
+        near = (F.col("a") < F.col("b")) & _near(threshold, least, most)
         found = left.join(right, ["family", "key"]).where(near).select("family", "a", "b", "sorted_a", "sorted_b")
         out = found if out is None else out.union(found)
-    # Names without a word are alike, and like nothing else.
-    empty = named.where("sorted = ''").select("family", F.col("name").alias("a"))
-    least_empty = empty.groupBy("family").agg(F.min("a").alias("first"))
-    blank = empty.join(least_empty, "family").where("a <> first").select("family", F.col("first").alias("a"), F.col("a").alias("b"), F.lit("").alias("sorted_a"), F.lit("").alias("sorted_b"))
-    return out.distinct().union(blank)
+    return out.distinct().union(_blank(named))
+
+
+def kin(names: DataFrame, threshold: float) -> DataFrame:
+    """(family, name, component) of the names (name, family) that others are alike to, directly
+    or through others: the least name that alike names lead to. The same as the components
+    of ``similar_names``, without all of its pairs.
+
+    First each name of a bucket of the index is compared with the next one in order alone,
+    which joins what is alike throughout. A bucket that is one component then has nothing
+    more to tell; in the others what is outside the largest component is compared with all that is
+    of another one. Where buckets stay apart in many components, that is all their pairs.
+    """
+    named, keyed = _tables(names.where("family is not null"), threshold)
+    index = None
+    for rows, least, most in keyed:
+        own = rows.withColumns({"least": F.lit(least), "most": F.lit(float("inf") if most is None else most)})
+        index = own if index is None else index.union(own)
+    index = cut(index)
+    told = "family", "a", "b", "sorted_a", "sorted_b"
+    near = _near(threshold, F.col("least"), F.col("most"))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        ordered = F.col("a") < F.col("b")
+        sides = [F.when(ordered, F.col(f"{c}{x}")).otherwise(F.col(f"{c}{y}")).alias(f"{c}{x}") for c in ("", "sorted_") for x, y in ("ab", "ba")]
+        met = pairs.where(near).select("family", *sides).select(*told).distinct()
+        return cut(scored(met, "sorted_a", "sorted_b").where(F.col("score") >= threshold).select("family", "a", "b"))
+
+    def joined(links: DataFrame) -> DataFrame:
+        node = lambda c: F.struct("family", F.col(c).alias("name"))
+        found = components(links.select(node("a").alias("u"), node("b").alias("v")))
+        return cut(found.select("id.family", "id.name", F.col("component.name").alias("component")))
+
+    bucket = Window.partitionBy("family", "key").orderBy("sorted", "name")
+    following = [F.lead(c).over(bucket).alias(b) for c, b in (("name", "b"), ("sorted", "sorted_b"), ("n", "n_b"))]
+    chain = index.select("family", "least", "most", F.col("name").alias("a"), F.col("sorted").alias("sorted_a"), F.col("n").alias("n_a"), *following)
+    links = alike(chain.where("b is not null")).union(_blank(named).select("family", "a", "b"))
+    first = joined(links)
+    rows = index.join(first, ["family", "name"], "left").withColumn("c", F.coalesce("component", "name")).drop("component")
+    sizes = rows.groupBy("family", "key", "c").agg(F.count("*").alias("size"))
+    tops = sizes.groupBy("family", "key").agg(F.max_by("c", F.struct("size", "c")).alias("top"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    apart = cut(rows.join(tops, ["family", "key"]))
+    if apart.isEmpty():
+        return first
+    left = apart.where("c <> top").select("family", "key", "least", "most", F.col("name").alias("a"), F.col("sorted").alias("sorted_a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    right = apart.select("family", "key", F.col("name").alias("b"), F.col("sorted").alias("sorted_b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"), (F.col("c") == F.col("top")).alias("main"))
+    # Of two outside the largest component each pair is met from one side.
+    across = alike(left.join(right, ["family", "key"]).where("c_a <> c_b and (main or a < b)"))
+    if across.isEmpty():
+        return first
+    # Components stand in for their names, so that what they lead to is joined once more in small.
+    for c in ("a", "b"):
+        across = across.join(first.withColumnRenamed("name", c), ["family", c], "left").withColumn(c, F.coalesce("component", c)).drop("component")
+    over = joined(across)
+    moved = first.join(over.select("family", F.col("name").alias("component"), F.col("component").alias("to")), ["family", "component"], "left")
+    alone = over.join(first.select("family", "name"), ["family", "name"], "left_anti")
+    return moved.select("family", "name", F.coalesce("to", "component").alias("component")).unionByName(alone)
 
 
 def similar_names(names: DataFrame, threshold: float = 85.0) -> DataFrame:

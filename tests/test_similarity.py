@@ -1,12 +1,14 @@
 """The similarity join against all pairs, and scores against a plain table."""
 
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from factweave.functions import lcs
+from factweave.operators import resolve
 from factweave.operators import similarity as S
 
 
@@ -76,3 +78,30 @@ def test_what_meets_grows_with_what_is_alike(spark):
         assert pairs.where(F.col("a") >= F.col("b")).count() == 0
     # Four times the names give four times the alike pairs; all pairs would be 16 times as many.
     assert met[0] < 0.02 * 500**2 and met[1] < 0.02 * 2_000**2
+
+
+@pytest.mark.parametrize("threshold", [55.0, 70.0, 85.0])
+def test_components_of_names_are_those_of_all_pairs(spark, threshold):
+    names = _names(130)
+    rows = [(n, "xy"[i % 2]) for i, n in enumerate(names)] + [("", "x"), (" ", "x"), ("q", None), ("r", None), (None, "x")]
+    least = {}
+    for family in "xy":
+        own = sorted({n for n, f in rows if f == family and n is not None})
+        least |= {(family, n): n for n in own}
+        links = [(a, b) for i, a in enumerate(own) for b in own[i + 1 :] if _ratio(a, b) >= threshold]
+        for _ in own:
+            for a, b in links:
+                least[family, a] = least[family, b] = min(least[family, a], least[family, b])
+    found = {(r["family"], r["name"]): r["component"] for r in S.kin(spark.createDataFrame(rows, "name string, family string"), threshold).collect()}
+    size = Counter((f, c) for (f, _), c in least.items())
+    assert found == {k: c for k, c in least.items() if size[k[0], c] > 1} and len({c for c in found.values()}) > 1
+
+
+def test_a_family_of_names_that_are_all_alike_is_not_compared_pair_by_pair(spark, monkeypatch):
+    met, score = [], S.scored
+    monkeypatch.setattr(S, "scored", lambda pairs, *names: met.append(pairs.count()) or score(pairs, *names))
+    rows = [(f"e{i}", f"Supplier#{i * 7:09d}", "organization", "", i) for i in range(700)]
+    frame = spark.createDataFrame(rows, "entity_id string, name string, family string, context string, ord long")
+    assert {r["proposal"] for r in resolve.proposals(frame, 70.0).collect()} == {"supplier#000000000"}
+    # All pairs would be 244,650.
+    assert met and sum(met) < 20_000
