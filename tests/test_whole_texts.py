@@ -22,5 +22,8 @@ def test_every_request_of_a_residue_meets_each_assertion(spark, tmp_path):
     spark.createDataFrame(events, "event_id long, at long, event_type string").selectExpr("event_id", "timestamp_seconds(at) AS ts", "event_type").write.parquet(str(tmp_path / "events.parquet"))
     ids = {f"gassert_{hashlib.sha256(f'cand_{k}'.encode()).hexdigest()[:24]}": k for k in (7, 1007, 9)}
     found = sorted((ids[r["assertion_id"]], r["event_id"], r["legal"]) for r in QUERIES["J6_disposition_writes"](spark, str(tmp_path)).collect())
+    plan = QUERIES["J6_disposition_writes"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # What is joined are runs of requests; single ones come after.
+    assert -1 < plan.find("Generate explode(ids") < plan.index("Join [k#")
     # The assertion of 7 is weakened, that of 1007 retracted; no event has the residue of 9.
     assert found == [(7, 7, False), (7, 1007, True), (7, 2007, True), (1007, 7, False), (1007, 1007, False), (1007, 2007, False)]
