@@ -20,7 +20,8 @@ from factweave.sinks import events, export
 def payloads(claims: DataFrame, fillers: DataFrame) -> DataFrame:
     """Claims with ``payload_json`` (sorted keys, no spaces) and ``payload_hash``."""
     entity = F.struct(F.col("entity_id"), F.lit("entity").alias("kind"), F.col("name"))
-    by_role = fillers.groupBy("claim_id", "role_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("filler_index", entity.alias("f")))), lambda x: x["f"]).alias("fillers"))
+    # Dealt out by claim, fillers and then their roles are gathered in one shuffle.
+    by_role = fillers.repartition("claim_id").groupBy("claim_id", "role_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("filler_index", entity.alias("f")))), lambda x: x["f"]).alias("fillers"))
     roles = by_role.groupBy("claim_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("role_id", "fillers")))).alias("roles"))
     body = F.to_json(F.struct(F.col("predicate"), F.col("roles")))
     return claims.join(roles, "claim_id", "left").withColumn("payload_json", body).withColumn("payload_hash", F.concat(F.lit("sha256:"), F.sha2("payload_json", 256)))
@@ -71,5 +72,7 @@ def exported(assertions: DataFrame, candidates: DataFrame, fillers: DataFrame, c
     """Binary edges (assertion_id, relation_name, src_id, tgt_id) between canonical
     entities."""
     keys = assertions.select("assertion_id", "candidate_id", "predicate").join(candidates.select("candidate_id", "claim_id"), "candidate_id")
-    rows = fillers.join(keys, "claim_id").join(canonical, "entity_id", "left").select("assertion_id", "predicate", "role_id", "filler_index", F.coalesce("canonical", "entity_id").alias("entity_id"))
+    # An edge takes the first filler of a role alone, so no other is resolved.
+    firsts = fillers.groupBy("claim_id", "role_id").agg(F.min_by("entity_id", "filler_index").alias("entity_id"), F.min("filler_index").alias("filler_index"))
+    rows = firsts.join(keys, "claim_id").join(canonical, "entity_id", "left").select("assertion_id", "predicate", "role_id", "filler_index", F.coalesce("canonical", "entity_id").alias("entity_id"))
     return export.relationships(rows)
